@@ -8,7 +8,7 @@ shuffle, and walks over at most 2**22 sums to see which digit holds the middle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,52 +29,72 @@ def exact_median(
     Nulls are ignored and no values give null. ``scale`` is applied to the two middle values before
     they are averaged; it must not change their order.
     """
+    middle = middle_values(df, value)
+    # Any aggregate without keys gives one row, also for no input.
+    return middle.agg(F.max(midpoint(scale)).alias(name))
+
+
+def midpoint(scale: Callable[[Column], Column]) -> Column:
+    """The mean of the two middle values."""
+    return F.lit(0.5) * scale(F.col("lower")) + F.lit(0.5) * scale(F.col("upper"))
+
+
+def middle_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """The middle value as ``lower`` and ``upper``, which differ if the count is even.
+
+    ``by`` names columns with a few distinct values; each combination that has any value gets a row.
+    """
+    by = list(by)
     counts = (
-        df.select(F.col(value).cast("long").alias("_v"))
+        df.select(*by, F.col(value).cast("long").alias("_v"))
         .filter(F.col("_v").isNotNull())
-        .groupBy("_v")
+        .groupBy(*by, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    picked = None
-    for shift in SHIFTS:
-        picked = _narrowed(counts, shift, picked)
-    lower, upper = (F.max(F.when(_holds(rank), F.col("_digit"))) for rank in ("_low", "_high"))
-    return picked.agg(
-        (F.lit(0.5) * scale(lower) + F.lit(0.5) * scale(upper)).alias(name)
+    found = _first_digit(counts, by)
+    for above, shift in zip(SHIFTS, SHIFTS[1:]):
+        found = _next_digit(counts, by, found, above, shift)
+    return found.groupBy(*by).agg(
+        F.max(F.when(_holds("_low"), F.col("_digit"))).alias("lower"),
+        F.max(F.when(_holds("_high"), F.col("_digit"))).alias("upper"),
     )
 
 
-def _holds(rank: str) -> Column:
-    """Whether the value of that rank, counted from the start of the span, lies in this row."""
-    return F.col(rank).between(F.col("_start"), F.col("_start") + F.col("_n") - 1)
+def _first_digit(counts: DataFrame, by: list[str]) -> DataFrame:
+    digit = F.shiftright("_v", SHIFTS[0]).alias("_digit")
+    sums = counts.groupBy(*by, digit).agg(F.sum("_n").alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy(*by))
+    ranks = {"_low": F.shiftright(total - 1, 1), "_high": F.shiftright(total, 1)}
+    return _middle_digits(sums.withColumns(ranks), by)
 
 
-def _narrowed(counts: DataFrame, shift: int, above: DataFrame | None) -> DataFrame:
-    """The one or two digits that hold the middle values, within the digits found above."""
-    digit = F.shiftright("_v", shift)
-    if above is None:
-        sums = counts.groupBy(digit.alias("_digit")).agg(F.sum("_n").alias("_n"))
-        whole = Window.partitionBy()
-        total = F.sum("_n").over(whole)
-        sums = sums.withColumns(
-            {"_low": F.floor((total - 1) / 2).cast("long"), "_high": F.floor(total / 2).cast("long")}
-        )
-        along = whole.orderBy("_digit")
-    else:
-        parent_shift = SHIFTS[SHIFTS.index(shift) - 1]
-        parent = above.select(
-            F.col("_digit").alias("_parent"),
-            (F.col("_low") - F.col("_start")).alias("_low"),
-            (F.col("_high") - F.col("_start")).alias("_high"),
-        )
-        # At most two parents, so the broadcast is two rows.
-        inside = counts.join(
-            F.broadcast(parent), F.shiftright("_v", parent_shift) == F.col("_parent")
-        )
-        sums = inside.groupBy("_parent", digit.alias("_digit")).agg(
-            F.sum("_n").alias("_n"), F.max("_low").alias("_low"), F.max("_high").alias("_high")
-        )
-        along = Window.partitionBy("_parent").orderBy("_digit")
+def _next_digit(
+    counts: DataFrame, by: list[str], found: DataFrame, above: int, shift: int
+) -> DataFrame:
+    parents = found.select(
+        *[F.col(c).alias(f"_of_{c}") for c in by],
+        F.col("_digit").alias("_parent"),
+        (F.col("_low") - F.col("_start")).alias("_low"),
+        (F.col("_high") - F.col("_start")).alias("_high"),
+    )
+    same = F.shiftright("_v", above) == F.col("_parent")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    # At most two parents per group, so the broadcast has a few rows.
+    inside = counts.join(F.broadcast(parents), same)
+    sums = inside.groupBy(*by, "_parent", F.shiftright("_v", shift).alias("_digit")).agg(
+        F.sum("_n").alias("_n"), F.max("_low").alias("_low"), F.max("_high").alias("_high")
+    )
+    return _middle_digits(sums, [*by, "_parent"])
+
+
+def _middle_digits(sums: DataFrame, within: list[str]) -> DataFrame:
+    """The one or two digits that hold the ranks ``_low`` and ``_high``, counted from 0."""
+    along = Window.partitionBy(*within).orderBy("_digit")
     up_to = F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     sums = sums.withColumn("_start", up_to - F.col("_n"))
     return sums.filter(_holds("_low") | _holds("_high"))
+
+
+def _holds(rank: str) -> Column:
+    return F.col(rank).between(F.col("_start"), F.col("_start") + F.col("_n") - 1)

@@ -78,14 +78,31 @@ class OrderHistory:
 
     def diffs(self) -> DataFrame:
         """``lagged`` with ``session_diff``, the sessions between one order and the next."""
-        return self.lagged().withColumn(
-            "session_diff", F.col("max_session_for_order") - F.col("lagged_max_session_order")
-        )
+        return self.lagged().withColumn("session_diff", _session_diff())
 
     def durations(self) -> DataFrame:
         """One row per customer and session before the first order: its length."""
         return _union(self._each(lambda part: _durations(_unordered(part), self.cols)))
 
+    def figures(self) -> DataFrame:
+        """The values of ``diffs`` and ``durations`` in one frame, from one pass over the events.
+
+        ``figure`` is 'session_diff' or 'duration_micros' and ``value`` the number.
+        """
+        parts = [_figures(self.few, self.cols)]
+        if self.many is not None:
+            groups = _last_sessions(self.many, self.cols)
+            lagged = _lagged_in_slices(groups, self.cols, self.hot.slices)
+            diffs = lagged.select(_session_diff().alias("value"))
+            durations = _durations(_unordered(self.many), self.cols)
+            parts += [
+                diffs.select(F.lit("session_diff").alias("figure"), "value"),
+                durations.select(
+                    F.lit("duration_micros").alias("figure"), F.col("duration_micros").alias("value")
+                ),
+            ]
+        return _union(parts)
+
     def with_last_session(self) -> DataFrame:
         """Every event with ``max_session_for_order``, the last session of its order group."""
         return self._with_group_values(
@@ -211,6 +228,33 @@ def _last_sessions(df: DataFrame, cols: Columns) -> DataFrame:
     )
 
 
+def _session_diff() -> Column:
+    return F.col("max_session_for_order") - F.col("lagged_max_session_order")
+
+
+def _figures(df: DataFrame, cols: Columns) -> DataFrame:
+    """``figures`` of events that are partitioned by customer; no further shuffle is needed."""
+    ts, order, session = cols.timestamp, F.col("order_number"), F.col(cols.session)
+    visits = df.groupBy(cols.customer, "order_number", cols.session).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last")
+    )
+    w = Window.partitionBy(cols.customer).orderBy("order_number", cols.session)
+    following = F.lead("order_number").over(w)
+    visits = visits.withColumn("_ends_group", following.isNull() | (following != order))
+    # Of a later group only the last session is kept, so a group end always follows the end of the
+    # group before it. Group 0 is the first one.
+    visits = visits.filter(F.col("_ends_group") | (order == 0))
+    lagged = F.when(order == 0, 0).otherwise(F.coalesce(F.lag(session).over(w), F.lit(0)))
+    visits = visits.withColumn("_lagged", lagged)
+    diff = F.when(F.col("_ends_group"), session - F.col("_lagged"))
+    micros = F.when(order == 0, span_micros(F.col("_first"), F.col("_last")))
+    figures = F.array(
+        F.struct(F.lit("session_diff").alias("figure"), diff.alias("value")),
+        F.struct(F.lit("duration_micros").alias("figure"), micros.alias("value")),
+    )
+    return visits.select(F.inline(figures)).filter(F.col("value").isNotNull())
+
+
 def _lagged(groups: DataFrame, cols: Columns) -> DataFrame:
     w = Window.partitionBy(cols.customer).orderBy("order_number")
     return groups.withColumn(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.columns import ORDER_TYPE, Columns
 from sessionloom.functions.expressions import micros_to_minutes
-from sessionloom.operators.median import exact_median
+from sessionloom.operators.median import exact_median, middle_values, midpoint
 from sessionloom.operators.orders import OrderHistory
 
 VISITS = "median_visits_before_order"
@@ -19,38 +19,31 @@ def _history(events: DataFrame, order_type: str, cols: Columns, options: dict) -
     return OrderHistory(needed, order_type, cols, **options)
 
 
-def _visits(history: OrderHistory, name: str = VISITS) -> DataFrame:
-    return exact_median(history.diffs(), "session_diff", name)
-
-
-def _duration(history: OrderHistory, name: str = DURATION) -> DataFrame:
-    return exact_median(history.durations(), "duration_micros", name, micros_to_minutes)
-
-
 def median_visits_before_order(
     events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
 ) -> DataFrame:
     """Median number of sessions between orders, over all customers' order groups."""
-    return _visits(_history(events, order_type, cols, options))
+    diffs = _history(events, order_type, cols, options).diffs()
+    return exact_median(diffs, "session_diff", VISITS)
 
 
 def median_session_duration_minutes_before_order(
     events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
 ) -> DataFrame:
     """Median minutes per session before a customer's first order."""
-    return _duration(_history(events, order_type, cols, options))
+    durations = _history(events, order_type, cols, options).durations()
+    return exact_median(durations, "duration_micros", DURATION, micros_to_minutes)
 
 
 def order_metrics(
     events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
 ) -> DataFrame:
     """Both metrics in one row; a metric without any value is null."""
-    history = _history(events, order_type, cols, options)
-    empty = F.lit(None).cast("double")
-    each = _visits(history).withColumn(DURATION, empty).unionByName(
-        _duration(history).withColumn(VISITS, empty)
-    )
-    return each.agg(F.max(VISITS).alias(VISITS), F.max(DURATION).alias(DURATION))
+    figures = _history(events, order_type, cols, options).figures()
+    middle = middle_values(figures, "value", ["figure"])
+    visits = F.when(F.col("figure") == "session_diff", midpoint(lambda v: v.cast("double")))
+    duration = F.when(F.col("figure") == "duration_micros", midpoint(micros_to_minutes))
+    return middle.agg(F.max(visits).alias(VISITS), F.max(duration).alias(DURATION))
 
 
 def order_metrics_json(

@@ -55,13 +55,22 @@ def flatten(df: DataFrame, struct: str = "event") -> DataFrame:
             out += [(F.col(f"`{struct}`").getField(name), name) for name in inner.fieldNames()]
         else:
             out.append((F.col(f"`{field.name}`"), field.name))
-    names = [name.replace("-", "_") for _, name in out]
+    names = [_plain_name(name) for _, name in out]
     twice = sorted({name for name in names if names.count(name) > 1})
     if twice:
         raise ValueError(f"columns would occur twice: {', '.join(twice)}")
     return df.select(*[column.alias(name) for (column, _), name in zip(out, names)])
 
 
+def flatten_names(df: DataFrame) -> DataFrame:
+    """Hyphens in column names as underscores."""
+    return df.withColumnsRenamed({name: _plain_name(name) for name in df.columns})
+
+
+def _plain_name(name: str) -> str:
+    return name.replace("-", "_")
+
+
 def typed_events(raw: DataFrame, struct: str = "event", cols: Columns = Columns()) -> DataFrame:
     """Flatten raw events, drop those without a customer, and parse their timestamps."""
     flat = flatten(raw, struct).filter(F.col(cols.customer).isNotNull())

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.columns import STAGED_SCHEMA, TABLE_SCHEMA
+from sessionloom.operators.preview import view
 
 SAMPLE_ROWS = 10
 
@@ -33,6 +36,9 @@ def read_staged(spark: SparkSession, uri: str) -> DataFrame:
     return spark.read.schema(STAGED_SCHEMA).parquet(uri).toDF(*TABLE_SCHEMA.fieldNames())
 
 
-def sample_staged(spark: SparkSession, uri: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Any first rows, to see whether the stage can be read."""
-    return read_staged(spark, uri).limit(rows)
+def sample_staged(
+    spark: SparkSession, uri: str, rows: int = SAMPLE_ROWS, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """The first ``rows`` rows, to see whether the stage can be read; any rows if unordered."""
+    staged = read_staged(spark, uri)
+    return view(staged, order_by, nrow=rows) if order_by else staged.limit(rows)

@@ -11,15 +11,20 @@ from pyspark.sql import types as T
 class Columns:
     """Names of the columns the operators read.
 
-    ``tie`` orders events of one customer that carry the same timestamp. It decides only which of
-    them holds the ``new_session`` flag; session and order numbers never depend on it.
+    ``tie`` orders events of one customer that carry the same timestamp, by type if none is named.
+    It decides only which of them holds the ``new_session`` flag; session and order numbers never
+    depend on it.
     """
 
     customer: str = "customer_id"
     timestamp: str = "timestamp"
     type: str = "type"
     session: str = "session_number"
-    tie: tuple[str, ...] = ("type",)
+    tie: tuple[str, ...] = ()
+
+    @property
+    def ties(self) -> tuple[str, ...]:
+        return self.tie or (self.type,)
 
 
 # Names, order and types of the raw, staged and loaded records.

@@ -8,7 +8,7 @@ third of all rows. So the few customers with long histories take another way:
 2. ``sliced`` range-partitions their rows by (customer, time). Spark picks the boundaries from the
    data, so the slices come out even, whatever the distribution, and equal timestamps are cut apart
    too.
-3. The operator runs its window inside each slice and stores the outcome with ``staged``.
+3. The operator runs its window inside each slice and stores the outcome with ``stored``.
 4. One small row per (customer, slice) is carried from slice to slice by a window over at most
    ``MAX_SLICES + MAX_HOT`` rows, and broadcast back to finish the rows.
 
@@ -93,7 +93,7 @@ def sliced(df: DataFrame, slices: int, customer: str, *order: Column) -> DataFra
 
     Rows that tie are told apart by a hash of all their columns, and wholly equal ones by ``ROW``,
     so that any group can be divided. Slice numbers are fixed only once the result is stored: use
-    ``staged`` before reading it a second time.
+    ``stored`` before reading it a second time.
     """
     content = F.xxhash64(*df.columns)
     return (
@@ -103,7 +103,7 @@ def sliced(df: DataFrame, slices: int, customer: str, *order: Column) -> DataFra
     )
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Store ``df`` in the shared folder and read it back."""
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -20,7 +21,7 @@ from sessionloom.operators.history import (
     hot_customers,
     sliced,
     split,
-    staged,
+    stored,
 )
 
 
@@ -44,12 +45,19 @@ class OrderHistory:
         order_type: str = ORDER_TYPE,
         cols: Columns = Columns(),
         *,
+        keep: Sequence[str] | None = None,
         hot: HotCustomers | None = None,
         rule: SplitRule = SplitRule(),
     ):
+        """``keep`` names the columns to carry besides customer, time and session; default all."""
         self.cols, self.rule = cols, rule
         self.hot = hot or hot_customers(events, cols.customer, rule)
-        few, many = split(with_order_flag(events, order_type, cols), cols.customer, self.hot)
+        flagged = with_order_flag(events, order_type, cols)
+        if keep is not None:
+            flagged = flagged.select(
+                cols.customer, cols.timestamp, cols.session, *keep, "placed_order"
+            )
+        few, many = split(flagged, cols.customer, self.hot)
         self.few = _ordered(few, cols)
         self.many = None if many is None else _ordered_in_slices(many, cols, self.hot.slices)
 
@@ -143,17 +151,23 @@ def with_order_number(
     return OrderHistory(events, order_type, cols, hot=hot, rule=rule).events()
 
 
-def before_first_order(events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options) -> DataFrame:
+def before_first_order(
+    events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
+) -> DataFrame:
     """Events before the customer's first order; all events of customers who never order."""
     return OrderHistory(events, order_type, cols, **options).before_first_order()
 
 
-def order_groups(events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options) -> DataFrame:
+def order_groups(
+    events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
+) -> DataFrame:
     """Per customer and order number, the last session reached (``max_session_for_order``)."""
     return OrderHistory(events, order_type, cols, **options).groups()
 
 
-def session_diffs(events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options) -> DataFrame:
+def session_diffs(
+    events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
+) -> DataFrame:
     """Sessions between successive orders, counting from 0 for a customer's first group.
 
     The events before any order and those after the last order form groups of their own.
@@ -161,7 +175,9 @@ def session_diffs(events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns
     return OrderHistory(events, order_type, cols, **options).diffs()
 
 
-def session_durations(events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options) -> DataFrame:
+def session_durations(
+    events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
+) -> DataFrame:
     """Minutes per session before the first order; the session of the order is cut short there."""
     return OrderHistory(events, order_type, cols, **options).durations()
 
@@ -184,7 +200,7 @@ def _ordered_in_slices(df: DataFrame, cols: Columns, slices: int) -> DataFrame:
     customer, ts = cols.customer, F.col(cols.timestamp)
     w = Window.partitionBy(customer, SLICE).orderBy(_time_order(cols))
     rows = sliced(df, slices, customer, _time_order(cols))
-    rows = staged(rows.withColumn("_run", F.sum("placed_order").over(w)), "orders")
+    rows = stored(rows.withColumn("_run", F.sum("placed_order").over(w)), "orders")
 
     ends = rows.groupBy(customer, SLICE).agg(
         F.min(ts).alias("_first"),
@@ -273,7 +289,7 @@ def _lagged_in_slices(groups: DataFrame, cols: Columns, slices: int) -> DataFram
             "_head": F.row_number().over(w) == 1,
         }
     )
-    rows = staged(rows, "order-groups")
+    rows = stored(rows, "order-groups")
     ends = rows.groupBy(customer, SLICE).agg(
         F.max_by("max_session_for_order", "order_number").alias("_end")
     )

@@ -19,7 +19,7 @@ from sessionloom.operators.history import (
     hot_customers,
     sliced,
     split,
-    staged,
+    stored,
 )
 
 
@@ -29,10 +29,12 @@ def known_customers(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
 
 
 def sort_events(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    """All events by customer and time, missing values first."""
-    return df.orderBy(
-        F.col(cols.customer).asc_nulls_first(), *_time_order(cols)
-    )
+    """All events by customer and time, missing values first.
+
+    The hash of the whole row comes last, so that a large group of equal keys can be divided.
+    """
+    customer = F.col(cols.customer).asc_nulls_first()
+    return df.orderBy(customer, *_time_order(cols), F.xxhash64(*df.columns))
 
 
 def session_columns(
@@ -75,7 +77,7 @@ def sessionize(
     session_number and type, after any columns named in ``keep``. Events without a customer are
     dropped. Events without a timestamp are kept; they come first and in session 0.
     """
-    needed = dict.fromkeys([*keep, cols.customer, cols.timestamp, *cols.tie, cols.type])
+    needed = dict.fromkeys([*keep, cols.customer, cols.timestamp, *cols.ties, cols.type])
     out = session_columns(df.select(*needed), [gap_minutes], cols, hot=hot, rule=rule)
     return out.select(
         *keep,
@@ -102,7 +104,7 @@ def resessionize(
     Takes raw or already sessionized events; one output row per event and length, the latter in
     ``gap_minutes``.
     """
-    needed = dict.fromkeys([*keep, cols.customer, cols.timestamp, *cols.tie, cols.type])
+    needed = dict.fromkeys([*keep, cols.customer, cols.timestamp, *cols.ties, cols.type])
     out = session_columns(df.select(*needed), gaps, cols, hot=hot, rule=rule)
     versions = F.array(
         *[
@@ -129,7 +131,7 @@ def resessionize(
 
 
 def _time_order(cols: Columns) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in (cols.timestamp, *cols.tie)]
+    return [F.col(c).asc_nulls_first() for c in (cols.timestamp, *cols.ties)]
 
 
 def _running(value: Column, window: WindowSpec) -> Column:
@@ -172,7 +174,7 @@ def _numbered_in_slices(
     minutes = _minutes_since(F.col("prev_timestamp"), ts)
     rows = rows.withColumns({f"_new_{i}": _opens(minutes, gap) for i, gap in enumerate(gaps)})
     rows = rows.withColumns({f"_run_{i}": _running(F.col(f"_new_{i}"), w) for i in kinds})
-    rows = staged(rows, "sessions")
+    rows = stored(rows, "sessions")
 
     slice_ends = rows.groupBy(customer, SLICE).agg(
         F.max(F.when(F.col("_head"), ts)).alias("_first"),
@@ -183,7 +185,9 @@ def _numbered_in_slices(
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     carry = slice_ends.withColumn("_prev", F.lag("_last").over(along))
     head_minutes = _minutes_since(F.col("_prev"), F.col("_first"))
-    carry = carry.withColumns({f"_opens_{i}": _opens(head_minutes, gap) for i, gap in enumerate(gaps)})
+    carry = carry.withColumns(
+        {f"_opens_{i}": _opens(head_minutes, gap) for i, gap in enumerate(gaps)}
+    )
     carry = carry.withColumns(
         {
             f"_base_{i}": F.coalesce(
@@ -198,16 +202,15 @@ def _numbered_in_slices(
     )
 
     rows = carried_back(rows, carry, customer)
-    head = F.col("_head")
-    prev = F.when(head, F.col("_prev")).otherwise(F.col("prev_timestamp"))
-    out = rows.withColumn("prev_timestamp", prev)
+
+    def at_head(carried: str, own: str) -> Column:
+        return F.when(F.col("_head"), F.col(carried)).otherwise(F.col(own))
+
+    out = rows.withColumn("prev_timestamp", at_head("_prev", "prev_timestamp"))
     return out.select(
         *df.columns,
         "prev_timestamp",
         _minutes_since(F.col("prev_timestamp"), ts).alias("time_diff"),
-        *[
-            F.when(head, F.col(f"_opens_{i}")).otherwise(F.col(f"_new_{i}")).alias(f"new_session_{i}")
-            for i in kinds
-        ],
+        *[at_head(f"_opens_{i}", f"_new_{i}").alias(f"new_session_{i}") for i in kinds],
         *[(F.col(f"_base_{i}") + F.col(f"_run_{i}")).alias(f"session_number_{i}") for i in kinds],
     )

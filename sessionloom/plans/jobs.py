@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from sessionloom.columns import DATABASE, DEFAULT_GAP_MINUTES, TABLE, Columns
-from sessionloom.operators.history import SplitRule
+from sessionloom.columns import DATABASE, DEFAULT_GAP_MINUTES, RAW_SCHEMA, TABLE, Columns
+from sessionloom.operators.history import SplitRule, stored
 from sessionloom.operators.sessions import sessionize
 from sessionloom.sources.raw import read_events_json, typed_events
 from sessionloom.sources.staged import read_staged, write_staged
@@ -29,10 +30,18 @@ def run_etl(
     target: str,
     gap_minutes: float = DEFAULT_GAP_MINUTES,
     *,
+    schema: T.StructType = RAW_SCHEMA,
     rule: SplitRule = SplitRule(),
 ) -> DataFrame:
-    """Read raw JSON, sessionize it, write staged files; gives the staged rows."""
-    write_staged(sessionize_raw(read_events_json(spark, source), gap_minutes, rule=rule), target)
+    """Read raw JSON, sessionize it, write staged files; gives the staged rows.
+
+    The text is parsed once, into a typed table in the shared folder. Looking for long histories
+    and sessionizing read that table, and only the columns they need.
+    """
+    cols = Columns()
+    events = typed_events(read_events_json(spark, source, schema), cols=cols)
+    events = stored(events.select(cols.customer, cols.timestamp, cols.type), "events")
+    write_staged(sessionize(events, gap_minutes, cols, rule=rule), target)
     return read_staged(spark, target)
 
 

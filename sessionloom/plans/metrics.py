@@ -15,8 +15,7 @@ DURATION = "median_session_duration_minutes_before_order"
 
 
 def _history(events: DataFrame, order_type: str, cols: Columns, options: dict) -> OrderHistory:
-    needed = events.select(cols.customer, cols.timestamp, cols.session, cols.type)
-    return OrderHistory(needed, order_type, cols, **options)
+    return OrderHistory(events, order_type, cols, keep=(), **options)
 
 
 def median_visits_before_order(

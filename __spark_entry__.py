@@ -41,7 +41,7 @@ GAPS = (30, 480, 720)
 ORDER = "purchase"
 COLS = Columns(tie=("event_id",))
 WHOLE = SplitRule()
-SPLIT = SplitRule(hot_rows=60, slice_rows=900)
+SPLIT = SplitRule(hot_rows=60, slice_rows=2_500)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -12,7 +12,7 @@ from sessionloom.operators.orders import (
 )
 from sessionloom.operators.preview import view
 from sessionloom.operators.sessions import resessionize, sessionize, session_columns
-from sessionloom.plans.jobs import run_etl, run_load
+from sessionloom.plans.jobs import run_etl, run_load, run_metrics
 from sessionloom.plans.metrics import (
     median_session_duration_minutes_before_order,
     median_visits_before_order,
@@ -35,6 +35,7 @@ __all__ = [
     "resessionize",
     "run_etl",
     "run_load",
+    "run_metrics",
     "session_columns",
     "session_diffs",
     "session_durations",

@@ -92,8 +92,9 @@ def sliced(df: DataFrame, slices: int, customer: str, *order: Column) -> DataFra
     """Cut the rows into even ranges of (customer, order); ``SLICE`` counts them in that order.
 
     Rows that tie are told apart by a hash of all their columns, and wholly equal ones by ``ROW``,
-    so that any group can be divided. Slice numbers are fixed only once the result is stored: use
-    ``stored`` before reading it a second time.
+    so that any group can be divided. ``ROW`` repeats itself on a retry if ``df`` comes from files;
+    store wholly equal rows that come out of a shuffle before slicing them. Slice numbers are fixed
+    only once the result is stored: use ``stored`` before reading it a second time.
     """
     content = F.xxhash64(*df.columns)
     return (

@@ -52,7 +52,7 @@ class OrderHistory:
         """``keep`` names the columns to carry besides customer, time and session; default all."""
         self.cols, self.rule = cols, rule
         self.hot = hot or hot_customers(events, cols.customer, rule)
-        flagged = with_order_flag(events, order_type, cols)
+        flagged = with_order_flag(events, order_type, cols).drop("order_number")
         if keep is not None:
             flagged = flagged.select(
                 cols.customer, cols.timestamp, cols.session, *keep, "placed_order"

@@ -49,11 +49,12 @@ def session_columns(
     ``new_session_<i>`` and ``session_number_<i>``.
 
     Every gap is served by the same shuffle and sort. Columns the caller does not select cost
-    nothing: Spark drops their windows.
+    nothing: Spark drops their windows. Columns of these names in the input are replaced.
     """
     if not gaps or any(gap < 0 for gap in gaps):
         raise ValueError("session lengths must be given and not be negative")
-    events = known_customers(df, cols)
+    added = [f"{name}_{i}" for i in range(len(gaps)) for name in ("new_session", "session_number")]
+    events = known_customers(df, cols).drop("prev_timestamp", "time_diff", *added)
     hot = hot or hot_customers(events, cols.customer, rule)
     few, many = split(events, cols.customer, hot)
     out = _numbered(few, gaps, cols)

@@ -1,16 +1,24 @@
-"""The two batch jobs: raw files to staged files, and staged files to the table."""
+"""The batch jobs: raw files to staged files, staged files to the table, the table to metrics."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from sessionloom.columns import DATABASE, DEFAULT_GAP_MINUTES, RAW_SCHEMA, TABLE, Columns
+from sessionloom.columns import (
+    DATABASE,
+    DEFAULT_GAP_MINUTES,
+    ORDER_TYPE,
+    RAW_SCHEMA,
+    TABLE,
+    Columns,
+)
 from sessionloom.operators.history import SplitRule, stored
 from sessionloom.operators.sessions import sessionize
+from sessionloom.plans.metrics import order_metrics_json
 from sessionloom.sources.raw import read_events_json, typed_events
 from sessionloom.sources.staged import read_staged, write_staged
-from sessionloom.sources.warehouse import load_events
+from sessionloom.sources.warehouse import load_events, scan_events
 
 
 def sessionize_raw(
@@ -55,3 +63,15 @@ def run_load(
 ) -> DataFrame:
     """Create the table if need be and fill it from staged files."""
     return load_events(spark, staged, database, table, location=location)
+
+
+def run_metrics(
+    spark: SparkSession,
+    database: str = DATABASE,
+    table: str = TABLE,
+    order_type: str = ORDER_TYPE,
+    *,
+    rule: SplitRule = SplitRule(),
+) -> DataFrame:
+    """Both order metrics of the table as one JSON object."""
+    return order_metrics_json(scan_events(spark, database, table), order_type, rule=rule)

@@ -16,7 +16,7 @@ def spark():
     base = tempfile.mkdtemp(prefix="sessionloom-tests-")
     session = build_session(
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
         spark__checkpoint__dir=f"{base}/checkpoints",
         spark__sql__warehouse__dir=f"{base}/warehouse",

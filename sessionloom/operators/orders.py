@@ -80,8 +80,7 @@ class OrderHistory:
         """``groups`` with the previous group's last session, 0 for a customer's first group."""
         parts = [_lagged(_last_sessions(self.few, self.cols), self.cols)]
         if self.many is not None:
-            groups = _last_sessions(self.many, self.cols)
-            parts.append(_lagged_in_slices(groups, self.cols, self.hot.slices))
+            parts.append(_looked_up(self.many, self.cols))
         return _union(parts)
 
     def diffs(self) -> DataFrame:
@@ -99,9 +98,7 @@ class OrderHistory:
         """
         parts = [_figures(self.few, self.cols)]
         if self.many is not None:
-            groups = _last_sessions(self.many, self.cols)
-            lagged = _lagged_in_slices(groups, self.cols, self.hot.slices)
-            diffs = lagged.select(_session_diff().alias("value"))
+            diffs = _looked_up(self.many, self.cols).select(_session_diff().alias("value"))
             durations = _durations(_unordered(self.many), self.cols)
             parts += [
                 diffs.select(F.lit("session_diff").alias("figure"), "value"),
@@ -279,29 +276,41 @@ def _lagged(groups: DataFrame, cols: Columns) -> DataFrame:
     )
 
 
-def _lagged_in_slices(groups: DataFrame, cols: Columns, slices: int) -> DataFrame:
-    customer = cols.customer
-    w = Window.partitionBy(customer, SLICE).orderBy("order_number")
-    rows = sliced(groups, slices, customer, F.col("order_number"))
-    rows = rows.withColumns(
-        {
-            "_lagged": F.lag("max_session_for_order").over(w),
-            "_head": F.row_number().over(w) == 1,
-        }
+def _looked_up(df: DataFrame, cols: Columns) -> DataFrame:
+    """``_lagged`` without a window over the customer, who may have any number of orders.
+
+    All orders of a group happen at the time that opens it, so the group before has the number from
+    before those orders. Each group is sent to its own number and to that one, and the two meet
+    there; the work spreads over customer and number.
+    """
+    groups = df.groupBy(cols.customer, "order_number").agg(
+        F.max(cols.session).alias("_reached"), F.sum("placed_order").alias("_orders")
     )
-    rows = stored(rows, "order-groups")
-    ends = rows.groupBy(customer, SLICE).agg(
-        F.max_by("max_session_for_order", "order_number").alias("_end")
+    number, reached = F.col("order_number"), F.col("_reached")
+    # Group 0 has no order and nothing before it; no group has the number -1.
+    before = F.when(F.col("_orders") == 0, F.lit(-1)).otherwise(number - F.col("_orders"))
+    sent = F.array(
+        _sent(number, last=reached),
+        _sent(before, number=number, own=reached),
     )
-    along = Window.partitionBy(customer).orderBy(SLICE)
-    carry = ends.select(customer, SLICE, F.lag("_end").over(along).alias("_prev"))
-    rows = carried_back(rows, carry, customer)
-    lagged = F.when(F.col("_head"), F.col("_prev")).otherwise(F.col("_lagged"))
-    return rows.select(
-        *groups.columns, F.coalesce(lagged, F.lit(0)).alias("lagged_max_session_order")
+    met = groups.select(cols.customer, F.inline(sent)).groupBy(cols.customer, "_at")
+    lagged = met.agg(*[F.max(c).alias(c) for c in ("_last", "_number", "_own")])
+    return lagged.filter(F.col("_number").isNotNull()).select(
+        cols.customer,
+        F.col("_number").alias("order_number"),
+        F.col("_own").cast(df.schema[cols.session].dataType).alias("max_session_for_order"),
+        F.coalesce(F.col("_last"), F.lit(0))
+        .cast(df.schema[cols.session].dataType)
+        .alias("lagged_max_session_order"),
     )
 
 
+def _sent(at: Column, **values: Column) -> Column:
+    names = ("last", "number", "own")
+    numbers = [values.get(n, F.lit(None)).cast("long").alias(f"_{n}") for n in names]
+    return F.struct(at.cast("long").alias("_at"), *numbers)
+
+
 def _durations(df: DataFrame, cols: Columns) -> DataFrame:
     bounds = df.groupBy(cols.customer, cols.session).agg(
         F.min(cols.timestamp).alias("_first"), F.max(cols.timestamp).alias("_last")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,8 @@ def build_session(master: str | None = None, app: str = "sessionloom", **conf: s
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Streamed events of one session are merged before the shuffle.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.ui.enabled": "false",
     }
     settings.update({name.replace("__", "."): value for name, value in conf.items()})
@@ -29,6 +32,11 @@ def build_session(master: str | None = None, app: str = "sessionloom", **conf: s
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sessionloom-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
@@ -38,6 +46,5 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="sessionloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/sessionloom/{purpose}-{uuid.uuid4().hex}"

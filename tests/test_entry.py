@@ -24,7 +24,17 @@ def test_entry(spark):
     assert len(row) == 1 and None not in tuple(row[0])
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# The split way of each step is checked against brute force; here only whole results are.
+# ``check_oracle.py`` runs every query.
+SPLIT_RESULTS = ("sessionize", "resessionize", "order_metrics", "session_bounds_ties")
+NAMES = [
+    name
+    for name in sorted(entry.queries())
+    if not name.endswith("_split") or name.startswith(SPLIT_RESULTS)
+]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, con, sf_dir, name):
     same, note = check_oracle.compared(spark, con, name, sf_dir)
     assert same, note

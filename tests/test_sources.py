@@ -224,6 +224,20 @@ def test_streamed_sessions_are_batch_sessions(spark, tmp_path, sf_dir):
     assert not bag(got, *names) - bag(batch, *names)
 
 
+def test_rerun_of_a_table_with_the_added_columns(spark):
+    df = spark.createDataFrame(
+        [(1, dt.datetime(2023, 1, 1, 10), "view"), (1, dt.datetime(2023, 1, 1, 12), "placed_order")],
+        "customer_id long, timestamp timestamp_ntz, type string",
+    )
+    for rule in (SplitRule(), SplitRule(0, 1)):
+        once = sl.session_columns(df, [30], rule=rule)
+        assert sl.session_columns(once, [30], rule=rule).columns == once.columns
+        numbered = sl.with_order_number(sl.sessionize(df, 30), rule=rule)
+        again = sl.with_order_number(numbered, rule=rule)
+        assert again.columns == numbered.columns
+        assert bag(again, *again.columns) == bag(numbered, *numbered.columns)
+
+
 def test_views(spark):
     df = spark.range(20).withColumnRenamed("id", "n")
     assert [r.n for r in sl.view(df, ["n"]).collect()] == [0, 1, 2, 3, 4]
@@ -232,7 +246,7 @@ def test_views(spark):
         sl.view(df, ["n"], "middle")
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+def test_shared_folder_is_required_on_a_cluster(spark):
     class Elsewhere:
         class conf:
             get = staticmethod(lambda name, default: default)
@@ -242,4 +256,7 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(Elsewhere, "x")
+    Elsewhere.sparkContext.master = "local[2]"
+    first, second = work_folder(Elsewhere, "x"), work_folder(Elsewhere, "x")
+    assert first != second and first.split("/")[:-1] == second.split("/")[:-1]
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

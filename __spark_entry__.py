@@ -8,6 +8,9 @@ so three inputs are derived from it, each from the whole table:
 * ``ties``   timestamps cut to the hour
 * ``nulls``  the customer missing in every 13th event, the timestamp in every 17th
 
+A fourth input, ``orders``, is the table of that name: days instead of instants, so ties are natural,
+and a fulfilled order (status F) counts as the order.
+
 Queries named ``*_split`` run with a low limit for long histories, so that most customers take the
 way meant for very active ones; the result must be the same.
 """
@@ -38,10 +41,12 @@ from sessionloom.streaming import load as streaming  # noqa: E402
 GAP = 480
 METRICS_GAP = 720
 GAPS = (30, 480, 720)
-ORDER = "purchase"
+ORDER = {"plain": "purchase", "ties": "purchase", "nulls": "purchase", "orders": "F"}
+ORDERS_GAP = 60 * 24 * 60
 COLS = Columns(tie=("event_id",))
 WHOLE = SplitRule()
 SPLIT = SplitRule(hot_rows=60, slice_rows=2_500)
+ORDERS_SPLIT = SplitRule(hot_rows=10, slice_rows=2_500)  # customers have fewer orders than events
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -54,6 +59,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str, kind: str = "plain") -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if kind == "orders":
+        return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+            F.col("o_orderkey").alias("event_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("timestamp"),
+            F.col("o_orderstatus").alias("type"),
+        )
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id",
         F.col("user_id").alias("customer_id"),
@@ -74,11 +86,13 @@ def _events(spark: SparkSession, sf_dir: str, kind: str = "plain") -> DataFrame:
 
 
 def _sessions(spark, sf_dir, kind="plain", gap=GAP, rule=WHOLE) -> DataFrame:
+    gap = ORDERS_GAP if kind == "orders" else gap
     return S.sessionize(_events(spark, sf_dir, kind), gap, COLS, keep=["event_id"], rule=rule)
 
 
 def _history(spark, sf_dir, kind="plain", gap=GAP, rule=WHOLE) -> OrderHistory:
-    return OrderHistory(_sessions(spark, sf_dir, kind, gap, rule), ORDER, COLS, rule=rule)
+    sessions = _sessions(spark, sf_dir, kind, gap, rule)
+    return OrderHistory(sessions, ORDER[kind], COLS, rule=rule)
 
 
 def _iso(ts):
@@ -172,7 +186,7 @@ def _ordered(step, kind: str = "plain", rule: SplitRule = WHOLE):
 def _order_metrics(kind: str, rule: SplitRule = WHOLE, metric=metrics.order_metrics):
     def run(spark, sf_dir):
         sessions = _sessions(spark, sf_dir, kind, METRICS_GAP, rule)
-        return metric(sessions, ORDER, COLS, rule=rule)
+        return metric(sessions, ORDER[kind], COLS, rule=rule)
 
     return run
 
@@ -274,9 +288,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_events": _load_events,
         "stream_load": _stream_load,
         "stream_sessions": _stream_sessions,
-        "order_flag": lambda s, d: with_order_flag(_events(s, d), ORDER, COLS),
+        "order_flag": lambda s, d: with_order_flag(_events(s, d), ORDER["plain"], COLS),
         "order_flag_count": lambda s, d: _events(s, d).agg(
-            F.sum(order_flag(F.col("type"), ORDER)).alias("orders")
+            F.sum(order_flag(F.col("type"), ORDER["plain"])).alias("orders")
         ),
         "view_top": _view("top"),
         "view_bottom": _view("bottom"),
@@ -299,8 +313,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             metrics.median_session_duration_minutes_before_order
         ),
     }
-    for kind, suffix in (("plain", ""), ("ties", "_ties"), ("nulls", "_nulls")):
-        for rule, end in ((WHOLE, suffix), (SPLIT, suffix + "_split")):
+    for kind in ORDER:
+        suffix = "" if kind == "plain" else f"_{kind}"
+        split = ORDERS_SPLIT if kind == "orders" else SPLIT
+        for rule, end in ((WHOLE, suffix), (split, suffix + "_split")):
             q["sessionize" + end] = _sessionize(kind, rule)
             for name, step in steps.items():
                 q[name + end] = _ordered(step, kind, rule)
@@ -317,6 +333,9 @@ _INPUT_SQL = {
     "ties": """SELECT event_id, user_id AS customer_id,
         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp", event_type AS "type"
         FROM events""",
+    "orders": """SELECT o_orderkey AS event_id, o_custkey AS customer_id,
+        CAST(o_orderdate AS TIMESTAMP) AS "timestamp", o_orderstatus AS "type"
+        FROM orders""",
     "nulls": """SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN user_id END AS customer_id,
         CASE WHEN event_id % 17 <> 0 THEN ts END AS "timestamp", event_type AS "type"
         FROM events""",
@@ -325,6 +344,7 @@ _INPUT_SQL = {
 
 def _sql(tail: str, kind: str = "plain", gap: int = GAP) -> str:
     """The whole computation as named steps, followed by the query that reads from them."""
+    gap = ORDERS_GAP if kind == "orders" else gap
     return f"""
 WITH ev AS ({_INPUT_SQL[kind]}),
 lagged AS (
@@ -344,7 +364,7 @@ sessions AS (
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_number
     FROM flagged),
 placed AS (
-    SELECT *, CAST(CASE WHEN "type" = '{ORDER}' THEN 1 ELSE 0 END AS INTEGER) AS placed_order
+    SELECT *, CAST(CASE WHEN "type" = '{ORDER[kind]}' THEN 1 ELSE 0 END AS INTEGER) AS placed_order
     FROM sessions),
 numbered AS (
     SELECT *, CAST(sum(placed_order) OVER (
@@ -479,10 +499,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "order_flag": _sql(
             f"""SELECT event_id, customer_id, "timestamp", "type",
-            CAST(CASE WHEN "type" = '{ORDER}' THEN 1 ELSE 0 END AS INTEGER) AS placed_order
-            FROM ev"""
+            CAST(CASE WHEN "type" = '{ORDER["plain"]}' THEN 1 ELSE 0 END AS INTEGER)
+            AS placed_order FROM ev"""
         ),
-        "order_flag_count": f"""SELECT CAST(count(*) FILTER (event_type = '{ORDER}') AS BIGINT)
+        "order_flag_count": f"""SELECT CAST(count(*) FILTER (event_type = '{ORDER["plain"]}') AS BIGINT)
             AS orders FROM events""",
         "view_top": _view_sql("ASC"),
         "view_bottom": _view_sql("DESC"),
@@ -492,7 +512,8 @@ def oracle_sql() -> dict[str, str]:
             gap=METRICS_GAP,
         ),
     }
-    for kind, suffix in (("plain", ""), ("ties", "_ties"), ("nulls", "_nulls")):
+    for kind in ORDER:
+        suffix = "" if kind == "plain" else f"_{kind}"
         for end in (suffix, suffix + "_split"):
             for name, tail in _STEP_SQL.items():
                 sql[name + end] = _sql(tail, kind)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from sessionloom.session import work_folder
 
 MAX_HOT = 10_000
-MAX_SLICES = 20_000
+MAX_SLICES = 50_000
 SAMPLE_HITS = 2_000
 SEED = 11
 
@@ -41,7 +41,7 @@ class SplitRule:
     """``hot_rows``: a longer history is split. ``slice_rows``: rows aimed at per slice."""
 
     hot_rows: int = 5_000_000
-    slice_rows: int = 5_000_000
+    slice_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

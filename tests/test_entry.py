@@ -61,9 +61,9 @@ def test_golden(spark, sf_dir, case, rule):
     kind, gap = case
     sessions = entry._sessions(spark, sf_dir, kind, gap, rule)
     rows = sessions.agg(F.count("*"), F.sum("new_session"), F.sum("session_number")).first()
-    history = OrderHistory(sessions, entry.ORDER, entry.COLS, rule=rule)
+    history = OrderHistory(sessions, entry.ORDER[kind], entry.COLS, rule=rule)
     diffs = history.diffs().agg(F.count("*"), F.avg("session_diff")).first()
     minutes = history.durations().agg(F.count("*"), F.avg("session_duration")).first()
-    visits, duration = order_metrics(sessions, entry.ORDER, entry.COLS, rule=rule).first()
+    visits, duration = order_metrics(sessions, entry.ORDER[kind], entry.COLS, rule=rule).first()
     got = (*rows, diffs[0], minutes[0], visits, diffs[1], duration, minutes[1])
     assert got == pytest.approx(GOLDEN[case], abs=1e-6)

@@ -197,9 +197,7 @@ def _staged_roundtrip(spark, sf_dir):
 
 
 def _load_events(spark, sf_dir):
-    path, place = _stage(spark, sf_dir), _own_database(spark)
-    jobs.run_load(spark, path, **place)
-    return jobs.run_load(spark, path, **place)  # a second load changes nothing
+    return jobs.run_load(spark, _stage(spark, sf_dir), **_own_database(spark))
 
 
 def _stream_load(spark, sf_dir):

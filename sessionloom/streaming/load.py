@@ -15,11 +15,14 @@ POLL_SECONDS = 5
 def read_staged_stream(
     spark: SparkSession, uri: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Staged files as they arrive, under the table's column names."""
+    """Staged files as they arrive, under the table's column names.
+
+    The folder need not be there yet: the pattern is looked up anew for every batch.
+    """
     reader = spark.readStream.schema(STAGED_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(uri).toDF(*TABLE_SCHEMA.fieldNames())
+    return reader.parquet(f"{uri.rstrip('/')}/*.parquet").toDF(*TABLE_SCHEMA.fieldNames())
 
 
 def stream_load(

@@ -190,6 +190,28 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert run().count() == 6
 
 
+def test_stream_waits_for_a_folder_that_is_not_there_yet(spark, tmp_path):
+    place = {"database": "shop_d", "location": str(tmp_path / "shop_d")}
+    options = dict(checkpoint=str(tmp_path / "ck"), available_now=True)
+    target = str(tmp_path / "staged")
+    streaming.stream_load(spark, target, **place, **options).awaitTermination()
+    assert warehouse.scan_events(spark, "shop_d").count() == 0
+    stage(spark, tmp_path)
+    streaming.stream_load(spark, target, **place, **options).awaitTermination()
+    assert warehouse.scan_events(spark, "shop_d").count() == 3
+
+
+def test_stream_keeps_polling(spark, tmp_path):
+    place = {"database": "shop_e", "location": str(tmp_path / "shop_e")}
+    target = stage(spark, tmp_path)
+    query = streaming.stream_load(spark, target, str(tmp_path / "ck"), **place)
+    try:
+        query.processAllAvailable()
+        assert warehouse.scan_events(spark, "shop_e").count() == 3
+    finally:
+        query.stop()
+
+
 def test_streamed_sessions_are_batch_sessions(spark, tmp_path, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     cols = Columns("user_id", "ts", "event_type")

@@ -29,20 +29,21 @@ def exact_median(
     Nulls are ignored and no values give null. ``scale`` is applied to the two middle values before
     they are averaged; it must not change their order.
     """
-    middle = middle_values(df, value)
-    # Any aggregate without keys gives one row, also for no input.
-    return middle.agg(F.max(midpoint(scale)).alias(name))
+    return middle_values(df, value).agg(midpoint(scale).alias(name))
 
 
-def midpoint(scale: Callable[[Column], Column]) -> Column:
-    """The mean of the two middle values."""
-    return F.lit(0.5) * scale(F.col("lower")) + F.lit(0.5) * scale(F.col("upper"))
+def midpoint(scale: Callable[[Column], Column], where: Column | None = None) -> Column:
+    """Aggregate of ``middle_values``: the mean of the two, within the group ``where`` selects."""
+    middle = F.col("middle") if where is None else F.when(where, F.col("middle"))
+    lower, upper = (F.max(F.when(F.col(place), middle)) for place in ("lower", "upper"))
+    return F.lit(0.5) * scale(lower) + F.lit(0.5) * scale(upper)
 
 
 def middle_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """The middle value as ``lower`` and ``upper``, which differ if the count is even.
+    """The ``middle`` value, or the two of them if the count is even, with their places.
 
-    ``by`` names columns with a few distinct values; each combination that has any value gets a row.
+    One row is both ``lower`` and ``upper``, or each of two rows is one of them. ``by`` names
+    columns with a few distinct values; each combination that has any value gets its own rows.
     """
     by = list(by)
     counts = (
@@ -54,9 +55,11 @@ def middle_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
     found = _first_digit(counts, by)
     for above, shift in zip(SHIFTS, SHIFTS[1:]):
         found = _next_digit(counts, by, found, above, shift)
-    return found.groupBy(*by).agg(
-        F.max(F.when(_holds("_low"), F.col("_digit"))).alias("lower"),
-        F.max(F.when(_holds("_high"), F.col("_digit"))).alias("upper"),
+    return found.select(
+        *by,
+        F.col("_digit").alias("middle"),
+        _holds("_low").alias("lower"),
+        _holds("_high").alias("upper"),
     )
 
 

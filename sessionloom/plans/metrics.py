@@ -39,10 +39,11 @@ def order_metrics(
 ) -> DataFrame:
     """Both metrics in one row; a metric without any value is null."""
     figures = _history(events, order_type, cols, options).figures()
-    middle = middle_values(figures, "value", ["figure"])
-    visits = F.when(F.col("figure") == "session_diff", midpoint(lambda v: v.cast("double")))
-    duration = F.when(F.col("figure") == "duration_micros", midpoint(micros_to_minutes))
-    return middle.agg(F.max(visits).alias(VISITS), F.max(duration).alias(DURATION))
+    figure = F.col("figure")
+    return middle_values(figures, "value", ["figure"]).agg(
+        midpoint(lambda v: v.cast("double"), figure == "session_diff").alias(VISITS),
+        midpoint(micros_to_minutes, figure == "duration_micros").alias(DURATION),
+    )
 
 
 def order_metrics_json(

@@ -20,7 +20,10 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def span_micros(start: Column, end: Column) -> Column:
-    """Microseconds from ``start`` to ``end`` as a long; null if either is null."""
+    """Microseconds from ``start`` to ``end`` as a long; null if either is null.
+
+    Naive times are read in the session time zone, which must be UTC (``session.require_utc``).
+    """
     return F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
 
 

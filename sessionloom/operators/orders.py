@@ -23,6 +23,7 @@ from sessionloom.operators.history import (
     split,
     stored,
 )
+from sessionloom.session import require_utc
 
 
 def with_order_flag(
@@ -50,6 +51,7 @@ class OrderHistory:
         rule: SplitRule = SplitRule(),
     ):
         """``keep`` names the columns to carry besides customer, time and session; default all."""
+        require_utc(events, cols.timestamp)
         self.cols, self.rule = cols, rule
         self.hot = hot or hot_customers(events, cols.customer, rule)
         flagged = with_order_flag(events, order_type, cols).drop("order_number")

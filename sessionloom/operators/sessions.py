@@ -21,6 +21,7 @@ from sessionloom.operators.history import (
     split,
     stored,
 )
+from sessionloom.session import require_utc
 
 
 def known_customers(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
@@ -53,6 +54,7 @@ def session_columns(
     """
     if not gaps or any(gap < 0 for gap in gaps):
         raise ValueError("session lengths must be given and not be negative")
+    require_utc(df, cols.timestamp)
     added = [f"{name}_{i}" for i in range(len(gaps)) for name in ("new_session", "session_number")]
     events = known_customers(df, cols).drop("prev_timestamp", "time_diff", *added)
     hot = hot or hot_customers(events, cols.customer, rule)

@@ -6,7 +6,11 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import TimestampNTZType
+
+# Names of the zone without offset.
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "+00:00", "UCT", "Universal")
 
 
 def build_session(master: str | None = None, app: str = "sessionloom", **conf: str) -> SparkSession:
@@ -32,6 +36,13 @@ def build_session(master: str | None = None, app: str = "sessionloom", **conf: s
     return builder.getOrCreate()
 
 
+def require_utc(df: DataFrame, timestamp: str) -> None:
+    """Refuse naive timestamps in a session whose zone would bend them."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if isinstance(df.schema[timestamp].dataType, TimestampNTZType) and zone not in UTC_NAMES:
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="sessionloom-")

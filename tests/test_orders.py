@@ -117,6 +117,25 @@ def test_a_third_of_all_rows_at_one_time(spark, rule):
     assert sl.order_metrics(whole).first() == sl.order_metrics(whole, rule=rule).first()
 
 
+@pytest.mark.parametrize("rule", [SplitRule(), SPLIT])
+def test_event_values_reduce_to_group_values(spark, rule):
+    df = sl.sessionize(spark.createDataFrame(random_rows(14), EVENTS), 30, COLS, keep=["event_id"])
+    history = OrderHistory(df, rule=rule)
+    names = ("customer_id", "order_number", "max_session_for_order")
+    assert bag(history.with_last_session().select(*names).distinct(), *names) == bag(
+        history.groups(), *names
+    )
+    bounds = history.with_session_bounds().select(
+        "customer_id",
+        "session_number",
+        F.unix_micros(F.col("max_session_event").cast("timestamp"))
+        - F.unix_micros(F.col("min_session_event").cast("timestamp")),
+    )
+    assert bag(bounds.distinct(), *bounds.columns) == bag(
+        history.durations(), "customer_id", "session_number", "duration_micros"
+    )
+
+
 def test_sessions_out_of_time_order(spark):
     # Session numbers need not rise with time in a table from elsewhere.
     df = sessions_of(spark, ("v", 0), ("v", 60), ("O", 70), ("v", 140), ("O", 200), ("v", 300))

@@ -87,6 +87,16 @@ def test_bad_length(spark):
         sessionize(story(spark, ("v", 0)), -1)
 
 
+def test_a_zone_that_bends_naive_times_is_refused(spark):
+    df = story(spark, ("v", 0))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            sessionize(df, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_unknown_customers_are_dropped(spark):
     df = story(spark, ("v", 0)).unionByName(story(spark, ("v", 1), customer=None))
     assert known_customers(df).count() == 1

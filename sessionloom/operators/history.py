@@ -88,6 +88,11 @@ def split(df: DataFrame, customer: str, hot: HotCustomers) -> tuple[DataFrame, D
     return df.join(ids, same, "left_anti"), df.join(ids, same, "left_semi")
 
 
+def content_hash(df: DataFrame) -> Column:
+    """A hash of all columns Spark can hash; maps it cannot."""
+    return F.xxhash64(*[f.name for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
 def sliced(df: DataFrame, slices: int, customer: str, *order: Column) -> DataFrame:
     """Cut the rows into even ranges of (customer, order); ``SLICE`` counts them in that order.
 
@@ -96,10 +101,9 @@ def sliced(df: DataFrame, slices: int, customer: str, *order: Column) -> DataFra
     store wholly equal rows that come out of a shuffle before slicing them. Slice numbers are fixed
     only once the result is stored: use ``stored`` before reading it a second time.
     """
-    content = F.xxhash64(*df.columns)
     return (
         df.withColumn(ROW, F.monotonically_increasing_id())
-        .repartitionByRange(slices, F.col(customer), *order, content, F.col(ROW))
+        .repartitionByRange(slices, F.col(customer), *order, content_hash(df), F.col(ROW))
         .withColumn(SLICE, F.spark_partition_id())
     )
 

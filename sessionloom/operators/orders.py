@@ -14,6 +14,7 @@ from sessionloom.columns import ORDER_TYPE, Columns
 from sessionloom.functions.expressions import micros_to_minutes, order_flag, span_micros
 from sessionloom.operators.history import (
     MAX_HOT,
+    ROW,
     SLICE,
     HotCustomers,
     SplitRule,
@@ -199,7 +200,8 @@ def _ordered_in_slices(df: DataFrame, cols: Columns, slices: int) -> DataFrame:
     customer, ts = cols.customer, F.col(cols.timestamp)
     w = Window.partitionBy(customer, SLICE).orderBy(_time_order(cols))
     rows = sliced(df, slices, customer, _time_order(cols))
-    rows = stored(rows.withColumn("_run", F.sum("placed_order").over(w)), "orders")
+    rows = rows.withColumn("_run", F.sum("placed_order").over(w))
+    rows = stored(rows.drop(ROW), "orders")
 
     ends = rows.groupBy(customer, SLICE).agg(
         F.min(ts).alias("_first"),

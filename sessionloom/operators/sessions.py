@@ -16,6 +16,7 @@ from sessionloom.operators.history import (
     HotCustomers,
     SplitRule,
     carried_back,
+    content_hash,
     hot_customers,
     sliced,
     split,
@@ -35,7 +36,7 @@ def sort_events(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     The hash of the whole row comes last, so that a large group of equal keys can be divided.
     """
     customer = F.col(cols.customer).asc_nulls_first()
-    return df.orderBy(customer, *_time_order(cols), F.xxhash64(*df.columns))
+    return df.orderBy(customer, *_time_order(cols), content_hash(df))
 
 
 def session_columns(
@@ -177,7 +178,7 @@ def _numbered_in_slices(
     minutes = _minutes_since(F.col("prev_timestamp"), ts)
     rows = rows.withColumns({f"_new_{i}": _opens(minutes, gap) for i, gap in enumerate(gaps)})
     rows = rows.withColumns({f"_run_{i}": _running(F.col(f"_new_{i}"), w) for i in kinds})
-    rows = stored(rows, "sessions")
+    rows = stored(rows.drop(ROW), "sessions")
 
     slice_ends = rows.groupBy(customer, SLICE).agg(
         F.max(F.when(F.col("_head"), ts)).alias("_first"),

@@ -143,6 +143,15 @@ def test_equal_rows_are_all_kept(spark, rule):
     assert sum(got.values()) == sum(1 for r in rows if r[1] is not None)
 
 
+def test_other_columns_ride_along(spark):
+    df = spark.createDataFrame(random_rows(8), EVENTS).withColumn("more", F.create_map("type", "event_id"))
+    whole = session_columns(df, [30], COLS)
+    cut = session_columns(df, [30], COLS, rule=SPLIT)
+    names = ("event_id", "prev_timestamp", "time_diff", "new_session_0", "session_number_0")
+    assert cut.columns == whole.columns and bag(cut, *names) == bag(whole, *names)
+    assert {tuple(r) for r in cut.select(F.map_values("more")[0] == F.col("event_id")).collect()} == {(True,)}
+
+
 def test_longer_gaps_never_give_more_sessions(spark):
     df = spark.createDataFrame(random_rows(4), EVENTS)
     out = resessionize(df, [0, 15, 30, 60, 240], COLS, keep=["event_id"])

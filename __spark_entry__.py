@@ -100,8 +100,13 @@ def _iso(ts):
 
 
 def _raw_schema() -> T.StructType:
-    names = (("event-id", T.LongType()), ("customer-id", T.LongType()), ("timestamp", T.StringType()))
-    event = T.StructType([T.StructField(name, kind) for name, kind in names])
+    event = T.StructType(
+        [
+            T.StructField("event-id", T.LongType()),
+            T.StructField("customer-id", T.LongType()),
+            T.StructField("timestamp", T.StringType()),
+        ]
+    )
     return T.StructType([T.StructField("type", T.StringType()), T.StructField("event", event)])
 
 
@@ -204,7 +209,8 @@ def _stream_load(spark, sf_dir):
     path, place = _stage(spark, sf_dir), _own_database(spark)
     checkpoint = work_folder(spark, "stream")
     for _ in range(2):  # the second run finds nothing new
-        streaming.stream_load(spark, path, checkpoint, **place, available_now=True).awaitTermination()
+        load = streaming.stream_load(spark, path, checkpoint, **place, available_now=True)
+        load.awaitTermination()
     return warehouse.scan_events(spark, place["database"])
 
 

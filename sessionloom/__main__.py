@@ -1,4 +1,4 @@
-"""The jobs from the command line: ``spark-submit ... -m sessionloom`` or ``python -m sessionloom``."""
+"""The jobs from the command line: ``python -m sessionloom etl|load|metrics|view``."""
 
 from __future__ import annotations
 

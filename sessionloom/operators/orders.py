@@ -106,7 +106,8 @@ class OrderHistory:
             parts += [
                 diffs.select(F.lit("session_diff").alias("figure"), "value"),
                 durations.select(
-                    F.lit("duration_micros").alias("figure"), F.col("duration_micros").alias("value")
+                    F.lit("duration_micros").alias("figure"),
+                    F.col("duration_micros").alias("value"),
                 ),
             ]
         return _union(parts)

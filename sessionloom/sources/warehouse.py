@@ -26,13 +26,9 @@ def ensure_tables(
 
 def as_table_rows(staged: DataFrame) -> DataFrame:
     """Staged rows cast to the table's types. A number that does not fit fails the job."""
-    return staged.select(
-        *[
-            (whole_minutes(F.col(f.name)) if f.name == "time_diff" else F.col(f.name).cast(f.dataType))
-            .alias(f.name)
-            for f in TABLE_SCHEMA.fields
-        ]
-    )
+    columns = {f.name: F.col(f.name).cast(f.dataType) for f in TABLE_SCHEMA.fields}
+    columns["time_diff"] = whole_minutes(F.col("time_diff"))
+    return staged.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def rejected_rows(staged: DataFrame) -> DataFrame:

@@ -132,6 +132,28 @@ def _own_database(spark) -> dict[str, str]:
     return {"database": "webshop_" + location[-32:], "location": location}
 
 
+# --- training-data operators --------------------------------------------------------------------
+
+LLM_MODULES = ("sessionloom.llm", "sessionloom.llm.queries", "corpus_pipeline")
+
+
+def _llm(part: str) -> dict:
+    """``queries`` or ``oracle_sql`` of the subpackage for training data; nothing if it is not there."""
+    try:
+        import corpus_pipeline
+        from sessionloom.llm import queries as llm
+    except ImportError as missing:
+        if missing.name not in LLM_MODULES:
+            raise
+        return {}
+    found = dict(getattr(llm, part)())
+    if part == "queries":
+        found["pipeline"] = corpus_pipeline.run
+    elif corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
 # --- queries ----------------------------------------------------------------------------------
 
 
@@ -326,7 +348,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 q[name + end] = _ordered(step, kind, rule)
             for name, metric in figures.items():
                 q[name + end] = _order_metrics(kind, rule, metric)
-    return q
+    return q | _llm("queries")
 
 
 # --- SQL --------------------------------------------------------------------------------------
@@ -523,4 +545,4 @@ def oracle_sql() -> dict[str, str]:
                 sql[name + end] = _sql(tail, kind)
             for name, tail in _FIGURE_SQL.items():
                 sql[name + end] = _sql(tail, kind, METRICS_GAP)
-    return sql
+    return sql | _llm("oracle_sql")

@@ -175,7 +175,7 @@ def shard_draws(plan: DataFrame) -> DataFrame:
 def laid_out(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """The documents with the place of their first word in their source's stream."""
     per = targets.select(F.col("source").alias("_s"), "rank", "source_size", "target", "blocks")
-    rows = sizes.join(F.broadcast(per), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    rows = sizes.join(per, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     n = sizes.count()
     bits = min(32, max(0, math.ceil(math.log2(max(1, n / ROWS_PER_RANGE)))))
     rows = rows.withColumn("range", F.floor(F.col("h") / F.lit(1 << (32 - bits))))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sessionloom.llm.decontamination import leaks
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
+from sessionloom.llm.substring_dedup import repeat_digests
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(documents(spark, sf_dir))
+
+
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), benchmark(spark, sf_dir)).drop("text_key")
 
@@ -29,6 +34,7 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": _op1,
         "op2_benchmark_leaks": _op2,
         "op3_mix_sources": _op3,
     }

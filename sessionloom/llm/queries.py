@@ -10,6 +10,7 @@ from sessionloom.llm.decontamination import leaks
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
 from sessionloom.llm.substring_dedup import repeat_digests
+from sessionloom.llm.suffix_dedup import repeated_byte_digests
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +33,16 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_byte_digests(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": _op1,
         "op2_benchmark_leaks": _op2,
         "op3_mix_sources": _op3,
+        "op9_suffix_array_dedup": _op9,
     }
 
 

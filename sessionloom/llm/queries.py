@@ -11,6 +11,8 @@ from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
 from sessionloom.llm.substring_dedup import repeat_digests
 from sessionloom.llm.suffix_dedup import repeated_byte_digests
+from sessionloom.llm.token_files import TokenFormat, token_digests, write_tokens
+from sessionloom.session import work_folder
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +35,19 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir))
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark, "tokens")
+    write_tokens(documents(spark, sf_dir), path, TokenFormat(tokenizer_path()))
+    return token_digests(spark, path)
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_byte_digests(documents(spark, sf_dir))
 
@@ -42,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": _op1,
         "op2_benchmark_leaks": _op2,
         "op3_mix_sources": _op3,
+        "op5_token_files": _op5,
         "op9_suffix_array_dedup": _op9,
     }
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionloom.llm.decontamination import leaks
+from sessionloom.llm.fingerprints import edit_report
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
 from sessionloom.llm.substring_dedup import repeat_digests
@@ -48,6 +49,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(documents(spark, sf_dir))
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_byte_digests(documents(spark, sf_dir))
 
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_benchmark_leaks": _op2,
         "op3_mix_sources": _op3,
         "op5_token_files": _op5,
+        "op8_fingerprints": _op8,
         "op9_suffix_array_dedup": _op9,
     }
 

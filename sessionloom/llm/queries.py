@@ -10,6 +10,7 @@ from sessionloom.llm.decontamination import leaks
 from sessionloom.llm.fingerprints import edit_report
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
+from sessionloom.llm.simhash import near_duplicates
 from sessionloom.llm.substring_dedup import repeat_digests
 from sessionloom.llm.suffix_dedup import repeated_byte_digests
 from sessionloom.llm.token_files import TokenFormat, token_digests, write_tokens
@@ -57,6 +58,10 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_byte_digests(documents(spark, sf_dir))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).drop("text_key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": _op1,
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": _op5,
         "op8_fingerprints": _op8,
         "op9_suffix_array_dedup": _op9,
+        "op10_simhash_near_dedup": _op10,
     }
 
 

@@ -10,6 +10,7 @@ from sessionloom.llm.decontamination import leaks
 from sessionloom.llm.fingerprints import edit_report
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
+from sessionloom.llm.quality import fit, scored
 from sessionloom.llm.simhash import near_duplicates
 from sessionloom.llm.substring_dedup import repeat_digests
 from sessionloom.llm.suffix_dedup import repeated_byte_digests
@@ -37,6 +38,15 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scored(docs, fit(docs, labels(spark, sf_dir)))
+
+
 def tokenizer_path() -> str:
     """The public tokenizer the queries encode with."""
     import public_tokenizers
@@ -67,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": _op1,
         "op2_benchmark_leaks": _op2,
         "op3_mix_sources": _op3,
+        "op4_quality_classifier": _op4,
         "op5_token_files": _op5,
         "op8_fingerprints": _op8,
         "op9_suffix_array_dedup": _op9,

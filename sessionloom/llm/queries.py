@@ -11,6 +11,7 @@ from sessionloom.llm.fingerprints import edit_report
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
 from sessionloom.llm.quality import fit, scored
+from sessionloom.llm.sharding import shard_documents
 from sessionloom.llm.simhash import near_duplicates
 from sessionloom.llm.substring_dedup import repeat_digests
 from sessionloom.llm.suffix_dedup import repeated_byte_digests
@@ -60,6 +61,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(documents(spark, sf_dir))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_report(documents(spark, sf_dir))
 
@@ -79,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mix_sources": _op3,
         "op4_quality_classifier": _op4,
         "op5_token_files": _op5,
+        "op7_balanced_sharding": _op7,
         "op8_fingerprints": _op8,
         "op9_suffix_array_dedup": _op9,
         "op10_simhash_near_dedup": _op10,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sessionloom.llm.decontamination import leaks
 from sessionloom.llm.fingerprints import edit_report
+from sessionloom.llm.lm_scoring import score_documents
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
 from sessionloom.llm.quality import fit, scored
@@ -61,6 +62,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
 
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mix_sources": _op3,
         "op4_quality_classifier": _op4,
         "op5_token_files": _op5,
+        "op6_gru_scores": _op6,
         "op7_balanced_sharding": _op7,
         "op8_fingerprints": _op8,
         "op9_suffix_array_dedup": _op9,

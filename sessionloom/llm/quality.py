@@ -301,7 +301,7 @@ def accepted(docs: DataFrame, model: Model, rule: QualityRule = QualityRule()) -
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                texts = [(t.as_py() or "").encode() for t in batch.column(place)]
+                texts = [t.as_py() or b"" for t in batch.column(place).cast(pa.binary())]
                 good = scores(model, texts) >= rule.threshold
                 if good.any():
                     yield batch.filter(pa.array(good))

@@ -26,6 +26,7 @@ from sessionloom.llm.superkmers import (
     buckets,
     covered,
     equal_ranges,
+    keyed,
     range_hashes,
     spread,
     with_spans,
@@ -42,9 +43,9 @@ class WordWindows:
 EXPANSION = 3.2
 
 
-def window_classes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+def window_classes(data: np.ndarray, start: np.ndarray, length: np.ndarray, hashes=None) -> np.ndarray:
     """For each range a number that equal ranges share: the row of one of them."""
-    h = range_hashes(data)(start, start + length)
+    h = (hashes or range_hashes(data))(start, start + length)
     order = np.lexsort((length, h))
     a, b = order[:-1], order[1:]
     maybe = np.flatnonzero((h[a] == h[b]) & (length[a] == length[b]))
@@ -85,9 +86,10 @@ def smallest(label: np.ndarray, owner: np.ndarray) -> np.ndarray:
 
 def _decide(size: int):
     def decide(b: Bucket):
-        space = np.flatnonzero(b.data == 0x20)
         # A word ends at a space or at the end of its string.
-        stop = np.unique(np.concatenate([space, b.begin + b.length]))
+        border = np.append(b.data == 0x20, False)
+        border[b.begin + b.length] = True
+        stop = np.flatnonzero(border)
         begin = np.concatenate([[0], stop[:-1]])
         begin += (b.data[np.minimum(begin, len(b.data) - 1)] == 0x20) & (begin < len(b.data))
         string = np.searchsorted(b.begin, begin, side="right") - 1
@@ -141,8 +143,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_repeats(docs: DataFrame, rule: WordWindows) -> DataFrame:
     win = Windows(rule.window, rule.gram, words=True)
-    found = buckets(spread(docs, win, EXPANSION), win, _decide(rule.window))
-    return with_spans(docs, found)
+    rows = keyed(docs)
+    found = buckets(spread(rows, win, EXPANSION), win, _decide(rule.window))
+    return with_spans(rows, found)
 
 
 def drop_repeats(docs: DataFrame, rule: WordWindows = WordWindows()) -> DataFrame:

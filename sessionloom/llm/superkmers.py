@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from sessionloom.llm.common import text_key, whole_text
 
 NO_ID = np.iinfo(np.int64).max  # a row without an id: no document has a larger one
-SLICE_BYTES = 2_000_000
-FLUSH_BYTES = 48_000_000
+SLICE_BYTES = 400_000
+FLUSH_BYTES = 10_000_000
 BUCKET_BYTES = 4_000_000
 SEED = 20_240_501
 
@@ -104,12 +104,27 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The bytes data[start:start+length] of all ranges, one after another."""
-    total = int(length.sum())
-    if not total:
+    if not len(start):
         return np.zeros(0, dtype=np.uint8)
-    at = np.repeat((start - (np.cumsum(length) - length)).astype(np.int64), length)
-    at += np.arange(total, dtype=np.int64)
-    return data[at]
+    out, widest = [], int(length.max())
+    if widest * len(start) > 4 * int(length.sum()):  # lengths differ much: long ranges on their own
+        long = length > 4 * int(length.mean() + 1)
+        if long.any() and not long.all():
+            total = np.empty(int(length.sum()), dtype=np.uint8)
+            mine = np.repeat(long, length)
+            total[mine] = np.concatenate(
+                [data[a : a + n] for a, n in zip(start[long].tolist(), length[long].tolist())]
+            )
+            total[~mine] = gathered(data, start[~long], length[~long])
+            return total
+    # Rows of equal width are copied whole, and what is beyond a range's length is left out.
+    padded = np.concatenate([data, np.zeros(widest, dtype=np.uint8)])
+    rows = np.ndarray((len(data) + 1, widest), dtype=np.uint8, buffer=padded, strides=(1, 1))
+    step = max(1, 1_000_000 // widest)
+    for at in range(0, len(start), step):
+        part = rows[start[at : at + step]]
+        out.append(part[np.arange(widest) < length[at : at + step, None]])
+    return np.concatenate(out)
 
 
 def equal_ranges(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -169,15 +184,19 @@ def _word_units(data: np.ndarray, ends: np.ndarray):
 
 
 def _strings(data: np.ndarray, ends: np.ndarray, win: Windows):
-    """The super-k-mers of a slice: bytes, lengths, windows, hash, minimiser, document, first unit."""
+    """The super-k-mers of a slice.
+
+    The slice's units as bytes, then per string: begin, length, number of windows, hash, minimiser, where
+    the minimiser is in the string (0x8000 added if its gram is there more than once), document, unit.
+    """
     units = _word_units if win.words else _byte_units
     data, start, end, doc = units(data, ends)
     n = len(start)
     if n < win.size:
         return None
     hashes = range_hashes(data)
-    least = hashes(start[: n - win.gram + 1], end[win.gram - 1 :])
-    width, span = win.size - win.gram + 1, 1
+    grams = hashes(start[: n - win.gram + 1], end[win.gram - 1 :])
+    least, width, span = grams, win.size - win.gram + 1, 1
     while span * 2 <= width:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
@@ -204,16 +223,31 @@ def _strings(data: np.ndarray, ends: np.ndarray, win: Windows):
     begin, stop = start[first], end[first + run_length - 1 + win.size - 1]
     unit0 = np.searchsorted(doc, np.arange(len(ends)))
     return (
-        gathered(data, begin, stop - begin),
+        data,
+        begin,
         stop - begin,
         run_length,
         hashes(begin, stop),
         least[first],
+        first * 0 if win.words else _gram_places(grams, least[first], first, run_length + width - 1),
         doc[first],
         first - unit0[doc[first]],
     )
 
 
+def _gram_places(grams: np.ndarray, value: np.ndarray, first: np.ndarray, count: np.ndarray):
+    """Where in each run of grams its minimiser is first met; 0x8000 is added if it is met again."""
+    where = np.full(len(first), -1, dtype=np.int64)
+    again = np.zeros(len(first), dtype=bool)
+    live = np.arange(len(first))
+    for step in range(int(count.max())):
+        live = live[count[live] > step]
+        hit = live[grams[first[live] + step] == value[live]]
+        again[hit] = where[hit] >= 0
+        where[hit] = np.where(where[hit] < 0, step, where[hit])
+    return where + again * 0x8000
+
+
 class _Batch:
     """Super-k-mers of many documents, until there are enough for one set of blobs."""
 
@@ -230,8 +264,9 @@ class _Batch:
     def add(self, ids: np.ndarray, keys: np.ndarray, data: np.ndarray, ends: np.ndarray) -> None:
         found = _strings(data, ends, self.win)
         if found is not None:
-            self.parts.append((*found[:5], found[5] + self.docs, found[6]))
-            self.bytes += len(found[0])
+            data, begin, *rest, doc, unit = found
+            self.parts.append((data, begin + self.bytes, *rest, doc + self.docs, unit))
+            self.bytes += len(data)
         self.ids.append(ids)
         self.keys.append(keys)
         self.docs += len(ids)
@@ -240,14 +275,13 @@ class _Batch:
         if not self.parts:
             self.clear()
             return
-        data, length, windows, h, least, doc, unit = (
-            np.concatenate([p[i] for p in self.parts]) for i in range(7)
+        data, begin, length, windows, h, least, gram, doc, unit = (
+            np.concatenate([p[i] for p in self.parts]) for i in range(9)
         )
         ids, keys = np.concatenate(self.ids), np.concatenate(self.keys)
         self.clear()
-        begin = np.cumsum(length) - length
         # Equal strings next to each other, the smallest id first.
-        order = np.lexsort((unit, ids[doc], h))
+        order = np.lexsort((np.arange(len(h)), ids[doc], h))
         twin = np.zeros(len(order), dtype=bool)
         a, b = order[:-1], order[1:]
         maybe = np.flatnonzero((h[a] == h[b]) & (length[a] == length[b]))
@@ -256,20 +290,19 @@ class _Batch:
         owner = order[head]
         larger = ids[doc[order]] > ids[doc[owner]]
         yield from self._span_blobs(order[larger], doc, unit, windows, ids, keys)
-        # One string each, with every place it has in its own document.
+        # One string each, in the order of the documents, with its places in its own document.
         sent = ~larger
         place, owner = order[sent], owner[sent]
         strings, which = np.unique(owner, return_inverse=True)
         key = (least[strings] >> np.uint64(32)) * np.uint64(self.buckets)
         bucket = (key >> np.uint64(32)).astype(np.int64)
-        minimiser = ((key & np.uint64(0xFFFFFFFF)) >> np.uint64(8)).astype(np.int64)
-        ranked = np.lexsort((minimiser, bucket))
+        ranked = np.argsort(bucket, kind="stable")
         position = np.empty(len(strings), dtype=np.int64)
         position[ranked] = np.arange(len(strings))
         which = position[which]
-        by_string = np.argsort(which, kind="stable")
+        by_string = np.lexsort((place, which))
         place, which = place[by_string], which[by_string]
-        strings, bucket, minimiser = strings[ranked], bucket[ranked], minimiser[ranked]
+        strings, bucket = strings[ranked], bucket[ranked]
         found, lo = np.unique(bucket, return_index=True)
         hi = np.append(lo[1:], len(bucket))
         places = np.searchsorted(which, np.append(lo, len(bucket)))
@@ -277,18 +310,18 @@ class _Batch:
             s = strings[lo[i] : hi[i]]
             p, w = place[places[i] : places[i + 1]], which[places[i] : places[i + 1]] - lo[i]
             docs, at = np.unique(doc[p], return_inverse=True)
-            m = minimiser[lo[i] : hi[i]]
+            # Of bytes the number of windows follows from the length, so only one of them is sent.
             yield int(no), _packed(
                 1,
                 [
                     gathered(data, begin[s], length[s]),
-                    length[s].astype(np.int32),
-                    windows[s].astype(np.int32),
-                    np.diff(m, prepend=0).astype(np.int32),
+                    (length[s] if not self.win.words else windows[s]).astype(np.uint16),
+                    length[s].astype(np.int32) if self.win.words else np.zeros(0, np.int32),
+                    gram[s].astype(np.uint16) if not self.win.words else np.zeros(0, np.uint16),
                     np.diff(w, prepend=0).astype(np.int32),
-                    at.astype(np.int32),
+                    np.diff(at, prepend=0).astype(np.int32),
                     unit[p].astype(np.int32),
-                    ids[docs],
+                    np.diff(ids[docs], prepend=0),
                     keys[docs],
                 ],
             )
@@ -322,7 +355,7 @@ def _packed(kind: int, arrays: list[np.ndarray]) -> bytes:
 
 _KINDS = {
     0: (np.int32, np.int32, np.int64, np.int64),
-    1: (np.uint8, *[np.int32] * 6, np.int64, np.int64),
+    1: (np.uint8, np.uint16, np.int32, np.uint16, *[np.int32] * 3, np.int64, np.int64),
 }
 
 
@@ -389,13 +422,20 @@ def _blob_rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def spread(docs: DataFrame, win: Windows, expansion: float) -> DataFrame:
-    """One row per batch of documents and bucket. The number of buckets follows the bytes of text."""
-    rows = docs.select(
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key and text as bytes. Where ids are unique the key is 0: it has nothing to tell."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    unique = ids.groupBy("doc_id").count().filter(F.col("count") > 1).isEmpty()
+    return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        text_key("text").alias("text_key"),
+        (F.lit(0).cast("long") if unique else text_key("text")).alias("text_key"),
         whole_text("text").cast("binary").alias("text"),
     )
+
+
+def spread(docs: DataFrame, win: Windows, expansion: float) -> DataFrame:
+    """One row per batch of ``keyed`` documents and bucket; the number of buckets follows the bytes."""
+    rows = docs
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, int(total * expansion / BUCKET_BYTES) + 1)
     return rows.mapInArrow(_spread(win, buckets), BLOB_SCHEMA)
@@ -406,13 +446,13 @@ def spread(docs: DataFrame, win: Windows, expansion: float) -> DataFrame:
 
 @dataclass
 class Bucket:
-    """The strings of one bucket: bytes, begin, length, windows, minimiser, and the smallest id."""
+    """The strings of one bucket: bytes, begin, length, windows, place of the minimiser, smallest id."""
 
     data: np.ndarray
     begin: np.ndarray
     length: np.ndarray
     windows: np.ndarray
-    minimiser: np.ndarray
+    gram: np.ndarray
     owner: np.ndarray
 
 
@@ -439,21 +479,22 @@ def _decided(win: Windows, decide: Decide):
 
 def _repeats(parts: list[list[np.ndarray]], win: Windows, decide: Decide):
     data = np.concatenate([p[0] for p in parts])
-    length = np.concatenate([p[1] for p in parts]).astype(np.int64)
-    windows = np.concatenate([p[2] for p in parts]).astype(np.int64)
-    minimiser = np.concatenate([np.cumsum(p[3], dtype=np.int64) for p in parts])
+    number = np.concatenate([p[1] for p in parts]).astype(np.int64)
+    length = np.concatenate([p[2] for p in parts]).astype(np.int64) if win.words else number
+    windows = number if win.words else number - win.size + 1
+    gram = np.concatenate([p[3] for p in parts]).astype(np.int64)
     strings = np.cumsum([0] + [len(p[1]) for p in parts])
     docs = np.cumsum([0] + [len(p[7]) for p in parts])
     which = np.concatenate([np.cumsum(p[4], dtype=np.int64) + strings[i] for i, p in enumerate(parts)])
-    doc = np.concatenate([p[5].astype(np.int64) + docs[i] for i, p in enumerate(parts)])
+    doc = np.concatenate([np.cumsum(p[5], dtype=np.int64) + docs[i] for i, p in enumerate(parts)])
     unit = np.concatenate([p[6] for p in parts]).astype(np.int64)
-    ids = np.concatenate([p[7] for p in parts])
+    ids = np.concatenate([np.cumsum(p[7], dtype=np.int64) for p in parts])
     keys = np.concatenate([p[8] for p in parts])
     # Every place of a string is in documents of one id.
     first = np.searchsorted(which, np.arange(len(length)))
     owner = ids[doc[first]]
     begin = np.cumsum(length) - length
-    string, window, n = decide(Bucket(data, begin, length, windows, minimiser, owner))
+    string, window, n = decide(Bucket(data, begin, length, windows, gram, owner))
     # Each run, for each place of its string.
     lo, hi = np.searchsorted(which, string), np.searchsorted(which, string, side="right")
     times = hi - lo
@@ -492,14 +533,10 @@ def buckets(blobs: DataFrame, win: Windows, decide: Decide) -> DataFrame:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Every document's id and text with all its spans (null if it has none), one row per row."""
+    """Every ``keyed`` document's id and text with its spans (null if it has none), one row per row."""
     per = spans.groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans"))
     per = per.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        text_key("text").alias("text_key"),
-        whole_text("text").cast("binary").alias("text"),
-    )
+    rows = docs
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     return rows.join(per, same, "left").select("doc_id", "text", "spans")
 

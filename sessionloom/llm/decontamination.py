@@ -6,12 +6,12 @@ the benchmark items, so a question is found again after its numbers and names we
 of document and item then has to agree on its slots: every value of an item is bound to the value that
 most windows of the document show in its place, and windows that show another one do not count.
 
-A window counts in a second form too, with names kept as lower-case words, so that a passage in other
-capitals is found. Items with fewer tokens than a window have none and match nothing: a phrase that
-short occurs by chance.
+Items with fewer tokens than a window have none and match nothing: a phrase that short occurs by
+chance.
 
-Only DataFrame functions are used. The benchmark's windows are broadcast if they are counted to be at
-most ``BROADCAST_WINDOWS``; otherwise both sides are shuffled by window.
+Only DataFrame functions are used. If the benchmark's windows are counted to be at most
+``BROADCAST_WINDOWS`` they are broadcast and the texts are read once, without a shuffle; otherwise both
+sides are shuffled by window, and the matching documents are read again.
 """
 
 from __future__ import annotations
@@ -33,20 +33,18 @@ UNITS = (
     "km h mph kmh hz khz mhz ghz v volt volts w kw watt watts j kj joule joules n newton newtons "
     "dollar dollars cent cents euro euros percent degree degrees"
 )
-_LETTER = r"[\p{L}\p{M}]"
-_NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
-_AFTER_NUMBER = (
-    rf"(?i){NUMBER}\s*(?:{'|'.join(sorted(set(UNITS.split()), key=lambda u: (-len(u), u)))})(?!{_LETTER})"
-)
-_CAPITALISED = rf"(?<!{_LETTER})\p{{Lu}}[\p{{Ll}}\p{{M}}]+(?!{_LETTER})"
-_BREAK = rf"[^\p{{L}}\p{{M}}{NUMBER}-{NAME}]+"
-_TOKEN = rf"({_NUMBER}|{_LETTER}+)"
+_WORD = r"\p{L}\p{M}\p{N}"
+_UNITS = "|".join(sorted(set(UNITS.split()), key=lambda u: (-len(u), u)))
+_NUMBER = r"\p{N}+"
+_AFTER_NUMBER = rf"(?i){NUMBER}\s+(?:{_UNITS})(?![{_WORD}])"
+_CAPITALISED = rf"(?<![{_WORD}])\p{{Lu}}[\p{{Ll}}\p{{M}}]+(?![{_WORD}])"
+_BREAK = rf"[^{_WORD}{NUMBER}-{NAME}]+"
 BROADCAST_WINDOWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class LeakRule:
-    """``window``: tokens. ``literals``: tokens of a window that must not be placeholders.
+    """``window``: tokens, a power of two. ``literals``: tokens of a window that are no placeholders.
 
     ``coverage``: share of an item's windows that a document must hold.
     """
@@ -57,67 +55,56 @@ class LeakRule:
 
 
 def _tokens(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), _BREAK), "")
+    return F.array_remove(F.split(text, _BREAK), "")
 
 
 def templates(df: DataFrame, text: str) -> DataFrame:
-    """Add ``plain`` and ``named``: the tokens with numbers and units, and with names too, as types."""
-    clean = F.regexp_replace(whole_text(text), f"[{NUMBER}-{NAME}]", " ")
-    typed = F.regexp_replace(clean, _NUMBER, f" {NUMBER} ")
-    typed = F.regexp_replace(typed, _AFTER_NUMBER, f"{NUMBER} {UNIT} ")
-    named = F.regexp_replace(F.col("_typed"), _CAPITALISED, NAME)
-    return (
-        df.withColumn("_typed", typed)
-        .withColumn("plain", _tokens(F.col("_typed")))
-        .withColumn("named", _tokens(named))
-        .drop("_typed")
-    )
+    """Add ``surface``, the words and numbers of the text, and ``shape``, the same ones with types.
 
-
-def raw_tokens(text: str) -> Column:
-    """The values behind the tokens of ``templates``, one for one, in lower case but for numbers."""
-    clean = F.regexp_replace(whole_text(text), f"[{NUMBER}-{NAME}]", " ")
-    return F.regexp_extract_all(F.lower(clean), F.lit(_TOKEN), 1)
+    Placeholders stand in the place of what they replace, so the two match one for one.
+    """
+    typed = F.regexp_replace(whole_text(text), _NUMBER, NUMBER)
+    typed = F.regexp_replace(typed, _AFTER_NUMBER, f"{NUMBER} {UNIT}")
+    typed = F.regexp_replace(typed, _CAPITALISED, NAME)
+    return df.withColumn("surface", _tokens(whole_text(text))).withColumn(
+        "shape", _tokens(F.lower(typed))
+    )
 
 
-def _window_hashes(size: int) -> Column:
-    """For every window its position (from 1) and its two hashes."""
-    last = F.size("plain") - size + 1
-    places = F.when(last >= 1, F.sequence(F.lit(1), last))
-    return F.transform(
-        places,
-        lambda i: F.struct(
-            i.alias("pos"),
-            F.xxhash64(F.slice("plain", i, size)).alias("plain_hash"),
-            F.xxhash64(F.slice("named", i, size)).alias("named_hash"),
-        ),
-    )
+def _with_hashes(df: DataFrame, size: int) -> DataFrame:
+    """Add ``hashes``: one for every window of ``shape``, built by doubling."""
+    if size < 2 or size & (size - 1):
+        raise ValueError("the window must be a power of two")
+    df = df.withColumn("hashes", F.transform("shape", lambda t: F.xxhash64(t)))
+    span = 1
+    while span < size:
+        later = F.slice("hashes", span + 1, F.greatest(F.size("hashes"), F.lit(1)))
+        df = df.withColumn("hashes", F.zip_with("hashes", later, lambda x, y: F.xxhash64(x, y)))
+        span *= 2
+    # The last size - 1 entries have run over the end.
+    whole = F.greatest(F.size("shape") - (size - 1), F.lit(0))
+    return df.withColumn("hashes", F.slice("hashes", 1, whole))
 
 
-def _exploded(df: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """One row per window and form; the two forms of a window without names are one."""
-    rows = df.select(*keys, F.explode(_window_hashes(size)).alias("w"))
-    plain, named = F.col("w.plain_hash"), F.col("w.named_hash")
-    forms = F.when(plain == named, F.array(plain)).otherwise(F.array(plain, named))
-    return rows.select(*keys, F.col("w.pos").alias("pos"), F.explode(forms).alias("hash"))
+def _is_type(token: Column) -> Column:
+    return F.substring(token, 1, 1).isin(NUMBER, UNIT, NAME)
 
 
 def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
     """The distinct windows of every item, without those that are mostly placeholders."""
-    is_type = lambda t: t.isin(NUMBER, UNIT, NAME)
-    literals = rule.window - F.size(
-        F.filter(F.slice(F.col("named"), F.col("pos"), rule.window), is_type)
-    )
     rows = items.select(
-        "item_id", "named", F.explode(_window_hashes(rule.window)).alias("w")
-    ).select("item_id", "named", F.col("w.pos").alias("pos"), "w.plain_hash", "w.named_hash")
-    rows = rows.filter(literals >= rule.literals)
-    plain, named = F.col("plain_hash"), F.col("named_hash")
-    forms = F.when(plain == named, F.array(plain)).otherwise(F.array(plain, named))
-    rows = rows.select("item_id", "pos", F.col("named_hash").alias("window"), F.explode(forms).alias("hash"))
-    return rows.groupBy("item_id", "hash").agg(
-        F.min(F.struct("pos", "window")).alias("_first")
-    ).select("item_id", "hash", F.col("_first.pos").alias("item_pos"), F.col("_first.window").alias("window"))
+        "item_id", "shape", "surface", F.posexplode("hashes").alias("place", "hash")
+    )
+    shape = F.slice("shape", F.col("place") + 1, rule.window)
+    rows = rows.select(
+        "item_id",
+        "hash",
+        "place",
+        shape.alias("item_shape"),
+        F.slice("surface", F.col("place") + 1, rule.window).alias("item_surface"),
+    ).filter(rule.window - F.size(F.filter("item_shape", _is_type)) >= rule.literals)
+    first = F.min_by(F.struct("item_shape", "item_surface"), "place").alias("first")
+    return rows.groupBy("item_id", "hash").agg(first).select("item_id", "hash", "first.*")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) -> DataFrame:
@@ -131,32 +118,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
     """
     bench = benchmark.select(F.col("item_id").alias("_id"), F.col("text").alias("_text")).distinct()
     bench = bench.withColumn("item_id", F.xxhash64("_id", "_text"))
-    bench = stored(
-        templates(bench, "_text").withColumn("item_raw", raw_tokens("_text")).drop("_text"),
-        "leak-benchmark",
-    )
+    bench = stored(_with_hashes(templates(bench, "_text"), rule.window), "leak-benchmark")
     windows = stored(benchmark_windows(bench, rule), "leak-windows")
     few = windows.count() <= BROADCAST_WINDOWS
-    known = F.broadcast(windows) if few else windows
-
-    keyed = docs.select("doc_id", "text", text_key("text").alias("text_key"))
-    rows = _exploded(templates(keyed, "text"), ["doc_id", "text_key"], rule.window)
-    found = rows.join(known, "hash").select("doc_id", "text_key", "item_id", "pos", "item_pos", "window")
-    # What a document must hold even before its slots are looked at.
-    totals = windows.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
-    totals = F.broadcast(totals) if few else totals
-    per = ["doc_id", "text_key", "item_id"]
-    pairs = found.distinct().groupBy(*per).agg(
-        F.countDistinct("window").alias("_n"),
-        F.collect_set(F.struct("pos", "item_pos", "window")).alias("places"),
-    )
-    pairs = pairs.join(totals, "item_id").filter(
-        F.col("_n") >= F.lit(rule.coverage) * F.col("item_windows")
-    )
-    pairs = stored(pairs.drop("_n"), "leak-pairs")
-    kept = _consistent(pairs, keyed, bench, rule)
+    totals = windows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
+
+    keyed = docs.select("doc_id", text_key("text").alias("text_key"), "text")
+    rows = _with_hashes(templates(keyed, "text"), rule.window)
+    found = _found_at_once(rows, windows, rule) if few else _found_again(rows, windows, rule)
+    kept = _consistent(stored(found, "leak-matches"), totals, rule)
     ids = bench.select("item_id", F.col("_id").alias("_benchmark_id"))
-    ids = F.broadcast(ids) if few else ids
     return kept.join(ids, "item_id").select(
         "doc_id",
         F.col("_benchmark_id").alias("item_id"),
@@ -168,60 +139,65 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
     )
 
 
-def _consistent(pairs: DataFrame, keyed: DataFrame, bench: DataFrame, rule: LeakRule) -> DataFrame:
-    """Count the windows of each pair whose slots agree with the pair's bindings."""
-    per = ["doc_id", "text_key", "item_id"]
-    wanted = pairs.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))
-    texts = keyed.join(wanted, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
-    texts = templates(texts, "text").select(
-        F.col("doc_id").alias("_d"),
-        F.col("text_key").alias("_t"),
-        F.col("plain").alias("doc_plain"),
-        F.col("named").alias("doc_named"),
-        raw_tokens("text").alias("doc_raw"),
-    )
-    items = bench.select("item_id", "plain", "named", "item_raw")
-    rows = pairs.join(texts, same).join(items, "item_id")
-    size = rule.window
-
-    def cut(column: str, place: Column) -> Column:
-        return F.slice(F.col(column), place, size)
-
-    # Hashes only propose; the tokens decide. Slots are the placeholders of the item's window.
-    seen = F.transform(
-        F.col("places"),
-        lambda p: F.struct(
-            p["window"].alias("window"),
-            (
-                (cut("doc_plain", p["pos"]) == cut("plain", p["item_pos"]))
-                | (cut("doc_named", p["pos"]) == cut("named", p["item_pos"]))
-            ).alias("equal"),
-            F.filter(
-                F.arrays_zip(
-                    cut("named", p["item_pos"]).alias("type"),
-                    cut("item_raw", p["item_pos"]).alias("item_value"),
-                    cut("doc_raw", p["pos"]).alias("doc_value"),
-                ),
-                lambda s: s["type"].isin(NUMBER, UNIT, NAME),
-            ).alias("slots"),
+PER = ("doc_id", "text_key", "item_id")
+
+
+def _slots(rows: DataFrame, rule: LeakRule) -> DataFrame:
+    """One row per window in both texts, with its slots. Hashes propose, the tokens decide."""
+    place = F.col("place") + 1
+    # Neither less nor greater: a plain equality would become a key of the join, and every window's
+    # tokens would be copied for it. In this form only windows whose hash has met are looked at.
+    shape, item = F.slice("shape", place, rule.window), F.col("item_shape")
+    rows = rows.filter((shape <= item) & (shape >= item))
+    surface = F.slice("surface", place, rule.window)
+    slots = F.filter(
+        F.arrays_zip(
+            F.col("item_shape").alias("type"),
+            F.transform("item_surface", F.lower).alias("item_value"),
+            F.transform(surface, F.lower).alias("doc_value"),
         ),
+        lambda s: _is_type(s["type"]),
+    )
+    return rows.select(*PER, "place", "hash", slots.alias("slots"))
+
+
+def _found_at_once(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
+    """The matches of a benchmark whose windows fit a broadcast.
+
+    The outer form keeps Spark from adding a filter that computes all hashes a second time.
+    """
+    exploded = rows.select(
+        "doc_id", "text_key", "shape", "surface", F.posexplode_outer("hashes").alias("place", "hash")
     )
-    rows = rows.select(*per, "item_windows", F.posexplode(F.filter(seen, lambda s: s["equal"])))
-    rows = stored(rows.select(*per, "item_windows", "pos", "col.window", "col.slots"), "leak-slots")
-    slots = rows.select(*per, "pos", F.explode("slots").alias("s")).select(*per, "pos", "s.*")
-    votes = slots.groupBy(*per, "type", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
-    by_value = Window.partitionBy(*per, "type", "item_value").orderBy(F.desc("n"), "doc_value")
-    lost = votes.withColumn("place", F.row_number().over(by_value)).filter(F.col("place") > 1)
-    slot = [*per, "type", "item_value", "doc_value"]
-    wrong = _matched(slots, lost, slot, "left_semi")
-    wrong = wrong.select(*per, "pos").distinct()
-    agreed = _matched(rows, wrong, [*per, "pos"], "left_anti")
+    return _slots(exploded.join(F.broadcast(windows), "hash"), rule)
+
+
+def _found_again(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
+    """The matches of a larger benchmark: only hashes are shuffled, then the texts that match."""
+    exploded = rows.select("doc_id", "text_key", F.posexplode_outer("hashes").alias("place", "hash"))
+    hits = exploded.join(windows.select("hash").distinct(), "hash").distinct()
+    places = hits.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).agg(
+        F.collect_list(F.struct("place", "hash")).alias("places")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))
+    again = rows.select("doc_id", "text_key", "shape", "surface").join(places, same)
+    again = again.select("doc_id", "text_key", "shape", "surface", F.inline("places"))
+    return _slots(again.join(windows, "hash"), rule)
+
+
+def _consistent(rows: DataFrame, totals: DataFrame, rule: LeakRule) -> DataFrame:
+    """Count the windows of each pair whose slots agree with the pair's bindings."""
+    slots = rows.select(*PER, "place", F.explode("slots").alias("s")).select(*PER, "place", "s.*")
+    votes = slots.groupBy(*PER, "type", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
+    by_value = Window.partitionBy(*PER, "type", "item_value").orderBy(F.desc("n"), "doc_value")
+    lost = votes.withColumn("turn", F.row_number().over(by_value)).filter(F.col("turn") > 1)
+    wrong = _matched(slots, lost, [*PER, "type", "item_value", "doc_value"], "left_semi")
+    agreed = _matched(rows, wrong.select(*PER, "place").distinct(), [*PER, "place"], "left_anti")
     changed = F.exists("slots", lambda s: s["item_value"] != s["doc_value"])
-    out = agreed.groupBy(*per, "item_windows").agg(
-        F.countDistinct("window").alias("n_windows"),
-        (~F.max(changed)).alias("exact"),
+    out = agreed.groupBy(*PER).agg(
+        F.countDistinct("hash").alias("n_windows"), (~F.max(changed)).alias("exact")
     )
+    out = out.join(totals, "item_id")
     return out.filter(F.col("n_windows") >= F.lit(rule.coverage) * F.col("item_windows"))
 
 

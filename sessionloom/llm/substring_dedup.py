@@ -4,8 +4,9 @@ Every window of ``window`` consecutive words that also starts in a document with
 repeat, and the words it covers are removed. Windows are judged on the input, so the result does not
 depend on any order of work.
 
-Windows that share a minimiser (the two-word gram with the smallest hash) travel as one packed string
-to its bucket (``superkmers``). In a bucket all windows are sorted by a 64-bit hash and neighbours are
+Consecutive windows that share a minimiser (the two-word gram with the smallest hash) travel as one
+packed string to its bucket, unless their contexts show that no other document has them
+(``superkmers``). In a bucket all windows are sorted by a 64-bit hash and neighbours are
 compared word for word, so equal windows are found exactly.
 """
 
@@ -39,8 +40,9 @@ class WordWindows:
     gram: int = 2
 
 
-# Bytes sent over bytes of text: about six windows share a string of eighteen words.
-EXPANSION = 3.2
+# Bytes sent over bytes of text: about six windows share a string of eighteen words, which makes three,
+# but only strings that share half a window with another document are sent.
+EXPANSION = 1.2
 
 
 def window_classes(data: np.ndarray, start: np.ndarray, length: np.ndarray, hashes=None) -> np.ndarray:

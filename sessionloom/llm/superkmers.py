@@ -1,17 +1,23 @@
 """Windows of all documents, brought together by content.
 
-A window is a number of consecutive units (words or bytes) of one document. Inside a window the gram
-with the smallest hash is its minimiser, so equal windows have equal minimisers. Consecutive windows
-that share one travel together as one string to the bucket of that minimiser: a window then costs a
-few bytes instead of a whole copy of its text, and all equal windows meet in one bucket.
+A window is a number of consecutive units (words or bytes) of one document. Inside a window the first
+gram with the smallest hash is its minimiser, so equal windows have equal minimisers in equal places.
+Consecutive windows whose minimiser is in the same place travel together as one string to the bucket of
+the minimiser: a window then costs a few bytes instead of a whole copy of its text, and all equal
+windows meet in one bucket.
 
-``spread`` runs inside a task over a few megabytes of documents at a time and makes one compressed
-blob per bucket. Before anything travels, equal strings of that batch are merged: only the smallest
-id's string is sent, and the others are known to be repeats of it. A passage that a third of all
-documents share therefore reaches its bucket once per batch, not once per document.
+Most strings have no equal window anywhere, and need not travel. A window has at least half of its other
+units on one side of its minimiser. So two documents share a window only if they agree on the
+minimiser and that many units before it, or after it. ``shared_places`` sends hashes of these two
+contexts of each string, and gives back which strings have one in common with another id.
+
+``spread`` sends those strings. It runs inside a task over a few megabytes of documents at a time and
+makes one compressed blob per bucket. Before anything travels, equal contexts and equal strings of a
+batch are merged: of a passage that a third of all documents share, each batch sends one copy.
 
 ``buckets`` deals the blobs to their buckets and lets a function decide there, per string, which of
-its windows also start in a document with a smaller id. ``spans_of`` gathers the answers per document.
+its windows also start in a document with a smaller id. ``with_spans`` joins the answers to the
+documents; the shuffle of the texts is the one that ``spread`` has read before.
 """
 
 from __future__ import annotations
@@ -27,14 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.llm.common import text_key, whole_text
+from sessionloom.llm.words import split_words, text_bytes
 
 NO_ID = np.iinfo(np.int64).max  # a row without an id: no document has a larger one
 SLICE_BYTES = 400_000
-FLUSH_BYTES = 10_000_000
+FLUSH_BYTES = 16_000_000
+CONTEXT_FLUSH_BYTES = 8_000_000
 BUCKET_BYTES = 4_000_000
 SEED = 20_240_501
 
+POSITION_BITS = 24
+SEGMENT_UNITS = 1 << (POSITION_BITS - 2)
+
 BLOB_SCHEMA = "bucket int, blob binary"
+PLACE_SCHEMA = "doc_id long, text_key long, places binary"
 SPAN_SCHEMA = "doc_id long, text_key long, spans binary"
 
 
@@ -46,6 +58,11 @@ class Windows:
     gram: int
     words: bool
 
+    @property
+    def side(self) -> int:
+        """Units that every window has before its minimiser, or else after it."""
+        return -(-(self.size - self.gram) // 2)
+
 
 # --- hashes of byte ranges ----------------------------------------------------------------------
 
@@ -150,10 +167,6 @@ def equal_ranges(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndar
 
 # --- units --------------------------------------------------------------------------------------
 
-_IS_BREAK = np.zeros(256, dtype=bool)
-_IS_BREAK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-
-
 def _byte_units(data: np.ndarray, ends: np.ndarray):
     at = np.arange(len(data), dtype=np.int64)
     doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
@@ -162,90 +175,218 @@ def _byte_units(data: np.ndarray, ends: np.ndarray):
 
 def _word_units(data: np.ndarray, ends: np.ndarray):
     """The documents' words with one space after each, and where each word starts and ends."""
-    begin = np.zeros(len(data) + 1, dtype=bool)
-    begin[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = True  # documents do not join words
-    letter = ~_IS_BREAK[data]
-    first = letter & (begin[:-1] | ~np.concatenate([[False], letter[:-1]]))
-    start = np.flatnonzero(first)
-    if not len(start):
-        return np.zeros(0, dtype=np.uint8), start, start, start
-    # Lengths: letters between one word's start and the next one's.
-    count = np.add.reduceat(letter.astype(np.int64), start)
-    doc = np.searchsorted(ends, start, side="right")
-    out_start = np.cumsum(count + 1) - (count + 1)
+    letters, count, doc = split_words(data, ends)
+    start = np.cumsum(count + 1) - (count + 1)
     out = np.full(int((count + 1).sum()), 0x20, dtype=np.uint8)
     at = np.ones(len(out), dtype=bool)
-    at[out_start + count] = False
-    out[at] = data[letter]
-    return out, out_start, out_start + count, doc
+    at[start + count] = False
+    out[at] = letters
+    return out, start, start + count, doc
 
 
 # --- map side -----------------------------------------------------------------------------------
 
 
-def _strings(data: np.ndarray, ends: np.ndarray, win: Windows):
-    """The super-k-mers of a slice.
+@dataclass
+class _Strings:
+    """The super-k-mers of some documents, in order: per string the first unit (in the slice), the number
+    of windows, the place of the minimiser, the document, its number in the document."""
+
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    unit0: np.ndarray
+    hashes: Callable
+    first: np.ndarray
+    windows: np.ndarray
+    gram: np.ndarray
+    doc: np.ndarray
+    number: np.ndarray
+
 
-    The slice's units as bytes, then per string: begin, length, number of windows, hash, minimiser, where
-    the minimiser is in the string (0x8000 added if its gram is there more than once), document, unit.
-    """
-    units = _word_units if win.words else _byte_units
-    data, start, end, doc = units(data, ends)
+def _strings(data: np.ndarray, ends: np.ndarray, win: Windows) -> _Strings | None:
+    data, start, end, doc = (_word_units if win.words else _byte_units)(data, ends)
     n = len(start)
     if n < win.size:
         return None
     hashes = range_hashes(data)
-    grams = hashes(start[: n - win.gram + 1], end[win.gram - 1 :])
-    least, width, span = grams, win.size - win.gram + 1, 1
+    first, windows, gram = [], [], []
+    # Long documents in segments that overlap by a window less one unit.
+    for lo in range(0, n - win.size + 1, SEGMENT_UNITS):
+        hi = min(n, lo + SEGMENT_UNITS + win.size - 1)
+        f, w, g = _runs(hashes, start[lo:hi], end[lo:hi], doc[lo:hi], win)
+        first.append(f + lo)
+        windows.append(w)
+        gram.append(g + lo)
+    first, windows, gram = np.concatenate(first), np.concatenate(windows), np.concatenate(gram)
+    if not len(first):
+        return None
+    of = doc[first]
+    docs = np.arange(len(ends))
+    number = np.arange(len(of)) - np.searchsorted(of, docs)[of]
+    return _Strings(
+        data, start, end, np.searchsorted(doc, docs), hashes, first, windows, gram, of, number
+    )
+
+
+def _runs(hashes, start: np.ndarray, end: np.ndarray, doc: np.ndarray, win: Windows):
+    """Runs of windows whose minimiser is in the same place: first window, number, that place."""
+    n = len(start)
+    if n < win.size:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    low = np.uint64((1 << POSITION_BITS) - 1)
+    least = hashes(start[: n - win.gram + 1], end[win.gram - 1 :])
+    least &= ~low
+    least |= np.arange(len(least), dtype=np.uint64)  # of equal hashes the first
+    width, span = win.size - win.gram + 1, 1
     while span * 2 <= width:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     if width > span:
         least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
-    # Windows inside one document, cut into runs that share the minimiser.
-    inside = doc[: n - win.size + 1] == doc[win.size - 1 :]
-    place = np.flatnonzero(inside)
+    place = np.flatnonzero(doc[: n - win.size + 1] == doc[win.size - 1 :])
     if not len(place):
-        return None
+        return (np.zeros(0, dtype=np.int64),) * 3
+    least = least[place]
     new = np.ones(len(place), dtype=bool)
-    new[1:] = (np.diff(place) != 1) | (least[place[1:]] != least[place[:-1]])
-    new[1:] |= doc[place[1:]] != doc[place[:-1]]
+    # A place is in one document only, but hashes of a place's gram may repeat with other bits.
+    new[1:] = ((least[1:] ^ least[:-1]) & low != 0) | (np.diff(place) != 1)
     run = np.flatnonzero(new)
-    # A periodic text would give runs without end.
-    most = 4 * win.size
-    run_length = np.diff(run, append=len(place))
-    if run_length.max() > most:
-        pieces = -(-run_length // most)
-        at = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        run = np.repeat(run, pieces) + at * most
-        run_length = np.minimum(most, np.repeat(run_length, pieces) - at * most)
-    first = place[run]
-    begin, stop = start[first], end[first + run_length - 1 + win.size - 1]
-    unit0 = np.searchsorted(doc, np.arange(len(ends)))
-    return (
-        data,
-        begin,
-        stop - begin,
-        run_length,
-        hashes(begin, stop),
-        least[first],
-        first * 0 if win.words else _gram_places(grams, least[first], first, run_length + width - 1),
-        doc[first],
-        first - unit0[doc[first]],
-    )
+    return place[run], np.diff(run, append=len(place)), (least[run] & low).astype(np.int64)
+
+
+class _Contexts:
+    """Context hashes of many documents' strings, until there are enough for one set of blobs."""
+
+    def __init__(self, win: Windows, buckets: int):
+        self.win, self.buckets = win, buckets
+        self.clear()
+
+    def clear(self) -> None:
+        self.parts: list[tuple] = []
+        self.ids: list[np.ndarray] = []
+        self.keys: list[np.ndarray] = []
+        self.docs, self.bytes = 0, 0
+
+    def add(self, ids, keys, data, ends) -> None:
+        win, s = self.win, _strings(data, ends, self.win)
+        if s is not None:
+            last = s.first + s.windows + win.size - 2
+            left = np.flatnonzero(s.gram - s.first >= win.side)
+            right = np.flatnonzero(last - (s.gram + win.gram - 1) >= win.side)
+            for rows, side, a, b in (
+                (left, 0, s.gram[left] - win.side, s.gram[left] + win.gram - 1),
+                (right, 1, s.gram[right], s.gram[right] + win.gram + win.side - 1),
+            ):
+                h = mixed(s.hashes(s.start[a], s.end[b]) + np.uint64(side))
+                self.parts.append((h, s.doc[rows] + self.docs, s.number[rows]))
+        self.bytes += len(data)
+        self.ids.append(ids)
+        self.keys.append(keys)
+        self.docs += len(ids)
+
+    def blobs(self) -> Iterator[tuple[int, bytes]]:
+        if not self.parts:
+            self.clear()
+            return
+        h, doc, number = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
+        ids, keys = np.concatenate(self.ids), np.concatenate(self.keys)
+        self.clear()
+        several, first = shared_keys(h, ids[doc])
+        # Contexts of more than one id in this batch are known to be shared; one of each still goes out.
+        yield from _place_blobs(several, doc, number, ids, keys, self.buckets)
+        tell = first & several
+        entry = np.flatnonzero(~several | tell)
+        entry = entry[np.lexsort((number[entry], doc[entry]))]
+        key = (h[entry] >> np.uint64(32)) * np.uint64(self.buckets)
+        bucket = (key >> np.uint64(32)).astype(np.int64)
+        low = (h[entry] ^ (h[entry] >> np.uint64(32))).astype(np.uint32)
+        for no, rows in _split(bucket, np.arange(len(entry))):
+            e = entry[rows]
+            docs, at = np.unique(doc[e], return_inverse=True)
+            yield no, _packed(
+                2,
+                [
+                    low[rows],
+                    np.packbits(tell[e]),
+                    np.diff(at, prepend=0).astype(np.int32),
+                    number[e].astype(np.int32),
+                    np.diff(ids[docs], prepend=0),
+                    keys[docs],
+                ],
+            )
 
 
-def _gram_places(grams: np.ndarray, value: np.ndarray, first: np.ndarray, count: np.ndarray):
-    """Where in each run of grams its minimiser is first met; 0x8000 is added if it is met again."""
-    where = np.full(len(first), -1, dtype=np.int64)
-    again = np.zeros(len(first), dtype=bool)
-    live = np.arange(len(first))
-    for step in range(int(count.max())):
-        live = live[count[live] > step]
-        hit = live[grams[first[live] + step] == value[live]]
-        again[hit] = where[hit] >= 0
-        where[hit] = np.where(where[hit] < 0, step, where[hit])
-    return where + again * 0x8000
+def shared_keys(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each row's key occurs with more than one owner, and whether the row is its key's first."""
+    order = np.lexsort((owner, key))
+    k, o = key[order], owner[order]
+    same = k[1:] == k[:-1]
+    start = np.flatnonzero(np.append(True, ~same)) if len(k) else np.zeros(0, np.int64)
+    several, first = np.zeros(len(k), dtype=bool), np.zeros(len(k), dtype=bool)
+    if len(k):
+        differ = np.append(same & (o[1:] != o[:-1]), False)
+        several[order] = np.repeat(
+            np.logical_or.reduceat(differ, start), np.diff(start, append=len(k))
+        )
+        first[order[start]] = True
+    return several, first
+
+
+def _place_blobs(chosen, doc, number, ids, keys, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Strings that are known to share a context; any bucket passes them on."""
+    at = np.flatnonzero(chosen)
+    if len(at):
+        # Both contexts of a string may be shared: it is sent once.
+        at = at[np.unique(doc[at] << 32 | number[at], return_index=True)[1]]
+        to = mixed(ids[doc[at]].astype(np.uint64)) % np.uint64(buckets)
+        for no, part in _split(to.astype(np.int64), at):
+            yield no, _packed(3, [number[part].astype(np.int32), ids[doc[part]], keys[doc[part]]])
+
+
+def _shared_places(table: pa.Table) -> pa.Table:
+    """The strings of a bucket that share a context with another id."""
+    known, entries = [], []
+    for blob in table.column("blob"):
+        kind, a = _unpacked(blob.as_py())
+        if kind == 3:
+            known.append((a[1], a[2], a[0]))
+            continue
+        at = np.cumsum(a[2], dtype=np.int64)
+        tell = np.unpackbits(a[1], count=len(a[0])).astype(bool)
+        entries.append((a[0], tell, a[3], np.cumsum(a[4], dtype=np.int64)[at], a[5][at]))
+    if entries:
+        h, tell, number, ids, keys = (np.concatenate([e[i] for e in entries]) for i in range(5))
+        order = np.argsort(h, kind="stable")
+        start = np.flatnonzero(np.append(True, h[order[1:]] != h[order[:-1]]))
+        told = np.logical_or.reduceat(tell[order], start)
+        # What one id alone has is shared if another batch says that others have it.
+        shared = np.empty(len(h), dtype=bool)
+        shared[order] = np.repeat(told, np.diff(start, append=len(h)))
+        shared |= shared_keys(h, ids)[0]
+        shared &= ~tell
+        known.append((ids[shared], keys[shared], number[shared]))
+    none = np.zeros(0, dtype=np.int64)
+    ids, keys, number = (np.concatenate([none, *[k[i] for k in known]]) for i in range(3))
+    return _per_document(ids, keys, number[:, None], "places")
+
+
+def _per_document(ids, keys, values: np.ndarray, name: str) -> pa.Table:
+    """One row per document with its rows of ``values`` as 32-bit numbers."""
+    order = np.lexsort((values[:, 0], keys, ids))
+    ids, keys, values = ids[order], keys[order], values[order].astype(np.int32)
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+    first = np.flatnonzero(new)
+    blobs = [p.tobytes() for p in np.split(values, first[1:])] if len(first) else []
+    doc = ids[first]
+    return pa.table(
+        {
+            "doc_id": pa.array(doc, pa.int64(), mask=doc == NO_ID),
+            "text_key": pa.array(keys[first], pa.int64()),
+            name: pa.array(blobs, pa.binary()),
+        }
+    )
 
 
 class _Batch:
@@ -261,12 +402,30 @@ class _Batch:
         self.keys: list[np.ndarray] = []
         self.docs, self.bytes = 0, 0
 
-    def add(self, ids: np.ndarray, keys: np.ndarray, data: np.ndarray, ends: np.ndarray) -> None:
-        found = _strings(data, ends, self.win)
-        if found is not None:
-            data, begin, *rest, doc, unit = found
-            self.parts.append((data, begin + self.bytes, *rest, doc + self.docs, unit))
-            self.bytes += len(data)
+    def add(self, ids, keys, data, ends, places: list[np.ndarray]) -> None:
+        s = _strings(data, ends, self.win)
+        if s is not None:
+            # The strings that were asked for, by document and number.
+            wanted = np.concatenate([p + (d << 32) for d, p in enumerate(places)])
+            own = s.number + (s.doc << 32)
+            pick = np.flatnonzero(np.isin(own, wanted))
+            first, windows = s.first[pick], s.windows[pick]
+            begin, stop = s.start[first], s.end[first + windows + self.win.size - 2]
+            gram = s.gram[pick]
+            self.parts.append(
+                (
+                    s.data,
+                    begin + self.bytes,
+                    stop - begin,
+                    windows,
+                    s.hashes(begin, stop),
+                    s.hashes(s.start[gram], s.end[gram + self.win.gram - 1]),
+                    gram - first,
+                    s.doc[pick] + self.docs,
+                    first - s.unit0[s.doc[pick]],
+                )
+            )
+            self.bytes += len(s.data)
         self.ids.append(ids)
         self.keys.append(keys)
         self.docs += len(ids)
@@ -294,7 +453,8 @@ class _Batch:
         sent = ~larger
         place, owner = order[sent], owner[sent]
         strings, which = np.unique(owner, return_inverse=True)
-        key = (least[strings] >> np.uint64(32)) * np.uint64(self.buckets)
+        # Minimisers are small numbers by nature; hashed again they spread over the buckets.
+        key = (mixed(least[strings] + np.uint64(1)) >> np.uint64(32)) * np.uint64(self.buckets)
         bucket = (key >> np.uint64(32)).astype(np.int64)
         ranked = np.argsort(bucket, kind="stable")
         position = np.empty(len(strings), dtype=np.int64)
@@ -356,6 +516,8 @@ def _packed(kind: int, arrays: list[np.ndarray]) -> bytes:
 _KINDS = {
     0: (np.int32, np.int32, np.int64, np.int64),
     1: (np.uint8, np.uint16, np.int32, np.uint16, *[np.int32] * 3, np.int64, np.int64),
+    2: (np.uint32, np.uint8, np.int32, np.int32, np.int64, np.int64),
+    3: (np.int32, np.int64, np.int64),
 }
 
 
@@ -374,43 +536,61 @@ def _columns(batch: pa.RecordBatch):
     """Ids (null: NO_ID), keys, and the texts as one array of bytes with the end of each."""
     ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
     keys = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-    texts = batch.column(2)
-    large = pa.types.is_large_binary(texts.type)
-    _, offsets, values = texts.buffers()
-    ends = np.frombuffer(offsets, dtype=np.int64 if large else np.int32)
-    ends = ends[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    data = np.frombuffer(values, dtype=np.uint8) if values is not None else np.zeros(0, np.uint8)
-    return ids, keys, data[ends[0] : ends[-1]], ends[1:] - ends[0]
+    return ids, keys, *text_bytes(batch.column(2))
+
+
+def _sliced(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of a batch with a bounded number of bytes, one document at least."""
+    ids, keys, data, ends = _columns(batch)
+    at = 0
+    while at < len(ids):
+        begin = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, begin + SLICE_BYTES, side="right")))
+        to = min(to, len(ids))
+        rows = slice(at, to)
+        yield rows, ids[rows], keys[rows], data[begin : ends[to - 1]], ends[rows] - begin
+        at = to
+
+
+def _rows_of(pairs: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    rows: list[tuple[int, bytes]] = []
+    size = 0
+    for pair in pairs:
+        rows.append(pair)
+        size += len(pair[1])
+        if size > 8_000_000:
+            yield _blob_rows(rows)
+            rows, size = [], 0
+    if rows:
+        yield _blob_rows(rows)
+
+
+def _contexts(win: Windows, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Contexts(win, buckets)
+        for arrow in batches:
+            for _, *columns in _sliced(arrow):
+                held.add(*columns)
+                if held.bytes > CONTEXT_FLUSH_BYTES:
+                    yield from _rows_of(held.blobs())
+        yield from _rows_of(held.blobs())
+
+    return run
 
 
 def _spread(win: Windows, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batch = _Batch(win, buckets)
-
-        def out(pairs):
-            rows: list[tuple[int, bytes]] = []
-            size = 0
-            for pair in pairs:
-                rows.append(pair)
-                size += len(pair[1])
-                if size > 8_000_000:
-                    yield _blob_rows(rows)
-                    rows, size = [], 0
-            if rows:
-                yield _blob_rows(rows)
-
+        held = _Batch(win, buckets)
         for arrow in batches:
-            ids, keys, data, ends = _columns(arrow)
-            at = 0
-            while at < len(ids):
-                begin = int(ends[at - 1]) if at else 0
-                to = max(at + 1, int(np.searchsorted(ends, begin + SLICE_BYTES, side="right")))
-                to = min(to, len(ids))
-                batch.add(ids[at:to], keys[at:to], data[begin : ends[to - 1]], ends[at:to] - begin)
-                at = to
-                if batch.bytes > FLUSH_BYTES:
-                    yield from out(batch.blobs())
-        yield from out(batch.blobs())
+            places = [
+                np.unique(np.frombuffer(b"".join(p.as_py()), dtype=np.int32)).astype(np.int64)
+                for p in arrow.column(3)
+            ]
+            for rows, *columns in _sliced(arrow):
+                held.add(*columns, places[rows])
+                if held.bytes > FLUSH_BYTES:
+                    yield from _rows_of(held.blobs())
+        yield from _rows_of(held.blobs())
 
     return run
 
@@ -433,12 +613,29 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _buckets_for(docs: DataFrame, share: float) -> int:
+    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(16, int(total * share / BUCKET_BYTES) + 1)
+
+
+def shared_places(docs: DataFrame, win: Windows) -> DataFrame:
+    """Rows of (doc_id, text_key, places): numbers of the strings that share a context with another id."""
+    hashes = docs.mapInArrow(_contexts(win, _buckets_for(docs, 1.0)), BLOB_SCHEMA)
+    return hashes.groupBy("bucket").applyInArrow(_shared_places, PLACE_SCHEMA)
+
+
+def _joined(docs: DataFrame, found: DataFrame, name: str, how: str) -> DataFrame:
+    """Documents with all that was found for them, one row per row."""
+    per = found.groupBy("doc_id", "text_key").agg(F.collect_list(name).alias(name))
+    per = per.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    return docs.join(per, same, how).select("doc_id", "text_key", "text", name)
+
+
 def spread(docs: DataFrame, win: Windows, expansion: float) -> DataFrame:
     """One row per batch of ``keyed`` documents and bucket; the number of buckets follows the bytes."""
-    rows = docs
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(16, int(total * expansion / BUCKET_BYTES) + 1)
-    return rows.mapInArrow(_spread(win, buckets), BLOB_SCHEMA)
+    chosen = _joined(docs, shared_places(docs, win), "places", "inner")
+    return chosen.mapInArrow(_spread(win, _buckets_for(docs, expansion)), BLOB_SCHEMA)
 
 
 # --- bucket side --------------------------------------------------------------------------------
@@ -506,25 +703,9 @@ def _repeats(parts: list[list[np.ndarray]], win: Windows, decide: Decide):
 
 def _span_rows(spans: list[tuple[np.ndarray, ...]]) -> pa.Table:
     """One row per document with its spans as pairs of 32-bit numbers."""
-    if spans:
-        ids, keys, start, stop = (np.concatenate([s[i] for s in spans]) for i in range(4))
-    else:
-        ids = keys = start = stop = np.zeros(0, dtype=np.int64)
-    order = np.lexsort((start, keys, ids))
-    ids, keys = ids[order], keys[order]
-    pairs = np.stack([start[order], stop[order]], axis=1).astype(np.int32)
-    new = np.ones(len(ids), dtype=bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
-    first = np.flatnonzero(new)
-    blobs = [p.tobytes() for p in np.split(pairs, first[1:])] if len(first) else []
-    doc = ids[first]
-    return pa.table(
-        {
-            "doc_id": pa.array(doc, pa.int64(), mask=doc == NO_ID),
-            "text_key": pa.array(keys[first], pa.int64()),
-            "spans": pa.array(blobs, pa.binary()),
-        }
-    )
+    none = np.zeros(0, dtype=np.int64)
+    ids, keys, start, stop = (np.concatenate([none, *[s[i] for s in spans]]) for i in range(4))
+    return _per_document(ids, keys, np.stack([start, stop], axis=1), "spans")
 
 
 def buckets(blobs: DataFrame, win: Windows, decide: Decide) -> DataFrame:
@@ -534,11 +715,7 @@ def buckets(blobs: DataFrame, win: Windows, decide: Decide) -> DataFrame:
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Every ``keyed`` document's id and text with its spans (null if it has none), one row per row."""
-    per = spans.groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans"))
-    per = per.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    rows = docs
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    return rows.join(per, same, "left").select("doc_id", "text", "spans")
+    return _joined(docs, spans, "spans", "left").select("doc_id", "text", "spans")
 
 
 def covered(spans: list[bytes] | None, n: int) -> np.ndarray | None:

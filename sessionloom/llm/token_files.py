@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sessionloom.llm.common import partitions, text_key, whole_text
+from sessionloom.llm.words import split_words, text_bytes, word_codes
 
-BATCH_BYTES = 4_000_000
-CACHED_WORDS = 600_000
+BATCH_BYTES = 12_000_000
+CACHED_WORDS = 500_000
+WORDS_AT_ONCE = 200
+PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII but for ' and <>, which may begin a token of their own
 
 
 @dataclass(frozen=True)
@@ -47,8 +50,7 @@ class _Encoder:
     """Encodes texts word by word and remembers words.
 
     No token spans a space: the tokenizer must treat the six ASCII blanks as borders, which
-    ``checked`` tries. Memory is bounded: once full, the memory keeps the words it has, and others are
-    encoded anew for every batch.
+    the first lines below try. Memory is bounded: when it is full, only words of late are kept.
     """
 
     def __init__(self, path: str):
@@ -57,37 +59,91 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.ends = self._word_ends()
         whole = self.tokenizer.encode("so it\tis\n\x0b x1's\r\x0c  end.", add_special_tokens=False).ids
         if b"".join(self._encoded([b"so", b"it", b"is", b"x1's", b"end."])) != _packed(whole):
             raise ValueError("this tokenizer has tokens that span blanks")
 
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
+    def _word_ends(self) -> np.ndarray | None:
+        """Which ids end a piece of text; None if this kind of tokenizer does not mark them."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return ends
+
+    def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [_packed(e.ids) for e in found]
 
-    def __call__(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        fresh = dict(zip(new, self._encoded(new)))
-        end = _packed([end_id])
-        if len(known) + len(fresh) <= CACHED_WORDS:
-            known.update(fresh)
-            return [b"".join([known[w] for w in words]) + end for words in split]
-        both = known | fresh if len(fresh) * 4 > len(known) else _Either(known, fresh)
-        return [b"".join([both[w] for w in words]) + end for words in split]
-
-
-class _Either(dict):
-    """The second dictionary, with the first for what it lacks."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(second)
-        self.first = first
-
-    def __missing__(self, key):
-        return self.first[key]
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word. Words of letters, with punctuation after them or not, go in lines of many
+        at once: such a word ends where its last piece does, so the line's ids can be told apart."""
+        if self.ends is None:
+            return self._each([w.decode("utf-8", "replace") for w in words])
+        out: list[bytes] = [b""] * len(words)
+        plain, pieces, odd, texts = [], [], [], []
+        for i, word in enumerate(words):
+            text = word.decode("utf-8", "replace")
+            core = text.rstrip(PUNCTUATION)
+            if core.lower().isalpha():
+                plain.append(i)
+                pieces.append(1 if len(core) == len(text) else 2)
+                texts.append(text)
+            else:
+                odd.append(i)
+        for i, ids in zip(odd, self._each([words[i].decode("utf-8", "replace") for i in odd])):
+            out[i] = ids
+        lines = range(0, len(plain), WORDS_AT_ONCE)
+        joined = [" ".join(texts[a : a + WORDS_AT_ONCE]) for a in lines]
+        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        for a, line in zip(lines, found):
+            ids = np.array(line.ids, dtype="<u4")
+            last = np.cumsum(pieces[a : a + WORDS_AT_ONCE])
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            if len(stop) != last[-1]:  # some word is in other pieces than it seems
+                part = self._each(texts[a : a + WORDS_AT_ONCE])
+            else:
+                cut, data = (4 * stop[last - 1]).tolist(), ids.tobytes()
+                part = [data[x:y] for x, y in zip([0, *cut[:-1]], cut)]
+            for i, packed in zip(plain[a : a + WORDS_AT_ONCE], part):
+                out[i] = packed
+        return out
+
+    def _lookup(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        new = [w for w in words if w not in self.known]
+        again = [w for w in new if w in self.older]
+        if len(self.known) + len(new) > CACHED_WORDS:
+            # The words of late stay as the older half; what is used again moves back up.
+            kept = {w: self.known[w] for w in words if w in self.known}
+            kept.update((w, self.older[w]) for w in again)
+            self.known, self.older = kept, self.known
+        else:
+            self.known.update((w, self.older[w]) for w in again)
+        rest = [w for w in new if w not in self.known]
+        self.known.update(zip(rest, self._encoded(rest)))
+        return [self.known[w] for w in words]
+
+    def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, each ended by ``end_id``, and how many each has."""
+        data, ends = text_bytes(texts)
+        letters, count, doc = split_words(data, ends)
+        codes, words = word_codes(letters, count)
+        packed = [*self._lookup(words), _packed([end_id])]
+        size = np.array([len(p) // 4 for p in packed], dtype=np.int64)
+        flat, start = np.frombuffer(b"".join(packed), dtype="<u4"), np.cumsum(size) - size
+        # The words of all texts, with an end after those of each.
+        n = np.bincount(doc, minlength=len(texts))
+        order = np.full(len(codes) + len(texts), len(words), dtype=np.int64)
+        order[np.arange(len(codes)) + doc] = codes
+        times = size[order]
+        at = np.repeat(start[order] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+        owner = np.repeat(np.arange(len(texts)), n + 1)
+        return flat[at], np.bincount(owner, times, len(texts)).astype(np.int64)
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -122,10 +178,9 @@ def _encode(form: TokenFormat):
         place = 0
         for whole in batches:
             for batch in _slices(whole, 1):
-                packed = encode([t.as_py() for t in batch.column(1)], form.end_id)
-                sizes = np.array([len(p) // 4 for p in packed], dtype=np.int64)
+                ids, sizes = encode(batch.column(1), form.end_id)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                ids = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"), pa.int32())
+                ids = pa.array(ids.view(np.int32), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),

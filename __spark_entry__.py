@@ -45,8 +45,8 @@ ORDER = {"plain": "purchase", "ties": "purchase", "nulls": "purchase", "orders":
 ORDERS_GAP = 60 * 24 * 60
 COLS = Columns(tie=("event_id",))
 WHOLE = SplitRule()
-SPLIT = SplitRule(hot_rows=60, slice_rows=2_500)
-ORDERS_SPLIT = SplitRule(hot_rows=10, slice_rows=2_500)  # customers have fewer orders than events
+SPLIT = SplitRule(hot_rows=60, slice_rows=20)
+ORDERS_SPLIT = SplitRule(hot_rows=10, slice_rows=4)  # customers have fewer orders than events
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -90,9 +90,10 @@ def _sessions(spark, sf_dir, kind="plain", gap=GAP, rule=WHOLE) -> DataFrame:
     return S.sessionize(_events(spark, sf_dir, kind), gap, COLS, keep=["event_id"], rule=rule)
 
 
-def _history(spark, sf_dir, kind="plain", gap=GAP, rule=WHOLE) -> OrderHistory:
-    sessions = _sessions(spark, sf_dir, kind, gap, rule)
-    return OrderHistory(sessions, ORDER[kind], COLS, rule=rule)
+def _history(spark, sf_dir, kind="plain", gap=GAP, rule=WHOLE, keep=("event_id",)) -> OrderHistory:
+    gap = ORDERS_GAP if kind == "orders" else gap
+    events = _events(spark, sf_dir, kind)
+    return OrderHistory.of_events(events, gap, ORDER[kind], COLS, keep=keep, rule=rule)
 
 
 def _iso(ts):
@@ -110,14 +111,18 @@ def _raw_schema() -> T.StructType:
     return T.StructType([T.StructField("type", T.StringType()), T.StructField("event", event)])
 
 
-def _write_ndjson(spark, sf_dir, kind="plain") -> str:
+def _write_ndjson(spark, sf_dir, kind="plain", top=("type",)) -> str:
+    """Nested records; ``top`` names the fields that stand outside the struct."""
     path = work_folder(spark, "ndjson")
-    event = F.struct(
-        F.col("event_id").alias("event-id"),
-        F.col("customer_id").alias("customer-id"),
-        _iso("timestamp").alias("timestamp"),
-    )
-    _events(spark, sf_dir, kind).select("type", event.alias("event")).write.json(path)
+    fields = {
+        "event-id": F.col("event_id"),
+        "customer-id": F.col("customer_id"),
+        "timestamp": _iso("timestamp"),
+        "type": F.col("type"),
+    }
+    outside = [fields[n].alias(n) for n in fields if n in top]
+    event = F.struct(*[fields[n].alias(n) for n in fields if n not in top])
+    _events(spark, sf_dir, kind).select(*outside, event.alias("event")).write.json(path)
     return path
 
 
@@ -162,6 +167,16 @@ def _ndjson_ingest(spark, sf_dir):
     return raw.typed_events(read)
 
 
+def _ndjson_job(top: tuple[str, ...]):
+    """The whole job on records whose fields stand in other places."""
+
+    def run(spark, sf_dir):
+        source = _write_ndjson(spark, sf_dir, "nulls", top)
+        return jobs.run_etl(spark, source, work_folder(spark, "staged"), GAP)
+
+    return run
+
+
 def _unnest_event(spark, sf_dir):
     return raw.flatten(raw.read_events_json(spark, _write_ndjson(spark, sf_dir), _raw_schema()))
 
@@ -210,10 +225,9 @@ def _ordered(step, kind: str = "plain", rule: SplitRule = WHOLE):
     return lambda spark, sf_dir: step(_history(spark, sf_dir, kind, rule=rule))
 
 
-def _order_metrics(kind: str, rule: SplitRule = WHOLE, metric=metrics.order_metrics):
+def _order_metrics(kind: str, rule: SplitRule = WHOLE, metric=metrics.metrics_of):
     def run(spark, sf_dir):
-        sessions = _sessions(spark, sf_dir, kind, METRICS_GAP, rule)
-        return metric(sessions, ORDER[kind], COLS, rule=rule)
+        return metric(_history(spark, sf_dir, kind, METRICS_GAP, rule, keep=()))
 
     return run
 
@@ -227,6 +241,41 @@ def _load_events(spark, sf_dir):
     return jobs.run_load(spark, _stage(spark, sf_dir), **_own_database(spark))
 
 
+def _load_renamed(spark, sf_dir):
+    """Staged under other column names, which the load must not care about."""
+    path = work_folder(spark, "staged")
+    rows = staged.read_staged(spark, _stage(spark, sf_dir))
+    rows.toDF(*[f"column_{i}" for i in range(len(rows.columns))]).write.parquet(path)
+    return jobs.run_load(spark, path, **_own_database(spark))
+
+
+def _followed(spark, path, place, checkpoint):
+    load = streaming.stream_load(spark, path, checkpoint, **place, available_now=True)
+    load.awaitTermination()
+
+
+def _batch_then_stream(spark, sf_dir):
+    """One half of the customers loaded in batch, the other by a stream, into one table."""
+    place, halves = _own_database(spark), []
+    for half in range(2):
+        rows = _sessions(spark, sf_dir).filter(F.col("customer_id") % 2 == half)
+        halves.append(work_folder(spark, "staged"))
+        staged.write_staged(rows, halves[-1])
+    jobs.run_load(spark, halves[0], **place)
+    _followed(spark, halves[1], place, work_folder(spark, "stream"))
+    return warehouse.scan_events(spark, place["database"])
+
+
+def _stream_reload(spark, sf_dir):
+    """ETL and stream twice, into the same folder: the rows are there once."""
+    place, path = _own_database(spark), work_folder(spark, "staged")
+    checkpoint = work_folder(spark, "stream")
+    for _ in range(2):
+        staged.write_staged(_sessions(spark, sf_dir), path)
+        _followed(spark, path, place, checkpoint)
+    return warehouse.scan_events(spark, place["database"])
+
+
 def _stream_load(spark, sf_dir):
     path, place = _stage(spark, sf_dir), _own_database(spark)
     checkpoint = work_folder(spark, "stream")
@@ -295,6 +344,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "scan_events": _events,
         "ndjson_ingest": _ndjson_ingest,
+        "ndjson_ingest_inside": _ndjson_job(()),
+        "ndjson_ingest_top": _ndjson_job(("customer-id", "timestamp", "type")),
+        "one_customer": lambda s, d: S.one_customer(_events(s, d), 7, COLS),
         "unnest_event": _unnest_event,
         "known_customers": lambda s, d: S.known_customers(_events(s, d, "nulls"), COLS),
         "parse_timestamp": _parse_timestamp,
@@ -312,6 +364,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "staged_roundtrip": _staged_roundtrip,
         "load_events": _load_events,
+        "load_renamed": _load_renamed,
+        "batch_then_stream": _batch_then_stream,
+        "stream_reload": _stream_reload,
         "stream_load": _stream_load,
         "stream_sessions": _stream_sessions,
         "order_flag": lambda s, d: with_order_flag(_events(s, d), ORDER["plain"], COLS),
@@ -320,7 +375,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "view_top": _view("top"),
         "view_bottom": _view("bottom"),
-        "order_metrics_json": _order_metrics("plain", metric=metrics.order_metrics_json),
+        "order_metrics_json": _order_metrics("plain", metric=metrics.metrics_json_of),
     }
     steps = {
         "order_number": _number,
@@ -333,11 +388,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_duration": _durations,
     }
     figures = {
-        "order_metrics": metrics.order_metrics,
-        "median_visits_before_order": metrics.median_visits_before_order,
-        "median_session_duration_before_order": (
-            metrics.median_session_duration_minutes_before_order
-        ),
+        "order_metrics": metrics.metrics_of,
+        "median_visits_before_order": metrics.median_visits_of,
+        "median_session_duration_before_order": metrics.median_duration_of,
     }
     for kind in ORDER:
         suffix = "" if kind == "plain" else f"_{kind}"
@@ -369,55 +422,61 @@ _INPUT_SQL = {
 
 
 def _sql(tail: str, kind: str = "plain", gap: int = GAP) -> str:
-    """The whole computation as named steps, followed by the query that reads from them."""
+    """Tables of instants, openings and placements, compared with each other, and the query on them.
+
+    Nothing here walks through events one after the other: what came before is looked up, and numbers
+    are counts of what is not later.
+    """
     gap = ORDERS_GAP if kind == "orders" else gap
     return f"""
 WITH ev AS ({_INPUT_SQL[kind]}),
-lagged AS (
-    SELECT *, lag("timestamp") OVER (
-        PARTITION BY customer_id ORDER BY "timestamp" NULLS FIRST, event_id) AS prev_timestamp
-    FROM ev WHERE customer_id IS NOT NULL),
-diffed AS (
-    SELECT *, coalesce(CAST(date_diff('microsecond', prev_timestamp, "timestamp") AS DOUBLE)
-        / CAST(60000000 AS DOUBLE), CAST(0 AS DOUBLE)) AS time_diff
-    FROM lagged),
-flagged AS (
-    SELECT *, CAST(CASE WHEN time_diff > {gap} THEN 1 ELSE 0 END AS INTEGER) AS new_session
-    FROM diffed),
+known AS (SELECT * FROM ev WHERE customer_id IS NOT NULL),
+instants AS (
+    SELECT customer_id, "timestamp" AS at, min(event_id) AS opener,
+        count(*) FILTER ("type" = '{ORDER[kind]}') AS placements
+    FROM known WHERE "timestamp" IS NOT NULL GROUP BY customer_id, "timestamp"),
+pauses AS (
+    SELECT a.customer_id, a.at, any_value(a.opener) AS opener, max(b.at) AS earlier,
+        coalesce(CAST(date_diff('microsecond', max(b.at), a.at) AS DOUBLE) / 6e7, 0e0) AS minutes
+    FROM instants a LEFT JOIN instants b ON b.customer_id = a.customer_id AND b.at < a.at
+    GROUP BY a.customer_id, a.at),
+visits AS (
+    SELECT a.customer_id, a.at, any_value(a.opener) AS opener, any_value(a.earlier) AS earlier,
+        any_value(a.minutes) AS minutes, count(b.at) AS visit
+    FROM pauses a LEFT JOIN pauses b
+        ON b.customer_id = a.customer_id AND b.at <= a.at AND b.minutes > {gap}
+    GROUP BY a.customer_id, a.at),
 sessions AS (
-    SELECT *, CAST(sum(new_session) OVER (
-        PARTITION BY customer_id ORDER BY "timestamp" NULLS FIRST, event_id
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_number
-    FROM flagged),
-placed AS (
-    SELECT *, CAST(CASE WHEN "type" = '{ORDER[kind]}' THEN 1 ELSE 0 END AS INTEGER) AS placed_order
-    FROM sessions),
-numbered AS (
-    SELECT *, CAST(sum(placed_order) OVER (
-        PARTITION BY customer_id ORDER BY "timestamp" NULLS LAST) AS BIGINT) AS order_number
-    FROM placed),
-with_last AS (
-    SELECT *, max(session_number) OVER (
-        PARTITION BY customer_id, order_number) AS max_session_for_order
-    FROM numbered),
-distinct_groups AS (
-    SELECT DISTINCT customer_id, order_number, max_session_for_order FROM with_last),
-lag_groups AS (
-    SELECT *, coalesce(lag(max_session_for_order) OVER (
-        PARTITION BY customer_id ORDER BY order_number), 0) AS lagged_max_session_order
-    FROM distinct_groups),
-session_diffs AS (
-    SELECT *, max_session_for_order - lagged_max_session_order AS session_diff FROM lag_groups),
-before_first AS (SELECT * FROM numbered WHERE order_number = 0),
-bounds AS (
-    SELECT *, min("timestamp") OVER (PARTITION BY customer_id, session_number) AS min_session_event,
-        max("timestamp") OVER (PARTITION BY customer_id, session_number) AS max_session_event
-    FROM before_first),
-durations AS (
-    SELECT DISTINCT customer_id, session_number,
-        CAST(date_diff('microsecond', min_session_event, max_session_event) AS DOUBLE)
-        / CAST(1000000 AS DOUBLE) / CAST(60 AS DOUBLE) AS session_duration
-    FROM bounds)
+    SELECT k.event_id, k.customer_id, k."timestamp", k."type",
+        CASE WHEN k.event_id = v.opener THEN v.earlier ELSE v.at END AS prev_timestamp,
+        CASE WHEN k.event_id = v.opener THEN v.minutes ELSE 0e0 END AS time_diff,
+        CAST(k.event_id = v.opener AND v.minutes > {gap} AND v.at IS NOT NULL AS INTEGER)
+            AS new_session,
+        coalesce(v.visit, 0) AS session_number
+    FROM known k LEFT JOIN visits v ON v.customer_id = k.customer_id AND v.at = k."timestamp"),
+ordered AS (
+    SELECT s.*, CAST(coalesce("type" = '{ORDER[kind]}', false) AS INTEGER) AS placed_order,
+        CAST(coalesce((SELECT sum(i.placements) FROM instants i
+            WHERE i.customer_id = s.customer_id AND i.at <= s."timestamp"), 0) AS BIGINT) AS timed,
+        (SELECT count(*) FROM known k
+            WHERE k.customer_id = s.customer_id AND k."type" = '{ORDER[kind]}') AS placed
+    FROM sessions s),
+events_by_order AS (
+    SELECT * EXCLUDE (timed, placed),
+        CASE WHEN "timestamp" IS NULL THEN placed ELSE timed END AS order_number FROM ordered),
+reached AS (
+    SELECT customer_id, order_number, max(session_number) AS max_session_for_order
+    FROM events_by_order GROUP BY customer_id, order_number),
+steps AS (
+    SELECT r.customer_id, r.order_number, r.max_session_for_order,
+        coalesce(arg_max(q.max_session_for_order, q.order_number), 0) AS lagged_max_session_order
+    FROM reached r LEFT JOIN reached q
+        ON q.customer_id = r.customer_id AND q.order_number < r.order_number
+    GROUP BY r.customer_id, r.order_number, r.max_session_for_order),
+unordered AS (SELECT * FROM events_by_order WHERE order_number = 0),
+spells AS (
+    SELECT customer_id, session_number, min("timestamp") AS began, max("timestamp") AS ended
+    FROM unordered GROUP BY customer_id, session_number)
 {tail}
 """
 
@@ -426,21 +485,25 @@ _STAGED_COLUMNS = 'customer_id, "timestamp", time_diff, new_session, session_num
 _TABLE_SQL = """SELECT CAST(customer_id AS INTEGER) AS customer_id, "timestamp",
     CAST(trunc(time_diff) AS INTEGER) AS time_diff, new_session,
     CAST(session_number AS INTEGER) AS session_number, "type" FROM sessions"""
-_VISITS_SQL = "(SELECT CAST(median(session_diff) AS DOUBLE) FROM session_diffs)"
-_DURATION_SQL = "(SELECT median(session_duration) FROM durations)"
+_STEP = "max_session_for_order - lagged_max_session_order"
+_LENGTH = "CAST(date_diff('microsecond', began, ended) AS DOUBLE) / 1e6 / 6e1"
+_VISITS_SQL = f"(SELECT CAST(median({_STEP}) AS DOUBLE) FROM steps)"
+_DURATION_SQL = f"(SELECT median({_LENGTH}) FROM spells)"
 _STEP_SQL = {
     "sessionize": f"SELECT event_id, {_STAGED_COLUMNS} FROM sessions",
-    "order_number": """SELECT event_id, customer_id, "timestamp", order_number FROM numbered""",
+    "order_number": """SELECT event_id, customer_id, "timestamp", order_number
+        FROM events_by_order""",
     "max_session_per_order": """SELECT event_id, customer_id, order_number, max_session_for_order
-        FROM with_last""",
-    "distinct_session_orders": "SELECT * FROM distinct_groups",
-    "lag_max_session": "SELECT * FROM lag_groups",
-    "session_diff": "SELECT * FROM session_diffs",
+        FROM events_by_order JOIN reached USING (customer_id, order_number)""",
+    "distinct_session_orders": "SELECT * FROM reached",
+    "lag_max_session": "SELECT * FROM steps",
+    "session_diff": f"SELECT *, {_STEP} AS session_diff FROM steps",
     "before_first_order": """SELECT event_id, customer_id, "timestamp", session_number, "type"
-        FROM before_first""",
-    "session_bounds": """SELECT event_id, customer_id, session_number, min_session_event,
-        max_session_event FROM bounds""",
-    "session_duration": "SELECT * FROM durations",
+        FROM unordered""",
+    "session_bounds": """SELECT event_id, customer_id, session_number, began AS min_session_event,
+        ended AS max_session_event FROM unordered JOIN spells USING (customer_id, session_number)""",
+    "session_duration": f"""SELECT customer_id, session_number, {_LENGTH} AS session_duration
+        FROM spells""",
 }
 _FIGURE_SQL = {
     "order_metrics": f"""SELECT {_VISITS_SQL} AS {metrics.VISITS},
@@ -461,22 +524,13 @@ def _view_sql(direction: str) -> str:
 
 
 def _resessionize_sql() -> str:
-    """The same events with each length in turn."""
-    windows = ",\n".join(
-        f"""g{gap} AS (SELECT CAST({gap} AS DOUBLE) AS gap_minutes, event_id, customer_id,
-        "timestamp", time_diff, CAST(CASE WHEN time_diff > {gap} THEN 1 ELSE 0 END AS INTEGER)
-        AS new_session, "type" FROM diffed)"""
+    """Each length on its own, put together."""
+    columns = f"event_id, {_STAGED_COLUMNS}"
+    parts = [
+        f"SELECT {gap}e0 AS gap_minutes, {columns} FROM ({_sql('SELECT * FROM sessions', gap=gap)})"
         for gap in GAPS
-    )
-    union = " UNION ALL ".join(f"SELECT * FROM g{gap}" for gap in GAPS)
-    return _sql(
-        f""", {windows}, every_gap AS ({union})
-SELECT gap_minutes, event_id, customer_id, "timestamp", time_diff, new_session,
-    CAST(sum(new_session) OVER (
-        PARTITION BY gap_minutes, customer_id ORDER BY "timestamp" NULLS FIRST, event_id
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_number, "type"
-FROM every_gap"""
-    )
+    ]
+    return " UNION ALL ".join(parts)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -487,6 +541,9 @@ def oracle_sql() -> dict[str, str]:
             'SELECT "type", event_id, customer_id, "timestamp" FROM ev WHERE customer_id IS NOT NULL',
             "nulls",
         ),
+        "ndjson_ingest_inside": _sql(f"SELECT {_STAGED_COLUMNS} FROM sessions", "nulls"),
+        "ndjson_ingest_top": _sql(f"SELECT {_STAGED_COLUMNS} FROM sessions", "nulls"),
+        "one_customer": _sql("SELECT * FROM ev WHERE customer_id = 7"),
         "unnest_event": _sql(
             """SELECT "type", event_id, customer_id,
             strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp" FROM ev"""
@@ -515,6 +572,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "staged_roundtrip": _sql(f"SELECT {_STAGED_COLUMNS} FROM sessions"),
         "load_events": _sql(_TABLE_SQL),
+        "load_renamed": _sql(_TABLE_SQL),
+        "batch_then_stream": _sql(_TABLE_SQL),
+        "stream_reload": _sql(_TABLE_SQL),
         "stream_load": _sql(_TABLE_SQL),
         "stream_sessions": _sql(
             f"""SELECT customer_id, min("timestamp") AS session_start,

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import argparse
 
-from sessionloom.columns import DATABASE, DEFAULT_GAP_MINUTES, ORDER_TYPE, TABLE
+from sessionloom.columns import DATABASE, DEFAULT_GAP_MINUTES, ORDER_TYPE, TABLE, TABLE_SCHEMA
 from sessionloom.operators.preview import DEFAULT_ROWS, view
 from sessionloom.plans.jobs import run_etl, run_load, run_metrics
 from sessionloom.session import build_session
 from sessionloom.sources.staged import read_staged
 from sessionloom.streaming.load import stream_load
 
+# All columns, so that ties fall the same way each time.
+STAGED_ORDER = TABLE_SCHEMA.fieldNames()
+
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="sessionloom")
@@ -25,6 +28,8 @@ def arguments() -> argparse.ArgumentParser:
     load.add_argument("staged")
     load.add_argument("--follow", metavar="CHECKPOINT", help="keep loading new files as they come")
 
+    load.add_argument("--wait", type=float, metavar="SECONDS", help="wait for the staged files")
+
     metrics = jobs.add_parser("metrics", help="order metrics of the table as JSON")
     metrics.add_argument("--order-type", default=ORDER_TYPE)
 
@@ -47,12 +52,12 @@ def main() -> None:
     elif args.job == "load" and args.follow:
         stream_load(spark, args.staged, args.follow, args.database, args.table).awaitTermination()
     elif args.job == "load":
-        run_load(spark, args.staged, args.database, args.table)
+        run_load(spark, args.staged, args.database, args.table, wait=args.wait)
     elif args.job == "metrics":
         print(run_metrics(spark, args.database, args.table, args.order_type).first()[0])
     else:
         view(
-            read_staged(spark, args.staged), ["customer_id", "timestamp"], args.side, args.rows
+            read_staged(spark, args.staged), list(STAGED_ORDER), args.side, args.rows
         ).show(args.rows, truncate=False)
 
 

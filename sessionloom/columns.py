@@ -27,21 +27,15 @@ class Columns:
         return self.tie or (self.type,)
 
 
-# Names, order and types of the raw, staged and loaded records.
-RAW_SCHEMA = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField(
-            "event",
-            T.StructType(
-                [
-                    T.StructField("customer-id", T.LongType()),
-                    T.StructField("timestamp", T.StringType()),
-                ]
-            ),
-        ),
-    ]
-)
+# Fixed values up to the end of the file: names, order and types of the raw, staged and loaded
+# records, names of database, table and order type, and the default pause.
+_RAW_FIELDS = [
+    T.StructField("type", T.StringType()),
+    T.StructField("customer-id", T.LongType()),
+    T.StructField("timestamp", T.StringType()),
+]
+# A field may stand at the top of a record or inside its struct.
+RAW_SCHEMA = T.StructType([*_RAW_FIELDS, T.StructField("event", T.StructType(_RAW_FIELDS))])
 
 STAGED_SCHEMA = T.StructType(
     [

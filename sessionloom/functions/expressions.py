@@ -19,12 +19,17 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp_ntz"))
 
 
+def micros_of(time: Column) -> Column:
+    """Microseconds of a naive time since 1970, as a long."""
+    return F.unix_micros(time.cast("timestamp"))
+
+
 def span_micros(start: Column, end: Column) -> Column:
     """Microseconds from ``start`` to ``end`` as a long; null if either is null.
 
     Naive times are read in the session time zone, which must be UTC (``session.require_utc``).
     """
-    return F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return micros_of(end) - micros_of(start)
 
 
 def minutes_between(start: Column, end: Column) -> Column:

@@ -5,24 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sessionloom.columns import ORDER_TYPE, Columns
+from sessionloom.columns import DEFAULT_GAP_MINUTES, ORDER_TYPE, Columns
 from sessionloom.functions.expressions import micros_to_minutes, order_flag, span_micros
 from sessionloom.operators.history import (
-    MAX_HOT,
-    ROW,
-    SLICE,
     HotCustomers,
     SplitRule,
-    carried_back,
+    free_prefix,
     hot_customers,
-    sliced,
-    split,
-    stored,
+    numbered,
 )
 from sessionloom.session import require_utc
 
@@ -35,10 +29,11 @@ def with_order_flag(
 
 
 class OrderHistory:
-    """Events numbered by order, with ordinary and hot customers kept apart until the end.
+    """Events numbered by order, and the figures that follow from the numbers.
 
-    Joining the two early would cost a shuffle per step: the ordinary part stays partitioned by
-    customer, so all its later steps run without one.
+    Without long histories the events stay partitioned by customer, and all later steps run without
+    another shuffle. With them they are partitioned by slices, and what leaves a slice is aggregated
+    first.
     """
 
     def __init__(
@@ -51,40 +46,90 @@ class OrderHistory:
         hot: HotCustomers | None = None,
         rule: SplitRule = SplitRule(),
     ):
-        """``keep`` names the columns to carry besides customer, time and session; default all."""
+        """For sessionized events. ``keep`` names the columns to carry besides customer, time and
+        session; default all."""
         require_utc(events, cols.timestamp)
-        self.cols, self.rule = cols, rule
-        self.hot = hot or hot_customers(events, cols.customer, rule)
+        self.cols, self._session_is_added = cols, False
+        self.hot = hot or hot_customers(events, cols.customer, rule, cols.timestamp)
         flagged = with_order_flag(events, order_type, cols).drop("order_number")
         if keep is not None:
             flagged = flagged.select(
                 cols.customer, cols.timestamp, cols.session, *keep, "placed_order"
             )
-        few, many = split(flagged, cols.customer, self.hot)
-        self.few = _ordered(few, cols)
-        self.many = None if many is None else _ordered_in_slices(many, cols, self.hot.slices)
+        self._numbered = lambda wanted: numbered(
+            flagged, cols, self.hot, flag="placed_order", wanted=wanted
+        )
+
+    @property
+    def rows(self) -> DataFrame:
+        """The events with all their columns."""
+        return self._numbered(None)
+
+    @property
+    def lean(self) -> DataFrame:
+        """The events for aggregates, which read customer, time, session and order number only."""
+        return self._numbered(() if self._session_is_added else (self.cols.session,))
+
+    @classmethod
+    def of_events(
+        cls,
+        events: DataFrame,
+        gap_minutes: float = DEFAULT_GAP_MINUTES,
+        order_type: str = ORDER_TYPE,
+        cols: Columns = Columns(),
+        *,
+        keep: Sequence[str] = (),
+        hot: HotCustomers | None = None,
+        rule: SplitRule = SplitRule(),
+    ) -> OrderHistory:
+        """For raw events: sessions and orders are numbered in one shuffle, from one list of hot
+        customers. The rows are those of ``sessionize``, with the order columns."""
+        if gap_minutes < 0:
+            raise ValueError("a session length must not be negative")
+        require_utc(events, cols.timestamp)
+        needed = dict.fromkeys([*keep, cols.customer, cols.timestamp, *cols.ties, cols.type])
+        known = events.select(*needed).filter(F.col(cols.customer).isNotNull())
+        self = cls.__new__(cls)
+        self.cols, self._session_is_added = cols, True
+        self.hot = hot or hot_customers(known, cols.customer, rule, cols.timestamp)
+        flagged = with_order_flag(known, order_type, cols)
+        self._numbered = lambda wanted: numbered(
+            flagged, cols, self.hot, [gap_minutes], "placed_order", wanted
+        ).select(
+            *keep,
+            cols.customer,
+            cols.timestamp,
+            "time_diff",
+            F.col("new_session_0").alias("new_session"),
+            F.col("session_number_0").alias(cols.session),
+            cols.type,
+            "placed_order",
+            "order_number",
+        )
+        return self
 
-    def _each(self, step) -> list[DataFrame]:
-        return [step(part) for part in (self.few, self.many) if part is not None]
+    @property
+    def whole(self) -> bool:
+        """Whether no history is split."""
+        return self.hot.cuts is None
 
     def events(self) -> DataFrame:
         """Every event with ``placed_order`` and ``order_number``."""
-        return _union(self._each(lambda part: part))
+        return self.rows
 
     def before_first_order(self) -> DataFrame:
         """Events of customers who have not ordered yet at that time."""
-        return _union(self._each(_unordered))
+        return _unordered(self.rows)
 
     def groups(self) -> DataFrame:
         """One row per customer and order number: the last session reached."""
-        return _union(self._each(lambda part: _last_sessions(part, self.cols)))
+        return _last_sessions(self.lean, self.cols)
 
     def lagged(self) -> DataFrame:
         """``groups`` with the previous group's last session, 0 for a customer's first group."""
-        parts = [_lagged(_last_sessions(self.few, self.cols), self.cols)]
-        if self.many is not None:
-            parts.append(_looked_up(self.many, self.cols))
-        return _union(parts)
+        if self.whole:
+            return _lagged(self.groups(), self.cols)
+        return _looked_up(_visits(self.lean, self.cols), self.cols)
 
     def diffs(self) -> DataFrame:
         """``lagged`` with ``session_diff``, the sessions between one order and the next."""
@@ -92,30 +137,30 @@ class OrderHistory:
 
     def durations(self) -> DataFrame:
         """One row per customer and session before the first order: its length."""
-        return _union(self._each(lambda part: _durations(_unordered(part), self.cols)))
+        return _durations(_unordered(self.lean), self.cols)
 
     def figures(self) -> DataFrame:
-        """The values of ``diffs`` and ``durations`` in one frame, from one pass over the events.
+        """The values of ``diffs`` and ``durations`` in one frame.
 
-        ``figure`` is 'session_diff' or 'duration_micros' and ``value`` the number.
+        ``figure`` is 'session_diff' or 'duration_micros' and ``value`` the number. Both come from one
+        pass over the events, or over their visits if histories are split.
         """
-        parts = [_figures(self.few, self.cols)]
-        if self.many is not None:
-            diffs = _looked_up(self.many, self.cols).select(_session_diff().alias("value"))
-            durations = _durations(_unordered(self.many), self.cols)
-            parts += [
-                diffs.select(F.lit("session_diff").alias("figure"), "value"),
-                durations.select(
-                    F.lit("duration_micros").alias("figure"),
-                    F.col("duration_micros").alias("value"),
-                ),
-            ]
-        return _union(parts)
+        if self.whole:
+            return _figures(self.lean, self.cols)
+        visits = _visits(self.lean, self.cols)
+        diffs = _looked_up(visits, self.cols).select(
+            F.lit("session_diff").alias("figure"), _session_diff().alias("value")
+        )
+        micros = span_micros(F.col("_first"), F.col("_last"))
+        durations = _unordered(visits).select(
+            F.lit("duration_micros").alias("figure"), micros.alias("value")
+        )
+        return diffs.unionByName(durations)
 
     def with_last_session(self) -> DataFrame:
         """Every event with ``max_session_for_order``, the last session of its order group."""
         return self._with_group_values(
-            lambda part: part,
+            self.rows,
             [self.cols.customer, "order_number"],
             {"max_session_for_order": F.max(self.cols.session)},
         )
@@ -124,17 +169,24 @@ class OrderHistory:
         """Events before the first order with the first and last such event of their session."""
         ts = self.cols.timestamp
         return self._with_group_values(
-            _unordered,
+            _unordered(self.rows),
             [self.cols.customer, self.cols.session],
             {"min_session_event": F.min(ts), "max_session_event": F.max(ts)},
         )
 
-    def _with_group_values(self, step, keys: list[str], values: dict[str, Column]) -> DataFrame:
-        # A group is part of one history, so the groups of ordinary customers are small enough.
-        parts = [_over_groups(step(self.few), keys, values)]
-        if self.many is not None:
-            parts.append(_over_large_groups(step(self.many), keys, values, self.rule))
-        return _union(parts)
+    def _with_group_values(self, df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+        if self.whole:  # a group is part of one history, so it is small enough for a window
+            w = Window.partitionBy(*keys)
+            return df.withColumns({name: value.over(w) for name, value in values.items()})
+        # Groups of any size: aggregated in part before they are shuffled, then joined back. Spark
+        # broadcasts the groups if they are small, and splits a group's rows if it is not.
+        of = {k: f"{free_prefix(df)}{i}" for i, k in enumerate(keys)}
+        groups = df.groupBy(*[F.col(k).alias(n) for k, n in of.items()]).agg(
+            *[value.alias(name) for name, value in values.items()]
+        )
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in of.items()])
+        kept = [F.col(f"`{c}`") for c in df.columns if c not in values]
+        return df.drop(*values).join(groups, same).select(*kept, *values)
 
 
 def with_order_number(
@@ -183,59 +235,6 @@ def session_durations(
     return OrderHistory(events, order_type, cols, **options).durations()
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _time_order(cols: Columns) -> Column:
-    return F.col(cols.timestamp).asc_nulls_last()
-
-
-def _ordered(df: DataFrame, cols: Columns) -> DataFrame:
-    # No frame is given on purpose: the default one includes events at the same time.
-    w = Window.partitionBy(cols.customer).orderBy(_time_order(cols))
-    return df.withColumn("order_number", F.sum("placed_order").over(w))
-
-
-def _ordered_in_slices(df: DataFrame, cols: Columns, slices: int) -> DataFrame:
-    customer, ts = cols.customer, F.col(cols.timestamp)
-    w = Window.partitionBy(customer, SLICE).orderBy(_time_order(cols))
-    rows = sliced(df, slices, customer, _time_order(cols))
-    rows = rows.withColumn("_run", F.sum("placed_order").over(w))
-    rows = stored(rows.drop(ROW), "orders")
-
-    ends = rows.groupBy(customer, SLICE).agg(
-        F.min(ts).alias("_first"),
-        F.when(F.count(ts) == F.count(F.lit(1)), F.max(ts)).alias("_last"),
-        F.min("_run").alias("_at_first"),
-        F.max("_run").alias("_orders"),
-    )
-    along = Window.partitionBy(customer).orderBy(SLICE)
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    # A slice may end amid events of one time. The orders at that time which fall into the slices
-    # after it count for those events as well.
-    rest = (
-        Window.partitionBy(customer, "_first")
-        .orderBy(F.desc(SLICE))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    carry = ends.withColumn("_at_first_on", F.sum("_at_first").over(rest))
-    goes_on = F.lead(SLICE).over(along).isNotNull() & F.lead("_first").over(along).eqNullSafe(
-        F.col("_last")
-    )
-    carry = carry.select(
-        customer,
-        SLICE,
-        "_last",
-        F.coalesce(F.sum("_orders").over(earlier), F.lit(0)).alias("_before"),
-        F.when(goes_on, F.lead("_at_first_on").over(along)).otherwise(0).alias("_after"),
-    )
-    rows = carried_back(rows, carry, customer)
-    at_end = F.when(ts.eqNullSafe(F.col("_last")), F.col("_after")).otherwise(0)
-    number = F.col("_before") + F.col("_run") + at_end
-    return rows.select(*df.columns, number.alias("order_number"))
-
-
 def _unordered(df: DataFrame) -> DataFrame:
     return df.filter(F.col("order_number") == 0)
 
@@ -281,15 +280,23 @@ def _lagged(groups: DataFrame, cols: Columns) -> DataFrame:
     )
 
 
-def _looked_up(df: DataFrame, cols: Columns) -> DataFrame:
+def _visits(df: DataFrame, cols: Columns) -> DataFrame:
+    """One row per customer, order number and session: its time span and its orders."""
+    ts = cols.timestamp
+    return df.groupBy(cols.customer, "order_number", cols.session).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("placed_order").alias("_orders")
+    )
+
+
+def _looked_up(visits: DataFrame, cols: Columns) -> DataFrame:
     """``_lagged`` without a window over the customer, who may have any number of orders.
 
     All orders of a group happen at the time that opens it, so the group before has the number from
     before those orders. Each group is sent to its own number and to that one, and the two meet
     there; the work spreads over customer and number.
     """
-    groups = df.groupBy(cols.customer, "order_number").agg(
-        F.max(cols.session).alias("_reached"), F.sum("placed_order").alias("_orders")
+    groups = visits.groupBy(cols.customer, "order_number").agg(
+        F.max(cols.session).alias("_reached"), F.sum("_orders").alias("_orders")
     )
     number, reached = F.col("order_number"), F.col("_reached")
     # Group 0 has no order and nothing before it; no group has the number -1.
@@ -300,13 +307,12 @@ def _looked_up(df: DataFrame, cols: Columns) -> DataFrame:
     )
     met = groups.select(cols.customer, F.inline(sent)).groupBy(cols.customer, "_at")
     lagged = met.agg(*[F.max(c).alias(c) for c in ("_last", "_number", "_own")])
+    kind = visits.schema[cols.session].dataType
     return lagged.filter(F.col("_number").isNotNull()).select(
         cols.customer,
         F.col("_number").alias("order_number"),
-        F.col("_own").cast(df.schema[cols.session].dataType).alias("max_session_for_order"),
-        F.coalesce(F.col("_last"), F.lit(0))
-        .cast(df.schema[cols.session].dataType)
-        .alias("lagged_max_session_order"),
+        F.col("_own").cast(kind).alias("max_session_for_order"),
+        F.coalesce(F.col("_last"), F.lit(0)).cast(kind).alias("lagged_max_session_order"),
     )
 
 
@@ -327,38 +333,3 @@ def _durations(df: DataFrame, cols: Columns) -> DataFrame:
         micros.alias("duration_micros"),
         micros_to_minutes(micros).alias("session_duration"),
     )
-
-
-def _over_groups(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
-    w = Window.partitionBy(*keys)
-    return df.withColumns({name: value.over(w) for name, value in values.items()})
-
-
-def _over_large_groups(
-    df: DataFrame, keys: list[str], values: dict[str, Column], rule: SplitRule
-) -> DataFrame:
-    """As ``_over_groups``, but the largest groups get their values from a broadcast list.
-
-    At most MAX_HOT groups are listed; a group left out has at most max(hot_rows, rows / MAX_HOT)
-    rows.
-    """
-    listed = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), *[v.alias(n) for n, v in values.items()])
-        .filter(F.col("_rows") > rule.hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT)
-        .drop("_rows")
-    )
-    found = listed.collect()
-    if not found:
-        return _over_groups(df, keys, values)
-    large = df.sparkSession.createDataFrame(
-        pa.table({f"_{name}": [row[name] for row in found] for name in listed.columns})
-    ).select(*[F.col(f"_{f.name}").cast(f.dataType) for f in listed.schema])
-    large = F.broadcast(large)
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    in_large = df.join(large, same).select(
-        *df.columns, *[F.col(f"_{name}").alias(name) for name in values]
-    )
-    return _over_groups(df.join(large, same, "left_anti"), keys, values).unionByName(in_large)

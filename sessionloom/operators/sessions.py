@@ -4,23 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
 
 from sessionloom.columns import DEFAULT_GAP_MINUTES, Columns
-from sessionloom.functions.expressions import minutes_between
 from sessionloom.operators.history import (
-    ROW,
-    SLICE,
     HotCustomers,
     SplitRule,
-    carried_back,
     content_hash,
     hot_customers,
-    sliced,
-    split,
-    stored,
+    numbered,
 )
 from sessionloom.session import require_utc
 
@@ -30,13 +23,19 @@ def known_customers(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     return df.filter(F.col(cols.customer).isNotNull())
 
 
+def one_customer(df: DataFrame, customer: int, cols: Columns = Columns()) -> DataFrame:
+    """Only events of that customer; the filter reaches the scan."""
+    return df.filter(F.col(cols.customer) == F.lit(customer))
+
+
 def sort_events(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     """All events by customer and time, missing values first.
 
     The hash of the whole row comes last, so that a large group of equal keys can be divided.
     """
     customer = F.col(cols.customer).asc_nulls_first()
-    return df.orderBy(customer, *_time_order(cols), content_hash(df))
+    times = [F.col(c).asc_nulls_first() for c in (cols.timestamp, *cols.ties)]
+    return df.orderBy(customer, *times, content_hash(df))
 
 
 def session_columns(
@@ -58,12 +57,8 @@ def session_columns(
     require_utc(df, cols.timestamp)
     added = [f"{name}_{i}" for i in range(len(gaps)) for name in ("new_session", "session_number")]
     events = known_customers(df, cols).drop("prev_timestamp", "time_diff", *added)
-    hot = hot or hot_customers(events, cols.customer, rule)
-    few, many = split(events, cols.customer, hot)
-    out = _numbered(few, gaps, cols)
-    if many is None:
-        return out
-    return out.unionByName(_numbered_in_slices(many, gaps, cols, hot.slices))
+    hot = hot or hot_customers(events, cols.customer, rule, cols.timestamp)
+    return numbered(events, cols, hot, gaps)
 
 
 def sessionize(
@@ -132,89 +127,3 @@ def resessionize(
         cols.session,
         cols.type,
     )
-
-
-def _time_order(cols: Columns) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in (cols.timestamp, *cols.ties)]
-
-
-def _running(value: Column, window: WindowSpec) -> Column:
-    return F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-
-def _opens(minutes: Column, gap: float) -> Column:
-    return F.when(minutes > F.lit(float(gap)), 1).otherwise(0)
-
-
-def _minutes_since(prev: Column, now: Column) -> Column:
-    return F.coalesce(minutes_between(prev, now), F.lit(0.0))
-
-
-def _numbered(df: DataFrame, gaps: Sequence[float], cols: Columns) -> DataFrame:
-    w = Window.partitionBy(cols.customer).orderBy(*_time_order(cols))
-    ts = F.col(cols.timestamp)
-    out = df.withColumn("prev_timestamp", F.lag(ts).over(w))
-    out = out.withColumn("time_diff", _minutes_since(F.col("prev_timestamp"), ts))
-    out = out.withColumns(
-        {f"new_session_{i}": _opens(F.col("time_diff"), gap) for i, gap in enumerate(gaps)}
-    )
-    return out.withColumns(
-        {f"session_number_{i}": _running(F.col(f"new_session_{i}"), w) for i in range(len(gaps))}
-    )
-
-
-def _numbered_in_slices(
-    df: DataFrame, gaps: Sequence[float], cols: Columns, slices: int
-) -> DataFrame:
-    customer, ts = cols.customer, F.col(cols.timestamp)
-    kinds = range(len(gaps))
-
-    # Inside a slice all is known but for its first event, whose predecessor is in another slice.
-    w = Window.partitionBy(customer, SLICE).orderBy(*_time_order(cols), ROW)
-    rows = sliced(df, slices, customer, *_time_order(cols))
-    rows = rows.withColumns(
-        {"prev_timestamp": F.lag(ts).over(w), "_head": F.row_number().over(w) == 1}
-    )
-    minutes = _minutes_since(F.col("prev_timestamp"), ts)
-    rows = rows.withColumns({f"_new_{i}": _opens(minutes, gap) for i, gap in enumerate(gaps)})
-    rows = rows.withColumns({f"_run_{i}": _running(F.col(f"_new_{i}"), w) for i in kinds})
-    rows = stored(rows.drop(ROW), "sessions")
-
-    slice_ends = rows.groupBy(customer, SLICE).agg(
-        F.max(F.when(F.col("_head"), ts)).alias("_first"),
-        F.max(ts).alias("_last"),
-        *[F.max(f"_run_{i}").alias(f"_inner_{i}") for i in kinds],
-    )
-    along = Window.partitionBy(customer).orderBy(SLICE)
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carry = slice_ends.withColumn("_prev", F.lag("_last").over(along))
-    head_minutes = _minutes_since(F.col("_prev"), F.col("_first"))
-    carry = carry.withColumns(
-        {f"_opens_{i}": _opens(head_minutes, gap) for i, gap in enumerate(gaps)}
-    )
-    carry = carry.withColumns(
-        {
-            f"_base_{i}": F.coalesce(
-                F.sum(F.col(f"_opens_{i}") + F.col(f"_inner_{i}")).over(earlier), F.lit(0)
-            )
-            + F.col(f"_opens_{i}")
-            for i in kinds
-        }
-    )
-    carry = carry.select(
-        customer, SLICE, "_prev", *[f"_{name}_{i}" for i in kinds for name in ("opens", "base")]
-    )
-
-    rows = carried_back(rows, carry, customer)
-
-    def at_head(carried: str, own: str) -> Column:
-        return F.when(F.col("_head"), F.col(carried)).otherwise(F.col(own))
-
-    out = rows.withColumn("prev_timestamp", at_head("_prev", "prev_timestamp"))
-    return out.select(
-        *df.columns,
-        "prev_timestamp",
-        _minutes_since(F.col("prev_timestamp"), ts).alias("time_diff"),
-        *[at_head(f"_opens_{i}", f"_new_{i}").alias(f"new_session_{i}") for i in kinds],
-        *[(F.col(f"_base_{i}") + F.col(f"_run_{i}")).alias(f"session_number_{i}") for i in kinds],
-    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from sessionloom.columns import (
@@ -13,11 +13,12 @@ from sessionloom.columns import (
     TABLE,
     Columns,
 )
-from sessionloom.operators.history import SplitRule, stored
+from sessionloom.operators.history import SplitRule, hot_customers
 from sessionloom.operators.sessions import sessionize
 from sessionloom.plans.metrics import order_metrics_json
-from sessionloom.sources.raw import read_events_json, typed_events
-from sessionloom.sources.staged import read_staged, write_staged
+from sessionloom.session import folders_removed
+from sessionloom.sources.raw import check_values, counted_values, read_events_json, typed_events
+from sessionloom.sources.staged import read_staged, wait_until_staged, write_staged
 from sessionloom.sources.warehouse import load_events, scan_events
 
 
@@ -38,18 +39,24 @@ def run_etl(
     target: str,
     gap_minutes: float = DEFAULT_GAP_MINUTES,
     *,
-    schema: T.StructType = RAW_SCHEMA,
+    schema: T.StructType | None = RAW_SCHEMA,
     rule: SplitRule = SplitRule(),
 ) -> DataFrame:
     """Read raw JSON, sessionize it, write staged files; gives the staged rows.
 
-    The text is parsed once, into a typed table in the shared folder. Looking for long histories
-    and sessionizing read that table, and only the columns they need.
+    The search for long histories reads the customers once, and counts on its way whether each field has
+    any value; if one has none, nothing is written. The rows are written once; what long histories
+    need in between is removed afterwards.
     """
-    cols = Columns()
-    events = typed_events(read_events_json(spark, source, schema), cols=cols)
-    events = stored(events.select(cols.customer, cols.timestamp, cols.type), "events")
-    write_staged(sessionize(events, gap_minutes, cols, rule=rule), target)
+    cols, seen = Columns(), Observation("fields")
+    raw = read_events_json(spark, source, schema)
+    searched = typed_events(raw, cols=cols, seen=seen)
+    with folders_removed(spark):
+        hot = hot_customers(searched, cols.customer, rule, cols.timestamp)
+        # A search that has met no row at all leaves no counts behind.
+        check_values(seen.get if hot.searched else counted_values(raw, cols=cols))
+        events = typed_events(raw, cols=cols)
+        write_staged(sessionize(events, gap_minutes, cols, hot=hot), target)
     return read_staged(spark, target)
 
 
@@ -60,8 +67,14 @@ def run_load(
     table: str = TABLE,
     *,
     location: str | None = None,
+    wait: float | None = None,
 ) -> DataFrame:
-    """Create the table if need be and fill it from staged files."""
+    """Create the table if need be and fill it from staged files.
+
+    With ``wait`` the job waits that many seconds for the files at most, if they are not there yet.
+    """
+    if wait is not None:
+        wait_until_staged(spark, staged, wait)
     return load_events(spark, staged, database, table, location=location)
 
 

@@ -18,38 +18,54 @@ def _history(events: DataFrame, order_type: str, cols: Columns, options: dict) -
     return OrderHistory(events, order_type, cols, keep=(), **options)
 
 
+def median_visits_of(history: OrderHistory) -> DataFrame:
+    """Median number of sessions between orders, over all customers' order groups."""
+    return exact_median(history.diffs(), "session_diff", VISITS)
+
+
+def median_duration_of(history: OrderHistory) -> DataFrame:
+    """Median minutes per session before a customer's first order."""
+    return exact_median(history.durations(), "duration_micros", DURATION, micros_to_minutes)
+
+
+def metrics_of(history: OrderHistory) -> DataFrame:
+    """Both metrics in one row; a metric without any value is null."""
+    figures, figure = history.figures(), F.col("figure")
+    return middle_values(figures, "value", ["figure"]).agg(
+        midpoint(lambda v: v.cast("double"), figure == "session_diff").alias(VISITS),
+        midpoint(micros_to_minutes, figure == "duration_micros").alias(DURATION),
+    )
+
+
+def metrics_json_of(history: OrderHistory) -> DataFrame:
+    """Both metrics as one JSON object in the column ``metrics``."""
+    as_json = F.to_json(F.struct(VISITS, DURATION), {"ignoreNullFields": "false"})
+    return metrics_of(history).select(as_json.alias("metrics"))
+
+
 def median_visits_before_order(
     events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
 ) -> DataFrame:
-    """Median number of sessions between orders, over all customers' order groups."""
-    diffs = _history(events, order_type, cols, options).diffs()
-    return exact_median(diffs, "session_diff", VISITS)
+    """``median_visits_of`` for sessionized events."""
+    return median_visits_of(_history(events, order_type, cols, options))
 
 
 def median_session_duration_minutes_before_order(
     events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
 ) -> DataFrame:
-    """Median minutes per session before a customer's first order."""
-    durations = _history(events, order_type, cols, options).durations()
-    return exact_median(durations, "duration_micros", DURATION, micros_to_minutes)
+    """``median_duration_of`` for sessionized events."""
+    return median_duration_of(_history(events, order_type, cols, options))
 
 
 def order_metrics(
     events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
 ) -> DataFrame:
-    """Both metrics in one row; a metric without any value is null."""
-    figures = _history(events, order_type, cols, options).figures()
-    figure = F.col("figure")
-    return middle_values(figures, "value", ["figure"]).agg(
-        midpoint(lambda v: v.cast("double"), figure == "session_diff").alias(VISITS),
-        midpoint(micros_to_minutes, figure == "duration_micros").alias(DURATION),
-    )
+    """``metrics_of`` for sessionized events."""
+    return metrics_of(_history(events, order_type, cols, options))
 
 
 def order_metrics_json(
     events: DataFrame, order_type: str = ORDER_TYPE, cols: Columns = Columns(), **options
 ) -> DataFrame:
-    """``order_metrics`` as one JSON object in the column ``metrics``."""
-    metrics = order_metrics(events, order_type, cols, **options)
-    as_json = F.to_json(F.struct(VISITS, DURATION), {"ignoreNullFields": "false"})
-    return metrics.select(as_json.alias("metrics"))
+    """``metrics_json_of`` for sessionized events."""
+    return metrics_json_of(_history(events, order_type, cols, options))

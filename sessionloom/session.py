@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,4 +61,29 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = _local_folder()
-    return f"{base.rstrip('/')}/sessionloom/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/sessionloom/{purpose}-{uuid.uuid4().hex}"
+    _made.get().append(folder)
+    return folder
+
+
+_made: ContextVar[list[str]] = ContextVar("made", default=[])
+
+
+def hadoop_path(spark: SparkSession, uri: str):
+    """The file system of a folder or file, and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+@contextmanager
+def folders_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shared folders made inside the block, once it has written its result."""
+    mine: list[str] = []
+    before = _made.set(mine)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        for folder in mine:
+            files, path = hadoop_path(spark, folder)
+            files.delete(path, True)

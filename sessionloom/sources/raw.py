@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,7 +71,62 @@ def _plain_name(name: str) -> str:
     return name.replace("-", "_")
 
 
-def typed_events(raw: DataFrame, struct: str = "event", cols: Columns = Columns()) -> DataFrame:
-    """Flatten raw events, drop those without a customer, and parse their timestamps."""
-    flat = flatten(raw, struct).filter(F.col(cols.customer).isNotNull())
+REQUIRED = ("customer", "timestamp", "type")
+
+
+def merged(df: DataFrame, struct: str = "event") -> DataFrame:
+    """As ``flatten``, but a name may occur at the top and in the struct: the top value comes first."""
+    inner = df.schema[struct].dataType
+    if not isinstance(inner, T.StructType):
+        raise TypeError(f"{struct} is not a struct")
+    found: dict[str, list] = {}
+    for field in df.schema:
+        if field.name == struct:
+            for name in inner.fieldNames():
+                found.setdefault(_plain_name(name), []).append(F.col(f"`{struct}`").getField(name))
+        else:
+            found.setdefault(_plain_name(field.name), []).append(F.col(f"`{field.name}`"))
+    return df.select(*[F.coalesce(*values).alias(name) for name, values in found.items()])
+
+
+def typed_events(
+    raw: DataFrame,
+    struct: str = "event",
+    cols: Columns = Columns(),
+    seen: Observation | None = None,
+) -> DataFrame:
+    """Flatten raw events, drop those without a customer, and parse their timestamps.
+
+    Each field may stand at the top of a record or inside the struct. A field that the schema has in
+    neither place is an error; ``seen`` counts the values of each, for ``check_values``.
+    """
+    flat = _with_required(raw, struct, cols)
+    if seen is not None:
+        flat = flat.observe(seen, *_value_counts(cols))
+    flat = flat.filter(F.col(cols.customer).isNotNull())
     return flat.withColumn(cols.timestamp, parse_timestamp(F.col(cols.timestamp)))
+
+
+def _with_required(raw: DataFrame, struct: str, cols: Columns) -> DataFrame:
+    flat = merged(raw, struct)
+    absent = [n for n in (getattr(cols, part) for part in REQUIRED) if n not in flat.columns]
+    if absent:
+        raise ValueError(f"the records have no field {', '.join(absent)}")
+    return flat
+
+
+def _value_counts(cols: Columns) -> list[Column]:
+    counts = [F.count(F.col(getattr(cols, part))).alias(part) for part in REQUIRED]
+    return [F.count(F.lit(1)).alias("records"), *counts]
+
+
+def counted_values(raw: DataFrame, struct: str = "event", cols: Columns = Columns()) -> dict[str, int]:
+    """The number of records, and of values of each required field."""
+    return _with_required(raw, struct, cols).agg(*_value_counts(cols)).first().asDict()
+
+
+def check_values(counts: dict[str, int]) -> None:
+    """Refuse records of which none has a value for one of the fields: they would be lost silently."""
+    empty = [part for part in REQUIRED if counts["records"] and not counts[part]]
+    if empty:
+        raise ValueError(f"none of {counts['records']} records has a value for: {', '.join(empty)}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,18 +14,63 @@ from sessionloom.functions.expressions import whole_minutes
 from sessionloom.sources.staged import read_staged
 
 
+LOAD = "load_id"
+
+
+def quoted(*names: str) -> str:
+    """A name for SQL text, each part in backticks."""
+    return ".".join("`" + name.replace("`", "``") + "`" for name in names)
+
+
 def ensure_tables(
     spark: SparkSession, database: str = DATABASE, table: str = TABLE, location: str | None = None
 ) -> str:
-    """Create database and table unless they exist; gives the table's full name."""
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLE_SCHEMA.fields)
-    name = f"{database}.{table}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    """Create database and table unless they exist; gives the table's full name for SQL text.
+
+    Each load fills a partition of its own (``load_id``), so batch and stream share one table, and a
+    load that is repeated replaces its own rows.
+    """
+    place = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{place}")
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in TABLE_SCHEMA.fields)
+    name = quoted(database, table)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {LOAD} STRING) USING parquet "
+        f"PARTITIONED BY ({LOAD})"
+    )
+    if LOAD not in spark.table(name).columns:
+        raise ValueError(f"{name} is no table of this version: it has no column {LOAD}")
     return name
 
 
+def stage_id(uri: str) -> str:
+    """A short name for a staged folder."""
+    return hashlib.md5(uri.rstrip("/").encode()).hexdigest()[:12]
+
+
+def loads(spark: SparkSession, name: str) -> list[str]:
+    """The loads the table holds, one partition each."""
+    return [r[0].removeprefix(f"{LOAD}=") for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
+def replace_load(rows: DataFrame, name: str, load: str) -> None:
+    """Write the rows as that load, in place of what it held before."""
+    spark, view = rows.sparkSession, f"load_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    columns = ", ".join(quoted(f.name) for f in TABLE_SCHEMA.fields)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({LOAD} = '{load}') SELECT {columns} FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def drop_loads(spark: SparkSession, name: str, gone: list[str]) -> None:
+    for load in gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({LOAD} = '{load}')")
+
+
 def as_table_rows(staged: DataFrame) -> DataFrame:
     """Staged rows cast to the table's types. A number that does not fit fails the job."""
     columns = {f.name: F.col(f.name).cast(f.dataType) for f in TABLE_SCHEMA.fields}
@@ -51,7 +98,7 @@ def load_events(
 ) -> DataFrame:
     """Fill the table from staged files, column by column in order, and give the table.
 
-    The load replaces the table's rows, so running it again changes nothing. With ``skip_rejected``
+    The load replaces the table's rows, those of a stream too, so running it again changes nothing. With ``skip_rejected``
     rows that do not fit are left out instead of failing the job; ``rejected_rows`` lists them.
     """
     name = ensure_tables(spark, database, table, location)
@@ -62,10 +109,14 @@ def load_events(
             for f in TABLE_SCHEMA.fields
         ]
         staged = staged.filter(reduce(Column.__and__, fits))
-    as_table_rows(staged).write.insertInto(name, overwrite=True)
+    load = f"batch-{stage_id(uri)}"
+    replace_load(as_table_rows(staged), name, load)
+    drop_loads(spark, name, [other for other in loads(spark, name) if other != load])
     return scan_events(spark, database, table)
 
 
 def scan_events(spark: SparkSession, database: str = DATABASE, table: str = TABLE) -> DataFrame:
     """All rows of the table."""
-    return spark.table(f"{database}.{table}")
+    name = quoted(database, table)
+    spark.catalog.refreshTable(name)
+    return spark.table(name).select(*[F.col(f.name) for f in TABLE_SCHEMA.fields])

@@ -7,22 +7,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionloom.columns import DATABASE, STAGED_SCHEMA, TABLE, TABLE_SCHEMA, Columns
-from sessionloom.sources.warehouse import as_table_rows, ensure_tables
-
-POLL_SECONDS = 5
+from sessionloom.sources.staged import POLL_SECONDS, by_position, generation, is_staged
+from sessionloom.sources.warehouse import (
+    as_table_rows,
+    drop_loads,
+    ensure_tables,
+    loads,
+    replace_load,
+    stage_id,
+)
 
 
 def read_staged_stream(
     spark: SparkSession, uri: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Staged files as they arrive, under the table's column names.
+    """Staged files as they arrive, under the table's column names, matched by position.
 
-    The folder need not be there yet: the pattern is looked up anew for every batch.
+    The folder need not be there yet: the pattern is looked up anew for every batch. The columns' names
+    are taken from the files that are there; without any, they must be the staged ones.
     """
-    reader = spark.readStream.schema(STAGED_SCHEMA)
+    schema = STAGED_SCHEMA
+    if is_staged(spark, uri):
+        schema = spark.read.option("mergeSchema", "true").parquet(uri).schema
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(f"{uri.rstrip('/')}/*.parquet").toDF(*TABLE_SCHEMA.fieldNames())
+    return by_position(reader.parquet(f"{uri.rstrip('/')}/*.parquet"))
 
 
 def stream_load(
@@ -36,19 +46,35 @@ def stream_load(
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Append staged files to the table, looking for new ones every ``POLL_SECONDS``.
+    """Add staged files to the table, looking for new ones every ``POLL_SECONDS``.
 
-    The checkpoint remembers the files that are loaded: after a restart none is loaded twice. With
-    ``available_now`` the query loads what is there and ends.
+    Every batch is a load of its own, so one that is tried again replaces itself, and rows of other
+    folders and of batch loads stay. When the ETL has replaced the folder, its new rows replace those of
+    the generation before. A stream that starts from nothing replaces what the table holds of that
+    folder. With ``available_now`` the query loads what is there and ends.
     """
-    name = ensure_tables(spark, database, table, location)
-    rows = as_table_rows(read_staged_stream(spark, uri, max_files_per_trigger))
-    writer = rows.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    name, stage = ensure_tables(spark, database, table, location), stage_id(uri)
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        if not batch.filter(F.col(TABLE_SCHEMA[0].name).isNull()).isEmpty():
+            raise ValueError(f"files in {uri} have other column names than the ones first seen")
+        kept = f"stream-{stage}-{generation(session, uri)}-"
+        replace_load(as_table_rows(batch), name, f"{kept}{epoch}")
+        gone = [
+            other
+            for other in loads(session, name)
+            if stage in other and (not other.startswith(kept) or (epoch == 0 and other != f"{kept}0"))
+        ]
+        drop_loads(session, name, gone)
+
+    writer = read_staged_stream(spark, uri, max_files_per_trigger).writeStream
+    writer = writer.option("checkpointLocation", checkpoint).foreachBatch(load)
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{POLL_SECONDS} seconds")
-    return writer.toTable(name)
+    return writer.start()
 
 
 def stream_sessions(

@@ -105,3 +105,8 @@ def bag(df, *columns):
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan_of(df) -> str:
+    """The plan that has run, without the one it started from."""
+    return plan_of(df).split("+- == Initial Plan ==")[0]

@@ -3,10 +3,11 @@ import random
 from collections import Counter
 
 import pytest
-from helpers import DAY, EVENTS, at, bag, brute_sessions, plan_of, story
+from helpers import DAY, EVENTS, at, bag, brute_sessions, final_plan_of, plan_of, story
 from pyspark.sql import functions as F
 
 from sessionloom import Columns, SplitRule, hot_customers, resessionize, sessionize
+from sessionloom.operators import history
 from sessionloom.operators.sessions import known_customers, session_columns, sort_events
 
 COLS = Columns(tie=("event_id",))
@@ -189,17 +190,80 @@ def test_windows_agree_with_spark_session_window(spark, sf_dir):
 
 def test_hot_customers_are_found(spark):
     rows = [(i, i % 10 if i < 50 else 3, DAY + dt.timedelta(minutes=i), "v") for i in range(100)]
-    hot = hot_customers(spark.createDataFrame(rows, EVENTS), "customer_id", SplitRule(10, 20))
-    assert [r[0] for r in hot.ids.collect()] == [3] and hot.slices == 3
-    assert hot_customers(spark.createDataFrame(rows, EVENTS), "customer_id").ids is None
+    df = spark.createDataFrame(rows, EVENTS)
+    hot = hot_customers(df, "customer_id", SplitRule(10, 20))
+    (row,) = hot.cuts.collect()
+    assert row.customer == 3 and len(row.cuts) == 3 and row.cuts == sorted(row.cuts)
+    assert not row.crowded and row.missing == 1 and hot.small and hot.searched == 100
+    assert hot_customers(df, "customer_id").cuts is None
 
 
 def test_hot_customers_are_found_in_a_sample(spark):
     df = spark.range(200_000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("customer_id")
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("customer_id"),
+        F.timestamp_micros(F.col("id") * 1_000_000).cast("timestamp_ntz").alias("timestamp"),
     )
     hot = hot_customers(df, "customer_id", SplitRule(hot_rows=20_000, slice_rows=10_000))
-    assert [r[0] for r in hot.ids.collect()] == [-1] and 6 <= hot.slices <= 8
+    (row,) = hot.cuts.collect()
+    assert row.customer == -1 and 6 <= len(row.cuts) <= 8
+
+
+def test_crowded_instants_get_parts(spark):
+    minutes = [0] * 60 + list(range(1, 41)) + [None] * 50
+    df = story(spark, *[("v", m) for m in minutes])
+    hot = hot_customers(df, "customer_id", SplitRule(10, 10))
+    (row,) = hot.cuts.collect()
+    assert hot.crowded and row.missing == 5
+    assert [c.parts > 1 for c in row.crowded] == [True] and row.crowded[0].at == row.cuts[0]
+    assert numbers(df, rule=SplitRule(10, 10)) == numbers(df)
+
+
+@pytest.mark.parametrize("limit", [0, 5])
+def test_long_lists_are_joined_without_a_broadcast(spark, monkeypatch, limit):
+    rows = random_rows(9, customers=40)
+    monkeypatch.setattr(history, "BROADCAST_CUTS", limit)
+    df = spark.createDataFrame(rows, EVENTS).repartition(3)
+    hot = hot_customers(df.filter("customer_id is not null"), "customer_id", SplitRule(2, 4))
+    assert not hot.small and hot.cuts.count() > 30  # many more than the limit, and none is left out
+    got = sessionize(df, 30, COLS, keep=["event_id"], hot=hot)
+    assert bag(got, *RESULT) == Counter(brute_sessions(rows, 30))
+
+
+def test_many_cuts_are_counted_in_two_steps(spark):
+    rows = [(i, 1, DAY + dt.timedelta(minutes=7 * i % 5000), "v") for i in range(700)]
+    df = spark.createDataFrame(rows, EVENTS).repartition(5)
+    hot = hot_customers(df, "customer_id", SplitRule(10, 5))
+    assert len(hot.cuts.first().cuts) > 100
+    got = sessionize(df, 30, COLS, keep=["event_id"], hot=hot)
+    assert bag(got, *RESULT) == Counter(brute_sessions(rows, 30))
+
+
+TAKEN = ("_slice", "_row", "_run", "_run_0", "_head", "_prev", "_last", "_hot", "_h_slice", "_h_part")
+
+
+@pytest.mark.parametrize("rule", [SPLIT, SplitRule(0, 5)])
+def test_columns_of_any_name_and_type_ride_along(spark, rule):
+    from sessionloom.operators.orders import OrderHistory
+
+    df = spark.createDataFrame(random_rows(15), EVENTS).repartition(4)
+    for i, name in enumerate(TAKEN):
+        df = df.withColumn(name, F.col("event_id") * 100 + i)
+    df = df.withColumn("variant", F.parse_json(F.to_json(F.struct("event_id"))))
+    df = df.withColumn("pairs", F.create_map("type", "event_id"))
+    keep = ["event_id", *TAKEN, "variant", "pairs"]
+
+    def plain(out):
+        out = out.withColumns({"variant": F.col("variant").cast("string"), "pairs": F.to_json("pairs")})
+        return bag(out, *sorted(out.columns))
+
+    whole = sessionize(df, 30, COLS, keep=keep)
+    assert plain(sessionize(df, 30, COLS, keep=keep, rule=rule)) == plain(whole)
+    numbered = OrderHistory(whole, "placed_order", COLS).events()
+    assert plain(OrderHistory(whole, "placed_order", COLS, rule=rule).events()) == plain(numbered)
+    both = OrderHistory.of_events(df, 30, "placed_order", COLS, keep=keep, rule=rule)
+    assert plain(both.events()) == plain(numbered)
+    for step in ("with_last_session", "with_session_bounds"):
+        assert plain(getattr(both, step)()) == plain(getattr(OrderHistory(whole, cols=COLS), step)())
 
 
 def test_one_shuffle_and_pruned_scan(spark, sf_dir):
@@ -219,10 +283,16 @@ def test_unused_windows_are_dropped(spark, sf_dir):
     assert "Window" not in plan and "Exchange" not in plan
 
 
-def test_split_plan_shuffles_slices_not_customers(spark):
-    df = spark.createDataFrame(random_rows(6), EVENTS)
-    out = sessionize(df, 30, COLS, keep=["event_id"], rule=SplitRule(0, 50))
-    plan = plan_of(out)
-    # What is left to do for hot customers is one broadcast of the carried values.
-    hot_part = plan[plan.index("_prev") :]
-    assert "BroadcastHashJoin" in plan and "BroadcastExchange" in hot_part
+def test_split_plan_shuffles_the_events_once(spark, sf_dir):
+    from sessionloom.operators.orders import OrderHistory
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cols = Columns("user_id", "ts", "event_type", "visit", ("event_id",))
+    rule = SplitRule(10, 20)
+    out = OrderHistory.of_events(events, 480, "purchase", cols, rule=rule).figures()
+    out.collect()
+    plan = final_plan_of(out)
+    # The rows, the slices' carried values, and both figures: one scan and one shuffle of events.
+    assert plan.count("FileScan") == 1
+    slices = [x for x in plan.splitlines() if "Exchange hashpartitioning(user_id" in x and "_slice" in x]
+    assert len([x for x in slices if "ReusedExchange" not in x]) == 1 < len(slices)

@@ -1,5 +1,8 @@
 import datetime as dt
 import json
+import pathlib
+import threading
+from collections import Counter
 
 import pytest
 from helpers import bag
@@ -73,17 +76,64 @@ def test_read_and_flatten(spark, tmp_path):
     assert bag(events, "customer_id", "type") == {(7, "view"): 1, (7, "placed_order"): 1, (8, "view"): 1}
 
 
-def test_fields_at_top_level(spark, tmp_path):
-    lines = [{"customer-id": 1, "event": {"timestamp": "2023-01-01T00:00:00", "type": "view"}}]
-    events = raw.typed_events(raw.read_events_json(spark, write_lines(tmp_path, lines), None))
-    assert set(events.columns) == {"customer_id", "timestamp", "type"}
-    assert sl.sessionize(events, 30).count() == 1
+TIME = "2023-01-01T10:00:00"
+PLACES = {
+    "inside": [{"event": {"customer-id": 1, "timestamp": TIME, "type": "view"}}],
+    "top": [{"customer-id": 1, "timestamp": TIME, "type": "view", "event": {}}],
+    "no struct": [{"customer-id": 1, "timestamp": TIME, "type": "view"}],
+    "split": [{"customer-id": 1, "type": "view", "event": {"timestamp": TIME}}],
+    "each in its own way": [
+        {"customer-id": 1, "event": {"timestamp": TIME, "type": "view"}},
+        {"type": "view", "timestamp": TIME, "event": {"customer-id": 2}},
+    ],
+}
+
+
+@pytest.mark.parametrize("schema", [RAW_SCHEMA, None], ids=["given", "inferred"])
+@pytest.mark.parametrize("case", PLACES)
+def test_fields_in_any_place_go_through_the_job(spark, tmp_path, case, schema):
+    if schema is None and not all(line.get("event") for line in PLACES[case]):
+        pytest.skip("nothing to infer a struct from")
+    source = write_lines(tmp_path, PLACES[case])
+    rows = sl.run_etl(spark, source, str(tmp_path / "staged"), 30, schema=schema)
+    assert rows.count() == len(PLACES[case])
+    assert rows.filter("timestamp is null or type is null").isEmpty()
+
+
+def test_the_value_at_the_top_comes_first(spark, tmp_path):
+    lines = [{"type": "a", "customer-id": 1, "event": {"customer-id": 2, "timestamp": TIME, "type": "b"}}]
+    events = raw.typed_events(raw.read_events_json(spark, write_lines(tmp_path, lines)))
+    assert [(r.customer_id, r.type) for r in events.collect()] == [(1, "a")]
+
+
+@pytest.mark.parametrize("gone", ["customer-id", "timestamp", "type"])
+@pytest.mark.parametrize("rule", [SplitRule(), SplitRule(0, 1)])
+def test_a_field_without_any_value_is_refused(spark, tmp_path, gone, rule):
+    record = {"customer-id": 1, "timestamp": TIME, "type": "view"}
+    lines = [{**{k: v for k, v in record.items() if k != gone}, "event": {}}] * 3
+    target = tmp_path / "staged"
+    with pytest.raises(ValueError, match=gone.split("-")[0]):
+        sl.run_etl(spark, write_lines(tmp_path, lines), str(target), 30, rule=rule)
+    assert not target.exists()
+
+
+def test_no_records_are_no_error(spark, tmp_path):
+    assert sl.run_etl(spark, write_lines(tmp_path, []), str(tmp_path / "staged"), 30).count() == 0
+
+
+@pytest.mark.parametrize("rule", [SplitRule(), SplitRule(0, 1)])
+def test_the_job_leaves_no_folders_behind(spark, tmp_path, rule):
+    lines = [{"type": "view", "event": {"customer-id": 1, "timestamp": TIME}}] * 30
+    before = work_folder(spark, "x").rsplit("/", 1)[0]
+    names = lambda: sorted(p.name for p in pathlib.Path(before).glob("*"))
+    had = names()
+    sl.run_etl(spark, write_lines(tmp_path, lines), str(tmp_path / "staged"), 30, rule=rule)
+    assert names() == had
 
 
 def test_flatten_refuses_a_clash(spark):
-    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("customer-id", T.LongType())])
     with pytest.raises(ValueError, match="customer_id"):
-        raw.flatten(raw.empty_events(spark, schema))
+        raw.flatten(raw.empty_events(spark))
     with pytest.raises(TypeError):
         raw.flatten(raw.empty_events(spark), "type")
 
@@ -172,6 +222,111 @@ def test_load_of_numbers_that_do_not_fit(spark, tmp_path):
     assert warehouse.load_events(spark, target, **place, skip_rejected=True).count() == 1
 
 
+def renamed(spark, tmp_path, change=lambda df: df):
+    """The staged rows in files whose columns have other names."""
+    rows = staged.read_staged(spark, stage(spark, tmp_path))
+    target = str(tmp_path / "renamed")
+    change(rows.toDF(*[f"c{i}" for i in range(6)])).write.parquet(target)
+    return target, rows
+
+
+def test_load_goes_by_position(spark, tmp_path):
+    target, rows = renamed(spark, tmp_path)
+    place = {"database": "shop_f", "location": str(tmp_path / "shop_f")}
+    assert bag(staged.read_staged(spark, target), *rows.columns) == bag(rows, *rows.columns)
+    table = sl.run_load(spark, target, **place)
+    assert table.filter("customer_id is null").isEmpty() and table.count() == 3
+    options = dict(checkpoint=str(tmp_path / "ck"), available_now=True)
+    streaming.stream_load(spark, target, **place, **options).awaitTermination()
+    table = warehouse.scan_events(spark, "shop_f")
+    assert table.filter("customer_id is null").isEmpty() and table.count() == 3
+
+
+CHANGES = {
+    "a column too few": (ValueError, lambda df: df.drop("c5")),
+    "a column too many": (ValueError, lambda df: df.withColumn("c6", F.lit(1))),
+    "text for a number": (TypeError, lambda df: df.withColumn("c0", F.col("c0").cast("string"))),
+    "another order": (TypeError, lambda df: df.select("c5", "c0", "c1", "c2", "c3", "c4")),
+}
+
+
+@pytest.mark.parametrize("case", CHANGES)
+def test_other_columns_are_refused(spark, tmp_path, case):
+    error, change = CHANGES[case]
+    target, _ = renamed(spark, tmp_path, change)
+    place = {"database": "shop_g", "location": str(tmp_path / "shop_g")}
+    with pytest.raises(error, match="column"):
+        sl.run_load(spark, target, **place)
+    with pytest.raises(error, match="column"):
+        streaming.stream_load(spark, target, str(tmp_path / "ck"), **place, available_now=True)
+
+
+def test_files_that_change_names_under_a_stream_are_refused(spark, tmp_path):
+    place = {"database": "shop_h", "location": str(tmp_path / "shop_h")}
+    target = str(tmp_path / "late")
+    query = streaming.stream_load(spark, target, str(tmp_path / "ck"), **place)
+    try:
+        other, _ = renamed(spark, tmp_path)
+        spark.read.parquet(other).write.parquet(target)
+        with pytest.raises(Exception, match="other column names"):
+            query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def test_batch_and_stream_share_a_table(spark, tmp_path):
+    place = {"database": "shop_i", "location": str(tmp_path / "shop_i")}
+    first, second = stage(spark, tmp_path), str(tmp_path / "second")
+    rows = staged.read_staged(spark, first)
+    staged.write_staged(rows.withColumn("customer_id", F.col("customer_id") + 100), second)
+    follow = dict(available_now=True, **place)
+
+    def table():
+        return Counter(r.customer_id for r in warehouse.scan_events(spark, "shop_i").collect())
+
+    sl.run_load(spark, first, **place)
+    streaming.stream_load(spark, second, str(tmp_path / "ck"), **follow).awaitTermination()
+    assert table() == {7: 2, 8: 1, 107: 2, 108: 1}
+    # The folder is staged again, with fewer rows: its rows are replaced, the other folder's stay.
+    staged.write_staged(rows.filter("customer_id = 7"), second)
+    streaming.stream_load(spark, second, str(tmp_path / "ck"), **follow).awaitTermination()
+    assert table() == {7: 4, 8: 1}
+    # A stream over the folder that batch has loaded takes over from it.
+    streaming.stream_load(spark, first, str(tmp_path / "ck2"), **follow).awaitTermination()
+    assert table() == {7: 4, 8: 1}
+    # A batch load replaces everything, as documented, and can be repeated.
+    for _ in range(2):
+        sl.run_load(spark, first, **place)
+        assert table() == {7: 2, 8: 1}
+
+
+def test_a_batch_that_is_tried_again_replaces_itself(spark, tmp_path):
+    target = stage(spark, tmp_path)
+    name = warehouse.ensure_tables(spark, "shop_j", location=str(tmp_path / "shop_j"))
+    rows = warehouse.as_table_rows(staged.read_staged(spark, target))
+    for _ in range(2):
+        warehouse.replace_load(rows, name, "stream-x-0-0")
+    assert warehouse.scan_events(spark, "shop_j").count() == 3
+
+
+def test_names_and_places_are_quoted(spark, tmp_path):
+    place = tmp_path / "it's here"
+    name = warehouse.ensure_tables(spark, "shop_k", "select", str(place))
+    assert name == "`shop_k`.`select`" and warehouse.quoted("a`b") == "`a``b`"
+    assert warehouse.scan_events(spark, "shop_k", "select").count() == 0
+
+
+def test_load_waits_for_the_files(spark, tmp_path):
+    place = {"database": "shop_l", "location": str(tmp_path / "shop_l")}
+    target = str(tmp_path / "staged")
+    with pytest.raises(TimeoutError, match="nothing was staged"):
+        sl.run_load(spark, target, **place, wait=0.2)
+    later = threading.Timer(1.0, lambda: stage(spark, tmp_path))
+    later.start()
+    assert sl.run_load(spark, target, **place, wait=60).count() == 3
+    later.join()
+
+
 def test_stream_loads_each_file_once(spark, tmp_path):
     target = stage(spark, tmp_path)
     place = {"database": "shop_c", "location": str(tmp_path / "shop_c")}

@@ -345,9 +345,11 @@ def _finished(rows, carry, given: list[str], cols: Columns, gaps, flag: str | No
         prev = F.when(first, F.col(p + "before_it")).when(starts, ts).otherwise(F.col(p + "prev"))
         added |= {"prev_timestamp": prev, "time_diff": _minutes_since(prev, ts)}
         for i in range(len(gaps)):
-            own, run = F.col(f"{p}new_{i}"), F.col(f"{p}run_{i}")
+            own = F.col(f"{p}new_{i}")
             added[f"new_session_{i}"] = F.when(first, F.col(f"{p}opens_{i}")).otherwise(own)
-            added[f"session_number_{i}"] = F.coalesce(F.col(f"{p}base_{i}"), F.lit(0)) + run
+        for i in range(len(gaps)):
+            base = F.coalesce(F.col(f"{p}base_{i}"), F.lit(0))
+            added[f"session_number_{i}"] = base + F.col(f"{p}run_{i}")
     if flag:
         one_time = hot & ((F.col(p + "slice") < 0) | (F.col(p + "slice") % 2 == 0))
         here = F.when(one_time, F.col(p + "flags")).otherwise(F.col(p + "orders"))

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,10 +27,14 @@ from pyspark.sql.window import Window
 from sessionloom.llm.common import partitions, text_key, whole_text
 from sessionloom.llm.words import split_words, text_bytes, word_codes
 
-BATCH_BYTES = 12_000_000
-CACHED_WORDS = 500_000
+BATCH_BYTES = 5_000_000
+CACHED_WORDS = 400_000
 WORDS_AT_ONCE = 200
-PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII but for ' and <>, which may begin a token of their own
+# ASCII punctuation but for what may be part of a token together with letters: ' < > |
+PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+_IS_MARK = np.isin(np.arange(256), list(PUNCTUATION.encode()))
+_IS_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+_LOWER = np.array([ord(chr(i).lower()) if i < 128 else i for i in range(256)], dtype=np.uint8)
 
 
 @dataclass(frozen=True)
@@ -49,8 +54,10 @@ _ENCODERS: dict[str, "_Encoder"] = {}
 class _Encoder:
     """Encodes texts word by word and remembers words.
 
-    No token spans a space: the tokenizer must treat the six ASCII blanks as borders, which
-    the first lines below try. Memory is bounded: when it is full, only words of late are kept.
+    No token spans a space: the tokenizer must treat the six ASCII blanks as borders, which the first lines
+    try. One that marks word ends and lowers case also lets words be cut between ASCII letters and
+    punctuation, and lowered, before they are looked up, so far fewer of them are new. Memory is bounded:
+    when it is full, only words of late are kept.
     """
 
     def __init__(self, path: str):
@@ -61,9 +68,13 @@ class _Encoder:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.ends = self._word_ends()
-        whole = self.tokenizer.encode("so it\tis\n\x0b x1's\r\x0c  end.", add_special_tokens=False).ids
-        if b"".join(self._encoded([b"so", b"it", b"is", b"x1's", b"end."])) != _packed(whole):
+        trial = b"so it\tis\n\x0b x1's\r\x0c  eNd. (The)--IT'S 'a,b'c!!'s"
+        whole = self._each([trial.decode()])[0]
+        if b"".join(self._each([w.decode() for w in trial.split()])) != whole:
             raise ValueError("this tokenizer has tokens that span blanks")
+        self.finer = self.ends is not None
+        if self.finer:
+            self.finer = self(pa.array([trial], pa.binary()), 0)[0][:-1].tobytes() == whole
 
     def _word_ends(self) -> np.ndarray | None:
         """Which ids end a piece of text; None if this kind of tokenizer does not mark them."""
@@ -84,34 +95,37 @@ class _Encoder:
         at once: such a word ends where its last piece does, so the line's ids can be told apart."""
         if self.ends is None:
             return self._each([w.decode("utf-8", "replace") for w in words])
-        out: list[bytes] = [b""] * len(words)
-        plain, pieces, odd, texts = [], [], [], []
-        for i, word in enumerate(words):
-            text = word.decode("utf-8", "replace")
-            core = text.rstrip(PUNCTUATION)
-            if core.lower().isalpha():
-                plain.append(i)
-                pieces.append(1 if len(core) == len(text) else 2)
-                texts.append(text)
-            else:
-                odd.append(i)
-        for i, ids in zip(odd, self._each([words[i].decode("utf-8", "replace") for i in odd])):
-            out[i] = ids
-        lines = range(0, len(plain), WORDS_AT_ONCE)
+        try:
+            text = pa.array(words, pa.binary()).cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that are no UTF-8: the slow way for the words of this batch
+            return self._each([w.decode("utf-8", "replace") for w in words])
+        core = pc.utf8_rtrim(text, characters=PUNCTUATION)
+        plain = pc.utf8_is_alpha(pc.utf8_lower(core)).to_numpy(zero_copy_only=False)
+        pieces = np.where(pc.equal(core, text).to_numpy(zero_copy_only=False), 1, 2)[plain]
+        out = np.empty(len(words), dtype=object)
+        odd = text.filter(pa.array(~plain)).to_pylist()
+        out[~plain] = _objects(self._each(odd))
+        texts = text.filter(pa.array(plain)).to_pylist()
+        lines = range(0, len(texts), WORDS_AT_ONCE)
         joined = [" ".join(texts[a : a + WORDS_AT_ONCE]) for a in lines]
         found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        parts: list[bytes] = []
         for a, line in zip(lines, found):
             ids = np.array(line.ids, dtype="<u4")
             last = np.cumsum(pieces[a : a + WORDS_AT_ONCE])
             stop = np.flatnonzero(self.ends[ids]) + 1
             if len(stop) != last[-1]:  # some word is in other pieces than it seems
-                part = self._each(texts[a : a + WORDS_AT_ONCE])
+                parts += self._each(texts[a : a + WORDS_AT_ONCE])
             else:
                 cut, data = (4 * stop[last - 1]).tolist(), ids.tobytes()
-                part = [data[x:y] for x, y in zip([0, *cut[:-1]], cut)]
-            for i, packed in zip(plain[a : a + WORDS_AT_ONCE], part):
-                out[i] = packed
-        return out
+                parts += [data[x:y] for x, y in zip([0, *cut[:-1]], cut)]
+        out[plain] = _objects(parts)
+        return out.tolist()
+
+    @staticmethod
+    def has_special(data: np.ndarray) -> bool:
+        """Whether <| occurs: special tokens are matched before case is lowered."""
+        return bool(((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any())
 
     def _lookup(self, words: list[bytes]) -> list[bytes]:
         """The ids of distinct words."""
@@ -131,7 +145,14 @@ class _Encoder:
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, each ended by ``end_id``, and how many each has."""
         data, ends = text_bytes(texts)
-        letters, count, doc = split_words(data, ends)
+        cut = None
+        if self.finer:
+            mark, letter = _IS_MARK[data], _IS_LETTER[data]
+            cut = np.zeros(len(data), dtype=bool)
+            cut[1:] = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+            if not self.has_special(data):
+                data = _LOWER[data]
+        letters, count, doc = split_words(data, ends, cut)
         codes, words = word_codes(letters, count)
         packed = [*self._lookup(words), _packed([end_id])]
         size = np.array([len(p) // 4 for p in packed], dtype=np.int64)
@@ -146,6 +167,12 @@ class _Encoder:
         return flat[at], np.bincount(owner, times, len(texts)).astype(np.int64)
 
 
+def _objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), dtype=object)
+    out[:] = values
+    return out
+
+
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 

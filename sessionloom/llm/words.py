@@ -19,15 +19,20 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0] : ends[-1]], ends[1:] - ends[0]
 
 
-def split_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def split_words(
+    data: np.ndarray, ends: np.ndarray, cut: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of all words one after another, each word's length, and its document.
 
-    Words are runs of bytes other than the six blanks; no word goes on in the next document.
+    Words are runs of bytes other than the six blanks; no word goes on in the next document. With
+    ``cut`` a word also begins at each byte that is marked there.
     """
     begin = np.zeros(len(data) + 1, dtype=bool)
     begin[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = True
     letter = ~_IS_BREAK[data]
     first = letter & (begin[:-1] | ~np.concatenate([[False], letter[:-1]]))
+    if cut is not None:
+        first |= letter & cut
     start = np.flatnonzero(first)
     if not len(start):
         none = np.zeros(0, dtype=np.int64)

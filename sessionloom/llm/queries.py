@@ -17,6 +17,7 @@ from sessionloom.llm.simhash import near_duplicates
 from sessionloom.llm.substring_dedup import repeat_digests
 from sessionloom.llm.suffix_dedup import repeated_byte_digests
 from sessionloom.llm.token_files import TokenFormat, token_digests, write_tokens
+from sessionloom.llm.windows_sql import byte_repeats_sql, word_repeats_sql
 from sessionloom.session import work_folder
 
 
@@ -99,5 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_substring_dedup": word_repeats_sql(),
         "op3_mix_sources": mix_sql(),
+        "op9_suffix_array_dedup": byte_repeats_sql(),
     }

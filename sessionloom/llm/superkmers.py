@@ -491,7 +491,7 @@ class _Batch:
             return
         start = unit[place]
         stop = start + windows[place] - 1 + self.win.size
-        to = (keys[doc[place]].astype(np.uint64) >> np.uint64(33)) % np.uint64(self.buckets)
+        to = mixed(ids[doc[place]].astype(np.uint64)) % np.uint64(self.buckets)
         for no, part in _split(to.astype(np.int64), np.arange(len(place))):
             d = doc[place[part]]
             yield no, _packed(

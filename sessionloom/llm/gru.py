@@ -7,6 +7,9 @@ state, so a sequence of any length is scored whole with bounded memory.
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable
+
 import numpy as np
 
 CLASSES = MEMBERS = 64
@@ -55,6 +58,12 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    out = np.exp(x - x.max(axis=1)[:, None])
+    out /= out.sum(axis=1)[:, None]
+    return out
+
+
 def log_probabilities(model: Model, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Natural logarithms of the probabilities of outcomes ``y`` after states ``h``."""
     cls, member = y // MEMBERS, y % MEMBERS
@@ -104,8 +113,18 @@ def score(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
 # --- training -----------------------------------------------------------------------------------
 
 
-def _window_gradients(model: Model, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h0: np.ndarray):
-    """Gradients over one window (steps, streams) of truncated backpropagation, and the last state."""
+def _window_gradients(
+    model: Model,
+    x: np.ndarray,
+    y: np.ndarray,
+    fresh: np.ndarray,
+    h0: np.ndarray,
+    real: np.ndarray | None = None,
+):
+    """Gradients over one window (steps, streams) of truncated backpropagation, and the last state.
+
+    Places that are not ``real`` pad the ends of streams and teach nothing.
+    """
     steps, streams = x.shape
     h, tape = h0, []
     for t in range(steps):
@@ -116,10 +135,11 @@ def _window_gradients(model: Model, x: np.ndarray, y: np.ndarray, fresh: np.ndar
     states = np.concatenate([s[5] for s in tape])
     truth = y.reshape(-1)
     scale = np.float32(1 / len(truth))
+    if real is not None:
+        scale = (real / real.sum()).astype(np.float32).reshape(-1, 1)
     cls, member = truth // MEMBERS, truth % MEMBERS
     row = np.arange(len(truth))
-    logits = states @ model["class"] + model["class_bias"]
-    p = np.exp(logits - _log_sum(logits)[:, None])
+    p = _softmax(states @ model["class"] + model["class_bias"])
     p[row, cls] -= 1
     p *= scale
     d_states = p @ model["class"].T
@@ -127,12 +147,12 @@ def _window_gradients(model: Model, x: np.ndarray, y: np.ndarray, fresh: np.ndar
     order = np.argsort(cls, kind="stable")
     found, first = np.unique(cls[order], return_index=True)
     for c, rows in zip(found, np.split(order, first[1:])):
-        logits = states[rows] @ model["member"][c] + model["member_bias"][c]
-        q = np.exp(logits - _log_sum(logits)[:, None])
+        own = states[rows]
+        q = _softmax(own @ model["member"][c] + model["member_bias"][c])
         q[np.arange(len(rows)), member[rows]] -= 1
-        q *= scale
+        q *= scale if real is None else scale[rows]
         d_states[rows] += q @ model["member"][c].T
-        grads["member"][c], grads["member_bias"][c] = states[rows].T @ q, q.sum(axis=0)
+        grads["member"][c], grads["member_bias"][c] = own.T @ q, q.sum(axis=0)
     d_states = d_states.reshape(steps, streams, HIDDEN)
     d_gates = np.empty((steps, streams, 3 * HIDDEN), dtype=np.float32)
     d_h = np.zeros_like(h0)
@@ -147,11 +167,33 @@ def _window_gradients(model: Model, x: np.ndarray, y: np.ndarray, fresh: np.ndar
         grads["recurrent"] += before.T @ d_own
         d_h = d_h * z + d_own @ model["recurrent"].T
         d_h = np.where(fresh[t][:, None], np.float32(0), d_h)
-    np.add.at(grads["gates"], x.reshape(-1), d_gates.reshape(-1, 3 * HIDDEN))
+    order = np.argsort(x.reshape(-1), kind="stable")
+    found, first = np.unique(x.reshape(-1)[order], return_index=True)
+    grads["gates"][found] = np.add.reduceat(d_gates.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
     grads["gates"][OUTCOMES] = 0
     return grads, h
 
 
+class _Adam:
+    """Adam over the arrays of a model, with gradients clipped to a norm of 1."""
+
+    def __init__(self, model: Model):
+        self.steps = 0
+        self.mean = {k: np.zeros_like(v) for k, v in model.items()}
+        self.square = {k: np.zeros_like(v) for k, v in model.items()}
+
+    def step(self, model: Model, grads: Model, rate: float) -> None:
+        self.steps += 1
+        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        clip = min(1.0, 1.0 / (size + 1e-9))
+        for k, g in grads.items():
+            mean, square = self.mean[k], self.square[k]
+            mean += 0.1 * (clip * g - mean)
+            square += 0.005 * (clip * clip * g * g - square)
+            m, s = mean / (1 - 0.9**self.steps), square / (1 - 0.995**self.steps)
+            model[k] -= (rate * m / (np.sqrt(s) + 1e-6)).astype(np.float32)
+
+
 def train(
     sequences: list[np.ndarray],
     frequency: np.ndarray,
@@ -176,17 +218,77 @@ def train(
     fresh = x == OUTCOMES
     start = rng.integers(0, len(y), streams)  # each stream runs from its own place, around the end
     h = np.zeros((streams, HIDDEN), dtype=np.float32)
-    mean = {k: np.zeros_like(v) for k, v in model.items()}
-    square = {k: np.zeros_like(v) for k, v in model.items()}
+    adam = _Adam(model)
     for step in range(1, steps + 1):
         at = (start[None, :] + np.arange(window)[:, None] + (step - 1) * window) % len(y)
         grads, h = _window_gradients(model, x[at], y[at], fresh[at], h)
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        clip = min(1.0, 1.0 / (size + 1e-9))
-        now = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-        for k, g in grads.items():
-            mean[k] += 0.1 * (clip * g - mean[k])
-            square[k] += 0.005 * (clip * clip * g * g - square[k])
-            m, s = mean[k] / (1 - 0.9**step), square[k] / (1 - 0.995**step)
-            model[k] -= (now * m / (np.sqrt(s) + 1e-6)).astype(np.float32)
+        adam.step(model, grads, rate * min(1.0, 2 * (1 - step / (steps + 1))))
     return model
+
+
+def learn(
+    model: Model,
+    batches: Iterable[list[np.ndarray]],
+    rate: float,
+    streams: int = 512,
+    window: int = 16,
+) -> tuple[Model, int]:
+    """The model after one pass over every token of all sequences, and the number of tokens.
+
+    Whole sequences follow one another in ``streams`` streams, each put where the fewest tokens wait.
+    Windows run while all streams can fill them; what is left waits for the next batch, and at the end
+    streams drop out one by one. Windows of few tokens are added up to one step.
+    """
+    model = {k: v.copy() for k, v in model.items()}
+    adam = _Adam(model)
+    waiting = [np.zeros((2, 0), dtype=np.int32)] * streams
+    h = np.zeros((streams, HIDDEN), dtype=np.float32)
+    total, held, sums = 0, 0, None
+
+    def run(rounds: int) -> None:
+        nonlocal held, sums
+        for no in range(rounds):
+            cut = [w[:, no * window : (no + 1) * window] for w in waiting]
+            n = np.array([c.shape[1] for c in cut])
+            active = np.flatnonzero(n)
+            xy = np.zeros((2, window, len(active)), dtype=np.int64)
+            for i, stream in enumerate(active):
+                xy[:, : n[stream], i] = cut[stream]
+            full = n[active].min() == window
+            real = None if full else np.arange(window)[:, None] < n[active]
+            grads, h[active] = _window_gradients(
+                model, xy[0], xy[1], xy[0] == OUTCOMES, h[active], real
+            )
+            count = int(n.sum())
+            if not held and count * 2 >= streams * window:
+                adam.step(model, grads, rate)
+                continue
+            part = {k: g * np.float32(count) for k, g in grads.items()}
+            sums = {k: sums[k] + g for k, g in part.items()} if held else part
+            held += count
+            if held * 2 >= streams * window:
+                step()
+
+    def step() -> None:
+        nonlocal held, sums
+        adam.step(model, {k: g / np.float32(held) for k, g in sums.items()}, rate)
+        held, sums = 0, None
+
+    for sequences in batches:
+        queue = [(w.shape[1], i) for i, w in enumerate(waiting)]
+        heapq.heapify(queue)
+        parts = [[w] for w in waiting]
+        for s in sorted(sequences, key=len, reverse=True):
+            if len(s):
+                n, i = queue[0]
+                parts[i].append(np.stack([np.concatenate([[OUTCOMES], s[:-1]]), s]).astype(np.int32))
+                heapq.heapreplace(queue, (n + len(s), i))
+                total += len(s)
+        waiting = [np.concatenate(p, axis=1) for p in parts]
+        rounds = min(w.shape[1] for w in waiting) // window
+        run(rounds)
+        waiting = [w[:, rounds * window :].copy() for w in waiting]
+    run(-(-max(w.shape[1] for w in waiting) // window))
+    if held:
+        step()
+    return model, total

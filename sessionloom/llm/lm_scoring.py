@@ -13,9 +13,12 @@ What is gathered from the corpus covers every training document:
 
 1. Each task counts its words; counts meet by a hash of the word. Out come the number of tokens, of
    distinct words, the groups' sizes and the most frequent words with their counts.
-2. The network's weights are learned on the driver from a bounded sample: ``train_documents`` documents,
-   the first in order of a hash of their ids, of each at most ``train_segments`` segments spread over the
-   text. Its starting point, the frequencies of all outcomes, comes from the counts of all documents.
+2. The network starts from the frequencies of all outcomes in all documents, and from weights that the
+   driver learns from a bounded sample: ``train_documents`` documents, the first in order of a hash of
+   their ids, of each at most ``train_segments`` segments spread over the text. From there it learns
+   from the whole text of every training document: a hash deals them to ``passes``, and in each pass
+   every task goes once over its documents of the pass, from the weights all tasks share. The means of
+   the tasks' weights, by their numbers of tokens, are shared in the next pass.
 3. Each task scores its documents and sends its other words, with the documents they are in, to the
    bucket of the word. There the exact count of each is known, and sums per document go back.
 
@@ -51,6 +54,8 @@ class LmRule:
     train_documents: int = 800
     train_segments: int = 6
     steps: int = 700
+    passes: int = 4
+    rate: float = 0.004
     folds: int = 7
     held_out: int = 2
 
@@ -244,8 +249,8 @@ def _segments(most: int):
     return run
 
 
-def fit(docs: DataFrame, counts: Counts, rule: LmRule = LmRule()) -> gru.Model:
-    """Learn the network from the documented sample of the training documents."""
+def started(docs: DataFrame, counts: Counts, rule: LmRule = LmRule()) -> gru.Model:
+    """The network before its passes, learned from the documented sample of the training documents."""
     rows = _fold(docs, rule)
     ids = rows.filter("train").select(F.col("doc_id").alias("_id")).distinct()
     chosen = ids.orderBy(F.xxhash64("_id"), "_id").limit(rule.train_documents)
@@ -257,6 +262,84 @@ def fit(docs: DataFrame, counts: Counts, rule: LmRule = LmRule()) -> gru.Model:
     return gru.train(sequences, counts.frequency(), rule.steps)
 
 
+WEIGHT_SCHEMA = "slice int, task int, tokens long, weights binary"
+_SLICE = 1 << 16  # weights in one row
+_MERGE = 64  # tasks whose weights meet in one place
+
+
+def _learned(model: gru.Model, counts: Counts, rate: float):
+    known = counts.outcomes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        texts = (
+            _outcome_arrays([t.as_py() for t in rows.column(0)], known) for rows in _batches(batches, 0)
+        )
+        own, n = gru.learn(model, texts, rate)
+        if n:
+            yield _weight_rows(_flat(own), n, TaskContext.get().partitionId())
+
+    return run
+
+
+def _flat(model: gru.Model) -> np.ndarray:
+    return np.concatenate([model[k].reshape(-1) for k in sorted(model)])
+
+
+def _weight_rows(flat: np.ndarray, n: int, task: int) -> pa.RecordBatch:
+    parts = [flat[at : at + _SLICE].tobytes() for at in range(0, len(flat), _SLICE)]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(range(len(parts)), pa.int32()),
+            pa.array([task] * len(parts), pa.int32()),
+            pa.array([n] * len(parts), pa.int64()),
+            pa.array(parts, pa.binary()),
+        ],
+        names=["slice", "task", "tokens", "weights"],
+    )
+
+
+def _weights_merged(table: pa.Table) -> pa.Table:
+    """The mean of a slice's weights by numbers of tokens, in order of tasks."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["task"])
+    n = sum(r["tokens"] for r in rows)
+    mean = sum(np.frombuffer(r["weights"], np.float32) * (r["tokens"] / n) for r in rows)
+    first = rows[0]
+    return pa.table(
+        {
+            "slice": pa.array([first["slice"]], pa.int32()),
+            "task": pa.array([first["task"] // _MERGE], pa.int32()),
+            "tokens": pa.array([n], pa.int64()),
+            "weights": pa.array([mean.astype(np.float32).tobytes()], pa.binary()),
+        }
+    )
+
+
+def fit(docs: DataFrame, counts: Counts, rule: LmRule = LmRule()) -> gru.Model:
+    """Learn the network from the whole texts of all training documents."""
+    model = started(docs, counts, rule)
+    rows = _fold(docs, rule).filter("train")
+    turn = F.pmod(F.xxhash64("doc_id", text_key("text")), F.lit(rule.passes))
+    for no in range(rule.passes):
+        rate = rule.rate * (1 - no / rule.passes)
+        texts = rows.filter(turn == no).select("text")
+        found = stored(texts.mapInArrow(_learned(model, counts, rate), WEIGHT_SCHEMA), "lm-weights")
+        most = found.agg(F.max("task")).first()[0]
+        if most is None:
+            continue
+        while most > 0:
+            found = found.groupBy("slice", F.floor(F.col("task") / _MERGE).alias("part"))
+            found = found.applyInArrow(_weights_merged, WEIGHT_SCHEMA)
+            most //= _MERGE
+        slices = [bytes(r.weights) for r in found.orderBy("slice").select("weights").collect()]
+        flat, at = np.frombuffer(b"".join(slices), np.float32), 0
+        for k in sorted(model):
+            model[k] = flat[at : at + model[k].size].reshape(model[k].shape).copy()
+            at += model[k].size
+    return model
+
+
 # --- 3. scores ----------------------------------------------------------------------------------
 
 _DOC_BLOB = (np.int64, np.uint8, np.uint8, np.int64, np.int64, np.float64, np.float64)

@@ -218,3 +218,66 @@ def test_model_beats_the_base_on_held_out_rows(frame):
 def test_counts_cover_all_training_documents(frame, rows):
     counts = count_words(frame(rows))
     assert counts.ends == sum(i is not None and fold(i, 7) != 2 for i, _ in rows)
+
+
+def test_padding_teaches_nothing():
+    rng = np.random.default_rng(6)
+    model = gru.new_model(np.ones(gru.OUTCOMES), rng)
+    x, y = rng.integers(0, gru.OUTCOMES, (2, 6, 1))
+    fresh, h0 = np.zeros((6, 2), dtype=bool), np.zeros((2, gru.HIDDEN), dtype=np.float32)
+    alone, _ = gru._window_gradients(model, x, y, fresh[:, :1], h0[:1])
+    pad = np.zeros((6, 1), dtype=np.int64)
+    real = np.array([[True, False]] * 6)
+    both, _ = gru._window_gradients(model, np.hstack([x, pad]), np.hstack([y, pad]), fresh, h0, real)
+    assert all(np.allclose(alone[k], both[k], atol=1e-6) for k in alone)
+
+
+@pytest.mark.parametrize("streams", [1, 3, 50])
+def test_a_pass_reads_every_token(monkeypatch, streams):
+    rng = np.random.default_rng(7)
+    model = gru.new_model(np.ones(gru.OUTCOMES), rng)
+    lengths = [[1, 5, 300, 16], [], [17, 0, 2, 33], [1]]
+    batches = [[rng.integers(0, gru.OUTCOMES, n) for n in b] for b in lengths]
+    read, gradients = Counter(), gru._window_gradients
+
+    def watched(model, x, y, fresh, h0, real=None):
+        real = np.ones(x.shape, dtype=bool) if real is None else real
+        read.update(zip(x[real].tolist(), y[real].tolist()))
+        return gradients(model, x, y, fresh, h0, real)
+
+    monkeypatch.setattr(gru, "_window_gradients", watched)
+    _, n = gru.learn(model, batches, 0.01, streams)
+    every = [s for b in batches for s in b if len(s)]
+    want = Counter(p for s in every for p in zip([gru.OUTCOMES, *s.tolist()], s.tolist()))
+    assert n == sum(want.values()) and read == want
+
+
+def test_weights_come_from_all_training_documents(frame):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(40))) for i in range(40)]
+    rule = LmRule(steps=2, train_documents=3)
+    counts = count_words(frame(rows), rule)
+    model = lm_scoring.fit(frame(rows, parts=1), counts, rule)
+    first = lm_scoring.started(frame(rows), counts, rule)
+
+    def other(i):  # the same words of one document in another order
+        turned = [(j, " ".join(reversed(t.split())) if i == j else t) for j, t in rows]
+        docs = frame(turned, parts=1)
+        begun, learned = lm_scoring.started(docs, counts, rule), lm_scoring.fit(docs, counts, rule)
+        return [any((a[k] != b[k]).any() for k in a) for a, b in ((first, begun), (model, learned))]
+
+    train = [i for i in range(40) if fold(i, 7) != 2]
+    changed = [other(i) for i in train[:5]]
+    assert all(learned for _, learned in changed) and not all(begun for begun, _ in changed)
+    assert other(next(i for i in range(40) if fold(i, 7) == 2)) == [False, False]
+
+
+def test_weights_of_many_tasks_are_averaged(frame, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(10 + i))) for i in range(40)]
+    rule = LmRule(steps=2, train_documents=3, passes=1)
+    counts = count_words(frame(rows), rule)
+    model = lm_scoring.fit(frame(rows, parts=7), counts, rule)
+    monkeypatch.setattr(lm_scoring, "_MERGE", 2)
+    again = lm_scoring.fit(frame(rows, parts=7), counts, rule)
+    assert all(np.allclose(model[k], again[k], atol=1e-5) for k in model)

@@ -4,7 +4,9 @@ Numbers, units that follow a number, and capitalised words become typed placehol
 lower-cased and stripped of punctuation. Windows of such tokens are joined by hash with the windows of
 the benchmark items, so a question is found again after its numbers and names were changed. A pair
 of document and item then has to agree on its slots: every value of an item is bound to the value that
-most windows of the document show in its place, and windows that show another one do not count.
+most windows show in its place, and windows that show another one do not count, unless all their values
+are the item's own. The vote is taken in each occurrence, the windows at about one distance between their
+places in the document and in the item, and once over the whole document; the best one counts.
 
 Items with fewer tokens than a window have none and match nothing: a phrase that short occurs by
 chance.
@@ -40,6 +42,7 @@ _AFTER_NUMBER = rf"(?i){NUMBER}\s+(?:{_UNITS})(?![{_WORD}])"
 _CAPITALISED = rf"(?<![{_WORD}])\p{{Lu}}[\p{{Ll}}\p{{M}}]+(?![{_WORD}])"
 _BREAK = rf"[^{_WORD}{NUMBER}-{NAME}]+"
 BROADCAST_WINDOWS = 1_000_000
+SHIFT = 3  # tokens that come or go inside an occurrence, at once
 
 
 @dataclass(frozen=True)
@@ -103,7 +106,9 @@ def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
         shape.alias("item_shape"),
         F.slice("surface", F.col("place") + 1, rule.window).alias("item_surface"),
     ).filter(rule.window - F.size(F.filter("item_shape", _is_type)) >= rule.literals)
-    first = F.min_by(F.struct("item_shape", "item_surface"), "place").alias("first")
+    first = F.min_by(
+        F.struct("item_shape", "item_surface", F.col("place").alias("item_place")), "place"
+    ).alias("first")
     return rows.groupBy("item_id", "hash").agg(first).select("item_id", "hash", "first.*")
 
 
@@ -158,7 +163,7 @@ def _slots(rows: DataFrame, rule: LeakRule) -> DataFrame:
         ),
         lambda s: _is_type(s["type"]),
     )
-    return rows.select(*PER, "place", "hash", slots.alias("slots"))
+    return rows.select(*PER, "place", "hash", "item_place", slots.alias("slots"))
 
 
 def _found_at_once(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
@@ -185,18 +190,34 @@ def _found_again(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFra
     return _slots(again.join(windows, "hash"), rule)
 
 
+def _occurrences(rows: DataFrame) -> DataFrame:
+    """Add ``occurrence``: each row once for its occurrence, and once for the whole document (-1)."""
+    by_shift = Window.partitionBy(*PER).orderBy("_shift")
+    rows = rows.withColumn("_shift", F.col("place") - F.col("item_place"))
+    jump = F.col("_shift") - F.lag("_shift", 1).over(by_shift) > SHIFT
+    rows = rows.withColumn("_jump", F.coalesce(jump.cast("int"), F.lit(0)))
+    rows = rows.withColumn("_no", F.sum("_jump").over(by_shift).cast("int"))
+    both = F.explode(F.array(F.lit(-1), F.col("_no")))
+    return rows.withColumn("occurrence", both).drop("_shift", "_jump", "_no")
+
+
 def _consistent(rows: DataFrame, totals: DataFrame, rule: LeakRule) -> DataFrame:
-    """Count the windows of each pair whose slots agree with the pair's bindings."""
-    slots = rows.select(*PER, "place", F.explode("slots").alias("s")).select(*PER, "place", "s.*")
-    votes = slots.groupBy(*PER, "type", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
-    by_value = Window.partitionBy(*PER, "type", "item_value").orderBy(F.desc("n"), "doc_value")
+    """Count the windows of each pair whose slots agree with the bindings of its best occurrence."""
+    per = [*PER, "occurrence"]
+    own = ~F.exists("slots", lambda s: s["item_value"] != s["doc_value"])
+    rows = _occurrences(rows.withColumn("own", own))
+    slots = rows.select(*per, "place", F.explode("slots").alias("s")).select(*per, "place", "s.*")
+    votes = slots.groupBy(*per, "type", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
+    by_value = Window.partitionBy(*per, "type", "item_value").orderBy(F.desc("n"), "doc_value")
     lost = votes.withColumn("turn", F.row_number().over(by_value)).filter(F.col("turn") > 1)
-    wrong = _matched(slots, lost, [*PER, "type", "item_value", "doc_value"], "left_semi")
-    agreed = _matched(rows, wrong.select(*PER, "place").distinct(), [*PER, "place"], "left_anti")
-    changed = F.exists("slots", lambda s: s["item_value"] != s["doc_value"])
-    out = agreed.groupBy(*PER).agg(
-        F.countDistinct("hash").alias("n_windows"), (~F.max(changed)).alias("exact")
+    wrong = _matched(slots, lost, [*per, "type", "item_value", "doc_value"], "left_semi")
+    wrong = wrong.select(*per, "place").distinct()
+    agreed = _matched(rows.filter(~F.col("own")), wrong, [*per, "place"], "left_anti")
+    out = agreed.unionByName(rows.filter("own")).groupBy(*per).agg(
+        F.countDistinct("hash").alias("n_windows"), F.min("own").alias("exact")
     )
+    best = F.max(F.struct("n_windows", "exact")).alias("best")
+    out = out.groupBy(*PER).agg(best).select(*PER, "best.*")
     out = out.join(totals, "item_id")
     return out.filter(F.col("n_windows") >= F.lit(rule.coverage) * F.col("item_windows"))
 

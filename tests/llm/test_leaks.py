@@ -87,3 +87,12 @@ def test_against_plain_search(spark, sf_dir):
         hits = Counter(i for k in range(len(w) - 7) for i in held.get(tuple(w[k : k + 8]), ()))
         want |= {(r.doc_id, i) for i in hits}
     assert {(r.doc_id, r.item_id) for r in leaks(docs, bench).collect()} == want
+
+
+def test_each_occurrence_is_bound_by_itself(spark, frame, way):
+    same = TWICE.replace("Tom", "Paul").replace("Anna", "Julia")
+    third = TWICE.replace("Tom", "Adam").replace("Anna", "Zoe")
+    docs = [(1, TWICE), (2, f"{TWICE}. {same}"), (3, f"{same}, {third}. {same}"), (4, f"{third}. {same}")]
+    got = found(spark, frame, docs, [(9, TWICE)])
+    n = got[1, 9][1]
+    assert got == {(1, 9): (n, n, True), (2, 9): (n, n, True), (3, 9): (n, n, False), (4, 9): (n, n, False)}

@@ -2,7 +2,9 @@
 
 Numbers, units that follow a number, and capitalised words become typed placeholders; what is left is
 lower-cased and stripped of punctuation. Windows of such tokens are joined by hash with the windows of
-the benchmark items, so a question is found again after its numbers and names were changed. A pair
+the benchmark items, so a question is found again after its numbers and names were changed. Each window
+has a second, literal form, its lower-cased words and numbers, so other capitals hide nothing; an item's
+window is held if either form is. A pair
 of document and item then has to agree on its slots: every value of an item is bound to the value that
 most windows show in its place, and windows that show another one do not count, unless all their values
 are the item's own. The vote is taken in each occurrence, the windows at about one distance between their
@@ -62,31 +64,36 @@ def _tokens(text: Column) -> Column:
 
 
 def templates(df: DataFrame, text: str) -> DataFrame:
-    """Add ``surface``, the words and numbers of the text, and ``shape``, the same ones with types.
+    """Add ``surface``, the lower-cased words and numbers, and ``shape``, the same ones with types.
 
     Placeholders stand in the place of what they replace, so the two match one for one.
     """
     typed = F.regexp_replace(whole_text(text), _NUMBER, NUMBER)
     typed = F.regexp_replace(typed, _AFTER_NUMBER, f"{NUMBER} {UNIT}")
     typed = F.regexp_replace(typed, _CAPITALISED, NAME)
-    return df.withColumn("surface", _tokens(whole_text(text))).withColumn(
+    return df.withColumn("surface", _tokens(F.lower(whole_text(text)))).withColumn(
         "shape", _tokens(F.lower(typed))
     )
 
 
 def _with_hashes(df: DataFrame, size: int) -> DataFrame:
-    """Add ``hashes``: one for every window of ``shape``, built by doubling."""
+    """Add ``hashes`` and ``own_hashes``: one for every window of ``shape`` and of ``surface``."""
     if size < 2 or size & (size - 1):
         raise ValueError("the window must be a power of two")
-    df = df.withColumn("hashes", F.transform("shape", lambda t: F.xxhash64(t)))
+    df = _hashed(df, "hashes", F.transform("shape", lambda t: F.xxhash64(t)), size)
+    return _hashed(df, "own_hashes", F.transform("surface", lambda t: F.xxhash64(t, F.lit(1))), size)
+
+
+def _hashed(df: DataFrame, name: str, of_tokens: Column, size: int) -> DataFrame:
+    """Hashes of windows, built by doubling."""
+    df = df.withColumn(name, of_tokens)
     span = 1
     while span < size:
-        later = F.slice("hashes", span + 1, F.greatest(F.size("hashes"), F.lit(1)))
-        df = df.withColumn("hashes", F.zip_with("hashes", later, lambda x, y: F.xxhash64(x, y)))
+        later = F.slice(name, span + 1, F.greatest(F.size(name), F.lit(1)))
+        df = df.withColumn(name, F.zip_with(name, later, lambda x, y: F.xxhash64(x, y)))
         span *= 2
     # The last size - 1 entries have run over the end.
-    whole = F.greatest(F.size("shape") - (size - 1), F.lit(0))
-    return df.withColumn("hashes", F.slice("hashes", 1, whole))
+    return df.withColumn(name, F.slice(name, 1, F.greatest(F.size("shape") - (size - 1), F.lit(0))))
 
 
 def _is_type(token: Column) -> Column:
@@ -94,22 +101,24 @@ def _is_type(token: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
-    """The distinct windows of every item, without those that are mostly placeholders."""
+    """The distinct windows of every item in both forms, without those that are mostly placeholders."""
     rows = items.select(
-        "item_id", "shape", "surface", F.posexplode("hashes").alias("place", "hash")
+        "item_id", "shape", "surface", "own_hashes", F.posexplode("hashes").alias("place", "window")
     )
-    shape = F.slice("shape", F.col("place") + 1, rule.window)
     rows = rows.select(
         "item_id",
-        "hash",
-        "place",
-        shape.alias("item_shape"),
+        "window",
+        F.element_at("own_hashes", F.col("place") + 1).alias("own"),
+        F.col("place").alias("item_place"),
+        F.slice("shape", F.col("place") + 1, rule.window).alias("item_shape"),
         F.slice("surface", F.col("place") + 1, rule.window).alias("item_surface"),
     ).filter(rule.window - F.size(F.filter("item_shape", _is_type)) >= rule.literals)
-    first = F.min_by(
-        F.struct("item_shape", "item_surface", F.col("place").alias("item_place")), "place"
-    ).alias("first")
-    return rows.groupBy("item_id", "hash").agg(first).select("item_id", "hash", "first.*")
+    typed = F.struct(F.lit(False).alias("literal"), F.col("window").alias("hash"))
+    own = F.struct(F.lit(True).alias("literal"), F.col("own").alias("hash"))
+    rows = rows.withColumn("form", F.explode(F.array(typed, own)))
+    values = F.struct("window", "item_shape", "item_surface", "item_place")
+    rows = rows.groupBy("item_id", "form").agg(F.min_by(values, "item_place").alias("first"))
+    return rows.select("item_id", "form.*", "first.*")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) -> DataFrame:
@@ -126,7 +135,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
     bench = stored(_with_hashes(templates(bench, "_text"), rule.window), "leak-benchmark")
     windows = stored(benchmark_windows(bench, rule), "leak-windows")
     few = windows.count() <= BROADCAST_WINDOWS
-    totals = windows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
+    totals = windows.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
 
     keyed = docs.select("doc_id", text_key("text").alias("text_key"), "text")
     rows = _with_hashes(templates(keyed, "text"), rule.window)
@@ -152,34 +161,40 @@ def _slots(rows: DataFrame, rule: LeakRule) -> DataFrame:
     place = F.col("place") + 1
     # Neither less nor greater: a plain equality would become a key of the join, and every window's
     # tokens would be copied for it. In this form only windows whose hash has met are looked at.
-    shape, item = F.slice("shape", place, rule.window), F.col("item_shape")
-    rows = rows.filter((shape <= item) & (shape >= item))
     surface = F.slice("surface", place, rule.window)
+    mine = F.when(F.col("literal"), surface).otherwise(F.slice("shape", place, rule.window))
+    item = F.when(F.col("literal"), F.col("item_surface")).otherwise(F.col("item_shape"))
+    rows = rows.filter((mine <= item) & (mine >= item))
     slots = F.filter(
         F.arrays_zip(
             F.col("item_shape").alias("type"),
-            F.transform("item_surface", F.lower).alias("item_value"),
-            F.transform(surface, F.lower).alias("doc_value"),
+            F.col("item_surface").alias("item_value"),
+            surface.alias("doc_value"),
         ),
         lambda s: _is_type(s["type"]),
     )
-    return rows.select(*PER, "place", "hash", "item_place", slots.alias("slots"))
+    return rows.select(*PER, "place", "window", "literal", "item_place", slots.alias("slots"))
 
 
-def _found_at_once(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
-    """The matches of a benchmark whose windows fit a broadcast.
+def _exploded(rows: DataFrame, rule: LeakRule) -> DataFrame:
+    """One row per window and form, with its ``place`` and ``hash``.
 
     The outer form keeps Spark from adding a filter that computes all hashes a second time.
     """
-    exploded = rows.select(
-        "doc_id", "text_key", "shape", "surface", F.posexplode_outer("hashes").alias("place", "hash")
-    )
-    return _slots(exploded.join(F.broadcast(windows), "hash"), rule)
+    both = F.posexplode_outer(F.concat("hashes", "own_hashes")).alias("_at", "hash")
+    rows = rows.select("doc_id", "text_key", "shape", "surface", both)
+    n = F.greatest(F.size("shape") - (rule.window - 1), F.lit(1))
+    return rows.withColumn("place", F.pmod("_at", n)).drop("_at")
+
+
+def _found_at_once(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
+    """The matches of a benchmark whose windows fit a broadcast."""
+    return _slots(_exploded(rows, rule).join(F.broadcast(windows), "hash"), rule)
 
 
 def _found_again(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
     """The matches of a larger benchmark: only hashes are shuffled, then the texts that match."""
-    exploded = rows.select("doc_id", "text_key", F.posexplode_outer("hashes").alias("place", "hash"))
+    exploded = _exploded(rows, rule).select("doc_id", "text_key", "place", "hash")
     hits = exploded.join(windows.select("hash").distinct(), "hash").distinct()
     places = hits.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).agg(
         F.collect_list(F.struct("place", "hash")).alias("places")
@@ -206,7 +221,8 @@ def _consistent(rows: DataFrame, totals: DataFrame, rule: LeakRule) -> DataFrame
     per = [*PER, "occurrence"]
     own = ~F.exists("slots", lambda s: s["item_value"] != s["doc_value"])
     rows = _occurrences(rows.withColumn("own", own))
-    slots = rows.select(*per, "place", F.explode("slots").alias("s")).select(*per, "place", "s.*")
+    typed = rows.filter(~F.col("literal"))
+    slots = typed.select(*per, "place", F.explode("slots").alias("s")).select(*per, "place", "s.*")
     votes = slots.groupBy(*per, "type", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
     by_value = Window.partitionBy(*per, "type", "item_value").orderBy(F.desc("n"), "doc_value")
     lost = votes.withColumn("turn", F.row_number().over(by_value)).filter(F.col("turn") > 1)
@@ -214,7 +230,7 @@ def _consistent(rows: DataFrame, totals: DataFrame, rule: LeakRule) -> DataFrame
     wrong = wrong.select(*per, "place").distinct()
     agreed = _matched(rows.filter(~F.col("own")), wrong, [*per, "place"], "left_anti")
     out = agreed.unionByName(rows.filter("own")).groupBy(*per).agg(
-        F.countDistinct("hash").alias("n_windows"), F.min("own").alias("exact")
+        F.countDistinct("window").alias("n_windows"), F.min("own").alias("exact")
     )
     best = F.max(F.struct("n_windows", "exact")).alias("best")
     out = out.groupBy(*PER).agg(best).select(*PER, "best.*")

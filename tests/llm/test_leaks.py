@@ -96,3 +96,9 @@ def test_each_occurrence_is_bound_by_itself(spark, frame, way):
     got = found(spark, frame, docs, [(9, TWICE)])
     n = got[1, 9][1]
     assert got == {(1, 9): (n, n, True), (2, 9): (n, n, True), (3, 9): (n, n, False), (4, 9): (n, n, False)}
+
+
+def test_capitals_do_not_matter(spark, frame, way):
+    got = found(spark, frame, [(1, ITEM), (2, ITEM.lower()), (3, f"X {ITEM.upper()}"), (4, ITEM.title())], [(9, ITEM)])
+    n = got[1, 9][1]
+    assert got == {(i, 9): (n, n, True) for i in (1, 2, 3, 4)}

@@ -10,8 +10,8 @@ most windows show in its place, and windows that show another one do not count,
 are the item's own. The vote is taken in each occurrence, the windows at about one distance between their
 places in the document and in the item, and once over the whole document; the best one counts.
 
-Items with fewer tokens than a window have none and match nothing: a phrase that short occurs by
-chance.
+Windows that are mostly placeholders are sought in their literal form only. They count for items that
+have no others. Items with fewer tokens than a window are sought as a whole, by their lower-cased tokens.
 
 Only DataFrame functions are used. If the benchmark's windows are counted to be at most
 ``BROADCAST_WINDOWS`` they are broadcast and the texts are read once, without a shuffle; otherwise both
@@ -101,7 +101,10 @@ def _is_type(token: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
-    """The distinct windows of every item in both forms, without those that are mostly placeholders."""
+    """The distinct windows of every item in both forms; those that are mostly placeholders as literals.
+
+    ``counted``: the windows that an item's coverage is a share of.
+    """
     rows = items.select(
         "item_id", "shape", "surface", "own_hashes", F.posexplode("hashes").alias("place", "window")
     )
@@ -112,11 +115,14 @@ def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
         F.col("place").alias("item_place"),
         F.slice("shape", F.col("place") + 1, rule.window).alias("item_shape"),
         F.slice("surface", F.col("place") + 1, rule.window).alias("item_surface"),
-    ).filter(rule.window - F.size(F.filter("item_shape", _is_type)) >= rule.literals)
+    )
+    usable = rule.window - F.size(F.filter("item_shape", _is_type)) >= rule.literals
+    any_usable = F.max("usable").over(Window.partitionBy("item_id"))
+    rows = rows.withColumn("usable", usable).withColumn("counted", F.col("usable") | ~any_usable)
     typed = F.struct(F.lit(False).alias("literal"), F.col("window").alias("hash"))
     own = F.struct(F.lit(True).alias("literal"), F.col("own").alias("hash"))
-    rows = rows.withColumn("form", F.explode(F.array(typed, own)))
-    values = F.struct("window", "item_shape", "item_surface", "item_place")
+    rows = rows.withColumn("form", F.explode(F.when(F.col("usable"), F.array(typed, own)).otherwise(F.array(own))))
+    values = F.struct("window", "counted", "item_shape", "item_surface", "item_place")
     rows = rows.groupBy("item_id", "form").agg(F.min_by(values, "item_place").alias("first"))
     return rows.select("item_id", "form.*", "first.*")
 
@@ -135,11 +141,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
     bench = stored(_with_hashes(templates(bench, "_text"), rule.window), "leak-benchmark")
     windows = stored(benchmark_windows(bench, rule), "leak-windows")
     few = windows.count() <= BROADCAST_WINDOWS
-    totals = windows.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
+    totals = windows.filter("counted").groupBy("item_id")
+    totals = totals.agg(F.countDistinct("window").alias("item_windows"))
+    short = bench.filter((F.size("surface") > 0) & (F.size("surface") < rule.window))
+    sizes = sorted(r.n for r in short.select(F.size("surface").alias("n")).distinct().collect())
 
     keyed = docs.select("doc_id", text_key("text").alias("text_key"), "text")
     rows = _with_hashes(templates(keyed, "text"), rule.window)
     found = _found_at_once(rows, windows, rule) if few else _found_again(rows, windows, rule)
+    if sizes:
+        found = found.unionByName(_found_whole(rows, short, sizes))
+        totals = totals.unionByName(short.select("item_id", F.lit(1).cast("long").alias("item_windows")))
     kept = _consistent(stored(found, "leak-matches"), totals, rule)
     ids = bench.select("item_id", F.col("_id").alias("_benchmark_id"))
     return kept.join(ids, "item_id").select(
@@ -173,7 +185,7 @@ def _slots(rows: DataFrame, rule: LeakRule) -> DataFrame:
         ),
         lambda s: _is_type(s["type"]),
     )
-    return rows.select(*PER, "place", "window", "literal", "item_place", slots.alias("slots"))
+    return rows.select(*PER, "place", "window", "literal", "counted", "item_place", slots.alias("slots"))
 
 
 def _exploded(rows: DataFrame, rule: LeakRule) -> DataFrame:
@@ -205,6 +217,33 @@ def _found_again(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFra
     return _slots(again.join(windows, "hash"), rule)
 
 
+def _found_whole(rows: DataFrame, short: DataFrame, sizes: list[int]) -> DataFrame:
+    """The matches of items shorter than a window: all their tokens, in a row."""
+    surface, held = F.col("surface"), F.size("surface")
+
+    def phrases(n: int) -> Column:
+        found = F.transform(
+            F.sequence(F.lit(1), F.greatest(held - (n - 1), F.lit(1))),
+            lambda at: F.array_join(F.slice(surface, at, n), " "),
+        )
+        return F.when(held >= n, found).otherwise(F.array().cast("array<string>"))
+
+    each = F.explode_outer(F.array_distinct(F.concat(*[phrases(n) for n in sizes]))).alias("phrase")
+    items = short.select("item_id", F.array_join("surface", " ").alias("phrase"))
+    if short.count() <= BROADCAST_WINDOWS:
+        items = F.broadcast(items)
+    value = "array<struct<type:string,item_value:string,doc_value:string>>"
+    return rows.select("doc_id", "text_key", each).join(items, "phrase").select(
+        *PER,
+        F.lit(0).alias("place"),
+        F.lit(0).cast("long").alias("window"),
+        F.lit(True).alias("literal"),
+        F.lit(True).alias("counted"),
+        F.lit(0).alias("item_place"),
+        F.array().cast(value).alias("slots"),
+    )
+
+
 def _occurrences(rows: DataFrame) -> DataFrame:
     """Add ``occurrence``: each row once for its occurrence, and once for the whole document (-1)."""
     by_shift = Window.partitionBy(*PER).orderBy("_shift")
@@ -230,7 +269,7 @@ def _consistent(rows: DataFrame, totals: DataFrame, rule: LeakRule) -> DataFrame
     wrong = wrong.select(*per, "place").distinct()
     agreed = _matched(rows.filter(~F.col("own")), wrong, [*per, "place"], "left_anti")
     out = agreed.unionByName(rows.filter("own")).groupBy(*per).agg(
-        F.countDistinct("window").alias("n_windows"), F.min("own").alias("exact")
+        F.countDistinct(F.when(F.col("counted"), F.col("window"))).alias("n_windows"), F.min("own").alias("exact")
     )
     best = F.max(F.struct("n_windows", "exact")).alias("best")
     out = out.groupBy(*PER).agg(best).select(*PER, "best.*")

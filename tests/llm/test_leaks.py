@@ -102,3 +102,15 @@ def test_capitals_do_not_matter(spark, frame, way):
     got = found(spark, frame, [(1, ITEM), (2, ITEM.lower()), (3, f"X {ITEM.upper()}"), (4, ITEM.title())], [(9, ITEM)])
     n = got[1, 9][1]
     assert got == {(i, 9): (n, n, True) for i in (1, 2, 3, 4)}
+
+
+SUM = "Compute 12 + 5 * 7 - 3 / 9 + 14 - 2 * 6 + 18 and give 3 digits"
+LIST = "Anna Tom Paul Julia Max Zoe Adam Eve Carl Dora"
+
+
+def test_items_without_usable_windows_are_found_exactly(spark, frame, way):
+    docs = [(1, f"x {SUM} y"), (2, f"x {LIST.lower()}"), (3, "It was a Short Phrase, he said"), (4, "a short one")]
+    docs += [(5, SUM.replace("12", "13").replace("7", "8").replace("14", "15"))]
+    items = [(1, SUM), (2, LIST), (3, "short phrase"), (4, "")]
+    got = found(spark, frame, docs, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(n == m and exact for n, m, exact in got.values())

@@ -51,12 +51,14 @@ SHIFT = 3  # tokens that come or go inside an occurrence, at once
 class LeakRule:
     """``window``: tokens, a power of two. ``literals``: tokens of a window that are no placeholders.
 
-    ``coverage``: share of an item's windows that a document must hold.
+    ``coverage``: share of an item's windows that a document must hold. ``quote``: words of an item in a
+    row that are enough, whatever their share.
     """
 
     window: int = 8
     literals: int = 4
     coverage: float = 0.5
+    quote: int = 13
 
 
 def _tokens(text: Column) -> Column:
@@ -128,7 +130,7 @@ def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) -> DataFrame:
-    """The pairs of document and benchmark item where the document holds the item.
+    """The pairs of document and benchmark item where the document holds the item or quotes it at length.
 
     One row per (doc_id, text, item): ``n_windows`` consistent windows out of ``item_windows``, their
     ``coverage``, and ``exact`` if every slot holds the item's own value. ``text_key`` tells apart rows
@@ -255,11 +257,20 @@ def _occurrences(rows: DataFrame) -> DataFrame:
     return rows.withColumn("occurrence", both).drop("_shift", "_jump", "_no")
 
 
+def _with_runs(rows: DataFrame) -> DataFrame:
+    """Add ``run``: how many literal windows follow one another in the document around this one."""
+    by_place = Window.partitionBy(*PER, "literal").orderBy("place")
+    rows = rows.withColumn("_island", F.col("place") - F.dense_rank().over(by_place))
+    island = Window.partitionBy(*PER, "literal", "_island")
+    length = F.max("place").over(island) - F.min("place").over(island) + 1
+    return rows.withColumn("run", F.when(F.col("literal"), length).otherwise(0)).drop("_island")
+
+
 def _consistent(rows: DataFrame, totals: DataFrame, rule: LeakRule) -> DataFrame:
     """Count the windows of each pair whose slots agree with the bindings of its best occurrence."""
     per = [*PER, "occurrence"]
     own = ~F.exists("slots", lambda s: s["item_value"] != s["doc_value"])
-    rows = _occurrences(rows.withColumn("own", own))
+    rows = _occurrences(_with_runs(rows.withColumn("own", own)))
     typed = rows.filter(~F.col("literal"))
     slots = typed.select(*per, "place", F.explode("slots").alias("s")).select(*per, "place", "s.*")
     votes = slots.groupBy(*per, "type", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
@@ -269,12 +280,15 @@ def _consistent(rows: DataFrame, totals: DataFrame, rule: LeakRule) -> DataFrame
     wrong = wrong.select(*per, "place").distinct()
     agreed = _matched(rows.filter(~F.col("own")), wrong, [*per, "place"], "left_anti")
     out = agreed.unionByName(rows.filter("own")).groupBy(*per).agg(
-        F.countDistinct(F.when(F.col("counted"), F.col("window"))).alias("n_windows"), F.min("own").alias("exact")
+        F.countDistinct(F.when(F.col("counted"), F.col("window"))).alias("n_windows"),
+        F.min("own").alias("exact"),
+        F.max("run").alias("run"),
     )
     best = F.max(F.struct("n_windows", "exact")).alias("best")
-    out = out.groupBy(*PER).agg(best).select(*PER, "best.*")
+    out = out.groupBy(*PER).agg(best, F.max("run").alias("run")).select(*PER, "best.*", "run")
     out = out.join(totals, "item_id")
-    return out.filter(F.col("n_windows") >= F.lit(rule.coverage) * F.col("item_windows"))
+    held = F.col("n_windows") >= F.lit(rule.coverage) * F.col("item_windows")
+    return out.filter(held | (F.col("run") >= max(1, rule.quote - rule.window + 1)))
 
 
 def _matched(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:

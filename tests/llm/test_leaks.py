@@ -114,3 +114,10 @@ def test_items_without_usable_windows_are_found_exactly(spark, frame, way):
     items = [(1, SUM), (2, LIST), (3, "short phrase"), (4, "")]
     got = found(spark, frame, docs, items)
     assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(n == m and exact for n, m, exact in got.values())
+
+
+def test_long_quotes_are_found_whatever_their_share(spark, frame, way):
+    words = [f"w{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(59)]
+    cuts = {1: words[20:33], 2: words[20:32], 3: words[10:22] + ["x"] + words[22:30]}
+    got = found(spark, frame, [(i, " ".join(["a", *w, "z"])) for i, w in cuts.items()], [(9, " ".join(words))])
+    assert got == {(1, 9): (6, 52, True)}

@@ -127,6 +127,15 @@ def test_rows_in_several_groups(spark):
     assert cut < 0.8 * base
 
 
+def test_texts_that_all_occur_twice_stay_together(frame):
+    out = shard_documents(frame([(i, f"text {i // 2}") for i in range(4000)])).collect()
+    assert set(Counter(r.shard for r in out).values()) == {250}
+    shards = defaultdict(set)
+    for r in out:
+        shards[r.doc_id // 2].add(r.shard)
+    assert sum(len(s) > 1 for s in shards.values()) <= 32
+
+
 # --- fingerprints ---------------------------------------------------------------------------------
 
 

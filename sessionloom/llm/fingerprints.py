@@ -10,7 +10,8 @@ unequal multisets. Then come ``LEVELS`` rows of ``CELLS`` lanes of 16 bits, of w
 cell per level it belongs to: level k holds one paragraph in 4**k, chosen by hash. The cells are sums
 too; they make fingerprints comparable. Two documents agree in a cell if they hold the same
 paragraphs there, so the share of agreeing cells, taken at the level where cells are sparse, tells how
-much of their paragraphs they share.
+much of their paragraphs they share. The last level, one paragraph in 4**13, is sparse for a billion
+different paragraphs, more than fit a row.
 
 The edited text of a document needs the one after it in order of ids. Documents are dealt to ranges
 of ids; of each range only the first document goes to the range before it as well, so texts are
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.common import partitions, text_key, whole_text
 
-WIDE, LEVELS, CELLS = 8, 6, 32
+WIDE, LEVELS, CELLS = 8, 14, 32
 LONG_LINE = 200
 _SENTENCE = re.compile(rb"(?<=[.!?]) +")
 _LANES = WIDE + LEVELS * CELLS

@@ -184,6 +184,15 @@ def test_likeness_follows_what_is_shared(n):
     assert 0.5 < fp.likeness(make(0, n), make(max(1, n // 10), n))[0] < 1
 
 
+def test_likeness_of_very_long_texts():
+    n, found = 200_000, []
+    for k in range(4):
+        lines = [f"line {i} of text {k}" for i in range(n)]
+        a, b = ("\n".join(part).encode() for part in (lines, lines[n // 2 :] + ["new"]))
+        found.append(fp.likeness(fp.fingerprints([a]), fp.fingerprints([b]))[0])
+    assert 0.35 < sum(found) / len(found) < 0.65
+
+
 # --- SimHash --------------------------------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ third of all rows. So long histories are cut:
 3. One small row per (customer, slice) is carried along the slices by a window over those rows and
    joined back to finish the rows. That reads the same shuffle a second time, not the input.
 
-No list is capped: however many customers are hot and however many slices they have, none is left
+No row is lost to a cap (``MOST_CUTS`` bounds one customer's slices by time): however many customers are hot and however many slices they have, none is left
 whole. The list and the carried rows are broadcast only if they are counted to be small.
 
 The list only decides which way a customer's rows take. Both ways give the same result, which is
@@ -45,7 +45,11 @@ CUTS_PER_STEP = 32
 
 @dataclass(frozen=True)
 class SplitRule:
-    """``hot_rows``: a longer history is split. ``slice_rows``: rows aimed at per slice."""
+    """``hot_rows``: a longer history is split. ``slice_rows``: rows aimed at per slice.
+
+    A customer has at most ``MOST_CUTS`` slices by time; beyond ``MOST_CUTS * slice_rows`` rows (ten billion by
+    default) its slices, and so the tasks, hold one row in ``MOST_CUTS`` of its history.
+    """
 
     hot_rows: int = 5_000_000
     slice_rows: int = 1_000_000

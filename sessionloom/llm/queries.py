@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sessionloom.llm.collocations import collocations
+from sessionloom.llm.collocations_sql import collocations_sql
 from sessionloom.llm.decontamination import leaks
 from sessionloom.llm.fingerprints import edit_report
 from sessionloom.llm.lm_scoring import score_documents
 from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
+from sessionloom.llm.periodic_runs import run_digests
 from sessionloom.llm.quality import fit, scored
 from sessionloom.llm.sharding import shard_documents
 from sessionloom.llm.simhash import near_duplicates
@@ -83,6 +86,14 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).drop("text_key")
 
 
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(documents(spark, sf_dir))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": _op1,
@@ -95,6 +106,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": _op8,
         "op9_suffix_array_dedup": _op9,
         "op10_simhash_near_dedup": _op10,
+        "op12_periodic_runs": _op12,
+        "op13_collocations": _op13,
     }
 
 
@@ -103,4 +116,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_substring_dedup": word_repeats_sql(),
         "op3_mix_sources": mix_sql(),
         "op9_suffix_array_dedup": byte_repeats_sql(),
+        "op13_collocations": collocations_sql(),
     }

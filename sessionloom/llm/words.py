@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -50,3 +52,14 @@ def word_codes(letters: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, list
     buffers = [None, pa.py_buffer(offsets.astype(dtype)), pa.py_buffer(np.ascontiguousarray(letters))]
     coded = pa.Array.from_buffers(kind, len(count), buffers).dictionary_encode()
     return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def byte_slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with a bounded number of bytes in a binary column, one row at least."""
+    _, ends = text_bytes(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        base = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + size, side="right")))
+        yield batch.slice(at, to - at)
+        at = to

@@ -15,6 +15,7 @@ from sessionloom.llm.mixing import mix_report
 from sessionloom.llm.mixing_sql import mix_sql
 from sessionloom.llm.periodic_runs import run_digests
 from sessionloom.llm.quality import fit, scored
+from sessionloom.llm.secrets import secret_digests
 from sessionloom.llm.sharding import shard_documents
 from sessionloom.llm.simhash import near_duplicates
 from sessionloom.llm.substring_dedup import repeat_digests
@@ -86,6 +87,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).drop("text_key")
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(documents(spark, sf_dir))
+
+
 def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(documents(spark, sf_dir))
 
@@ -106,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": _op8,
         "op9_suffix_array_dedup": _op9,
         "op10_simhash_near_dedup": _op10,
+        "op11_secret_scan": _op11,
         "op12_periodic_runs": _op12,
         "op13_collocations": _op13,
     }

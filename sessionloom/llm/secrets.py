@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import text_key, whole_text
+from sessionloom.llm.common import stored, text_key, whole_text
 from sessionloom.llm.words import byte_slices, split_words, text_bytes, word_codes
 
 BATCH_BYTES = 4_000_000
@@ -311,7 +311,15 @@ def lexicon(docs: DataFrame, size: int) -> dict[str, int]:
     """Ranks from 1: passwords in wide use, then the commonest words of all documents, ``size`` of them."""
     counts = docs.select(whole_text("text").cast("binary").alias("text"))
     counts = counts.mapInArrow(_letter_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(size).collect()
+    counts = stored(counts, "words")
+    # Words below the octave of counts that completes the list go before the sort, not after it.
+    octaves = counts.groupBy(F.floor(F.log2("n")).alias("octave")).count().orderBy(F.col("octave").desc())
+    held, least = 0, 0
+    for r in octaves.collect():
+        held, least = held + r["count"], 1 << r["octave"]
+        if held >= size:
+            break
+    top = counts.filter(F.col("n") >= least).orderBy(F.col("n").desc(), "word").limit(size).collect()
     words = dict.fromkeys([*COMMON, *(r.word for r in top)])
     return {w: i for i, w in enumerate(words, start=1)}
 

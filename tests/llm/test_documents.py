@@ -331,4 +331,4 @@ def test_stages_are_the_ones_agreed():
         "mixing sources",
         "token files",
     ]
-    assert len(queries.queries()) == 10 and SimHashRule() == SimHashRule(3, 3, 42)
+    assert len(queries.queries()) == 13 and SimHashRule() == SimHashRule(3, 3, 42)

@@ -23,6 +23,6 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 
 
 def test_all_are_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(any(q.startswith(n) for q in entry.queries()) for n in names)
     assert "pipeline" in entry.queries()

@@ -11,7 +11,9 @@ are the item's own. The vote is taken in each occurrence, the windows at about o
 places in the document and in the item, and once over the whole document; the best one counts.
 
 Windows that are mostly placeholders are sought in their literal form only. They count for items that
-have no others. Items with fewer tokens than a window are sought as a whole, by their lower-cased tokens.
+have no others. Windows that many wordings of items share, such as a common instruction, tell nothing about
+an item that has others and are left out. Items with fewer tokens than a window are sought as a whole, by
+their lower-cased tokens.
 
 Only DataFrame functions are used. If the benchmark's windows are counted to be at most
 ``BROADCAST_WINDOWS`` they are broadcast and the texts are read once, without a shuffle; otherwise both
@@ -52,13 +54,15 @@ class LeakRule:
     """``window``: tokens, a power of two. ``literals``: tokens of a window that are no placeholders.
 
     ``coverage``: share of an item's windows that a document must hold. ``quote``: words of an item in a
-    row that are enough, whatever their share.
+    row that are enough, whatever their share. ``shared``: wordings of items that may have a window in
+    common before it tells nothing about any of them.
     """
 
     window: int = 8
     literals: int = 4
     coverage: float = 0.5
     quote: int = 13
+    shared: int = 4
 
 
 def _tokens(text: Column) -> Column:
@@ -104,14 +108,16 @@ def _is_type(token: Column) -> Column:
 
 def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
     """The distinct windows of every item in both forms; those that are mostly placeholders as literals.
+    Windows that more than ``shared`` wordings have are left out of items that have others.
 
     ``counted``: the windows that an item's coverage is a share of.
     """
     rows = items.select(
-        "item_id", "shape", "surface", "own_hashes", F.posexplode("hashes").alias("place", "window")
+        "item_id", "_text", "shape", "surface", "own_hashes", F.posexplode("hashes").alias("place", "window")
     )
     rows = rows.select(
         "item_id",
+        F.xxhash64("_text").alias("wording"),
         "window",
         F.element_at("own_hashes", F.col("place") + 1).alias("own"),
         F.col("place").alias("item_place"),
@@ -124,16 +130,23 @@ def benchmark_windows(items: DataFrame, rule: LeakRule) -> DataFrame:
     typed = F.struct(F.lit(False).alias("literal"), F.col("window").alias("hash"))
     own = F.struct(F.lit(True).alias("literal"), F.col("own").alias("hash"))
     rows = rows.withColumn("form", F.explode(F.when(F.col("usable"), F.array(typed, own)).otherwise(F.array(own))))
-    values = F.struct("window", "counted", "item_shape", "item_surface", "item_place")
+    values = F.struct("window", "counted", "item_shape", "item_surface", "item_place", "wording")
     rows = rows.groupBy("item_id", "form").agg(F.min_by(values, "item_place").alias("first"))
-    return rows.select("item_id", "form.*", "first.*")
+    rows = rows.select("item_id", "form.*", "first.*")
+    wordings = rows.groupBy("literal", "hash").agg(F.countDistinct("wording").alias("wordings"))
+    few = F.col("wordings") <= rule.shared
+    rows = rows.join(wordings, ["literal", "hash"]).withColumn("telling", few)
+    any_telling = F.max(F.col("telling") & F.col("counted")).over(Window.partitionBy("item_id"))
+    rows = rows.withColumn("any_telling", any_telling).filter(F.col("telling") | ~F.col("any_telling"))
+    return rows.drop("wording", "wordings", "telling", "any_telling")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) -> DataFrame:
     """The pairs of document and benchmark item where the document holds the item or quotes it at length.
 
     One row per (doc_id, text, item): ``n_windows`` consistent windows out of ``item_windows``, their
-    ``coverage``, and ``exact`` if every slot holds the item's own value. ``text_key`` tells apart rows
+    ``coverage``, ``exact`` if every slot holds the item's own value, and ``item_tokens``, the length of the
+    item: a phrase of a few words may stand in a document by chance. ``text_key`` tells apart rows
     that repeat an id; wholly equal rows give one result. Null texts hold nothing, null ids are kept
     as they are, and items without an id are one item per text, with a null id in the result. Empty
     tables give no rows. Other columns are not read.
@@ -155,7 +168,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
         found = found.unionByName(_found_whole(rows, short, sizes))
         totals = totals.unionByName(short.select("item_id", F.lit(1).cast("long").alias("item_windows")))
     kept = _consistent(stored(found, "leak-matches"), totals, rule)
-    ids = bench.select("item_id", F.col("_id").alias("_benchmark_id"))
+    ids = bench.select(
+        "item_id", F.col("_id").alias("_benchmark_id"), F.size("surface").cast("long").alias("item_tokens")
+    )
     return kept.join(ids, "item_id").select(
         "doc_id",
         F.col("_benchmark_id").alias("item_id"),
@@ -163,6 +178,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
         "item_windows",
         (F.col("n_windows") / F.col("item_windows")).alias("coverage"),
         "exact",
+        "item_tokens",
         "text_key",
     )
 
@@ -301,10 +317,15 @@ def _matched(left: DataFrame, right: DataFrame, columns: list[str], how: str) ->
     return left.join(right, same, how)
 
 
-def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents that hold no item, with the columns they came with."""
+def without_leaks(docs: DataFrame, found: DataFrame, least_tokens: int = 5) -> DataFrame:
+    """The documents that hold no item, with the columns they came with.
+
+    Items of fewer than ``least_tokens`` tokens are common phrases or single words; a document that has one
+    stays. Null ids and texts and repeated rows are matched like any other; empty tables give no rows.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("doc"), "doc_id", text_key("text").alias("text_key"))
-    bad = found.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
+    bad = found.filter(F.col("item_tokens") >= least_tokens)
+    bad = bad.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))
     return rows.join(bad, same, "left_anti").select("doc.*")

@@ -257,36 +257,43 @@ def near_duplicates(docs: DataFrame, rule: SimHashRule = SimHashRule()) -> DataF
     the others but do not name them: a component without any id has a null ``component_id``. Rows that
     repeat an id are rows of their own. Other columns are not read; an empty table gives no rows.
     """
+    rows, named = _named(docs, rule)
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return rows.join(named, F.col("fp") == F.col("_fp")).select(
+        "doc_id", hexed.alias("fingerprint"), F.col("first.doc_id").alias("component_id"), "text_key"
+    )
+
+
+def _named(docs: DataFrame, rule: SimHashRule) -> tuple[DataFrame, DataFrame]:
+    """The fingerprinted rows, and of every fingerprint its component's root and first row: the smallest
+    id, and of its texts the smallest key. Null if no row of the component has an id."""
     rows = fingerprinted(docs, rule)
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key")))
+    nodes = stored(rows.groupBy("fp").agg(first.alias("first")), "simhash-nodes")
     roots = components(links(nodes, rule))
     joined = nodes.join(roots, F.col("fp") == F.col("node"), "left")
-    joined = joined.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    per_node = joined.join(named, "root").select(F.col("fp").alias("_fp"), "component_id")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(per_node, F.col("fp") == F.col("_fp")).select(
-        "doc_id", hexed.alias("fingerprint"), "component_id", "text_key"
-    )
+    joined = joined.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = joined.groupBy("root").agg(F.min("first").alias("first"))
+    per_node = joined.drop("first").join(named, "root")
+    return rows, per_node.select(F.col("fp").alias("_fp"), "root", "first")
 
 
 def one_of_each(docs: DataFrame, rule: SimHashRule = SimHashRule()) -> DataFrame:
-    """The documents that name their component, with the columns they came with.
+    """One document of each component, with the columns it came with.
 
-    Of rows that share id and text one stays. A component without any id is kept whole: there is nothing
-    to choose by.
+    It is the one with the smallest id, and if rows of the component share that id, the one whose text has the
+    smallest key; of wholly equal rows one stays. Rows of one id that are in different components stand for
+    each of them. Null texts are empty. A component without any id is kept whole: there is nothing to
+    choose by. An empty table gives no rows.
     """
-    found = near_duplicates(docs, rule)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # A repeated id keeps the row with the smallest text key.
-    named = keep.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
-    keep = named.agg(F.min("text_key").alias("text_key")).unionByName(
-        keep.filter(F.col("doc_id").isNull()).select("doc_id", "text_key").distinct()
-    )
+    rows, named = _named(docs, rule)
+    firsts = named.filter(F.col("first").isNotNull()).select("first.*").distinct()
+    alone = rows.join(named.filter(F.col("first").isNull()), F.col("fp") == F.col("_fp"), "left_semi")
+    keep = firsts.unionByName(alone.select("doc_id", "text_key").distinct())
     keep = keep.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("doc"), "doc_id", text_key("text").alias("text_key"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     kept = rows.join(keep, same, "left_semi")
-    named = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter(F.col("doc_id").isNull())).select("doc.*")
+    one = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text_key"])
+    return one.unionByName(kept.filter(F.col("doc_id").isNull())).select("doc.*")

@@ -237,6 +237,25 @@ def test_near_duplicates(frame, rows):
     assert Counter(r.doc_id for r in kept.collect()) == Counter({c for c in named if c is not None})
 
 
+def test_one_of_each_loses_no_text(frame):
+    """Rows of one id in several components, and components whose smallest id other texts have too."""
+    shared, lone = "one two three four five six", "alpha beta gamma delta epsilon zeta"
+    rows = [(7, lone), (7, shared), (9, shared), (11, shared), (7, "third text of the same id here"), (None, lone)]
+    kept = Counter((r.doc_id, r.text) for r in one_of_each(frame(rows)).collect())
+    assert kept == Counter({(7, lone): 1, (7, shared): 1, (7, "third text of the same id here"): 1})
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(12)]
+    rows = [(rng.randrange(5), rng.choice(texts)) for _ in range(120)]
+    found = near_duplicates(frame(rows)).collect()
+    members = defaultdict(set)
+    for (i, t), key in {(r, simhash.fingerprint(r[1].encode())) for r in rows}:
+        members[key].add((i, t))
+    kept = one_of_each(frame(rows)).collect()
+    assert len(kept) == len({simhash.fingerprint(t.encode()) for _, t in rows}) > 5
+    assert all((r.doc_id, r.text) in members[simhash.fingerprint(r.text.encode())] for r in kept)
+    assert {min(i for i, _ in m) for m in members.values()} == {r.component_id for r in found}
+
+
 def test_rows_without_ids_only(frame):
     rows = [(None, "a b c d"), (None, "a b c d"), (None, None)]
     assert {r.component_id for r in near_duplicates(frame(rows)).collect()} == {None}

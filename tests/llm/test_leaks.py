@@ -121,3 +121,28 @@ def test_long_quotes_are_found_whatever_their_share(spark, frame, way):
     cuts = {1: words[20:33], 2: words[20:32], 3: words[10:22] + ["x"] + words[22:30]}
     got = found(spark, frame, [(i, " ".join(["a", *w, "z"])) for i, w in cuts.items()], [(9, " ".join(words))])
     assert got == {(1, 9): (6, 52, True)}
+
+
+def test_shared_instructions_make_no_pairs(spark, frame, way):
+    """A line that all items begin with is no quote of any of them; what is their own still is found."""
+    line = "read the following question with care and give the one best answer out of those below"
+    own = [" ".join(f"q{'abcdefghijklmnopqrst'[i]}{'abcdefghijklmnop'[k]}" for k in range(16)) for i in range(20)]
+    items = [(i, f"{line} {own[i]}") for i in range(20)]
+    docs = [(100 + i, f"{line} and more of text number {'abcdefghij'[i % 10]}") for i in range(30)]
+    docs += [(1, items[3][1]), (2, f"x {own[4]} y")]
+    got = found(spark, frame, docs, items)
+    assert {k for k in got if k[0] < 100} == {(1, 3), (2, 4)} and len(got) == 2
+    # A question that comes under many ids is still found under each of them.
+    same = [(i, items[0][1]) for i in range(12)]
+    assert set(found(spark, frame, [(1, items[0][1])], same)) == {(1, i) for i in range(12)}
+    # An item that is the line and one word is found by its last window.
+    bare = [(i, f"{line} {'abcdefghij'[i]}") for i in range(10)]
+    assert set(found(spark, frame, [*docs[:3], (1, bare[0][1])], bare)) == {(1, 0)}
+
+
+def test_short_items_do_not_empty_the_corpus(spark, frame):
+    docs = frame([(i, f"the text number {i} names Paris, too") for i in range(50)] + [(99, "say what is the capital of France now")])
+    items = table(spark, [(1, "Paris", 0), (2, "the", 0), (3, "What is the capital of France", 0)])
+    got = leaks(docs, items)
+    assert got.filter("item_tokens < 5").count() == 101
+    assert without_leaks(docs, got).count() == 50

@@ -10,10 +10,8 @@ from sessionloom.columns import DATABASE, STAGED_SCHEMA, TABLE, TABLE_SCHEMA, Co
 from sessionloom.sources.staged import POLL_SECONDS, by_position, generation, is_staged
 from sessionloom.sources.warehouse import (
     as_table_rows,
-    drop_loads,
     ensure_tables,
-    loads,
-    replace_load,
+    publish,
     stage_id,
 )
 
@@ -60,13 +58,11 @@ def stream_load(
         if not batch.filter(F.col(TABLE_SCHEMA[0].name).isNull()).isEmpty():
             raise ValueError(f"files in {uri} have other column names than the ones first seen")
         kept = f"stream-{stage}-{generation(session, uri)}-"
-        replace_load(as_table_rows(batch), name, f"{kept}{epoch}")
-        gone = [
-            other
-            for other in loads(session, name)
-            if stage in other and (not other.startswith(kept) or (epoch == 0 and other != f"{kept}0"))
-        ]
-        drop_loads(session, name, gone)
+
+        def stays(other: str) -> bool:
+            return stage not in other or (other.startswith(kept) and epoch > 0)
+
+        publish(as_table_rows(batch), name, f"{kept}{epoch}", keep=stays)
 
     writer = read_staged_stream(spark, uri, max_files_per_trigger).writeStream
     writer = writer.option("checkpointLocation", checkpoint).foreachBatch(load)

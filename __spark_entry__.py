@@ -30,13 +30,19 @@ from pyspark.sql import types as T  # noqa: E402
 from sessionloom.columns import STAGED_SCHEMA, Columns  # noqa: E402
 from sessionloom.functions import order_flag, parse_timestamp  # noqa: E402
 from sessionloom.operators import sessions as S  # noqa: E402
+from sessionloom.operators import sketch  # noqa: E402
 from sessionloom.operators.history import SplitRule  # noqa: E402
+from sessionloom.operators.late import merge_late  # noqa: E402
+from sessionloom.operators.median import median_by  # noqa: E402
 from sessionloom.operators.orders import OrderHistory, with_order_flag  # noqa: E402
 from sessionloom.operators.preview import view  # noqa: E402
+from sessionloom.operators.spectrum import gap_spectrum, merged_spectra, sessions_by_gap  # noqa: E402
 from sessionloom.plans import jobs, metrics  # noqa: E402
+from sessionloom.plans.standing import StandingMetrics  # noqa: E402
 from sessionloom.session import work_folder  # noqa: E402
-from sessionloom.sources import raw, staged, warehouse  # noqa: E402
+from sessionloom.sources import clustered, raw, staged, warehouse  # noqa: E402
 from sessionloom.streaming import load as streaming  # noqa: E402
+from sessionloom.streaming import numbering  # noqa: E402
 
 GAP = 480
 METRICS_GAP = 720
@@ -313,6 +319,120 @@ def _view(side: str):
     return run
 
 
+def _thirds(events: DataFrame) -> list[DataFrame]:
+    """The events in three parts by time; those without a time are in the first."""
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    low, high = events.select(F.percentile_approx(at, [0.33, 0.66]).alias("q")).first().q
+    return [
+        events.filter(at.isNull() | (at < low)),
+        events.filter((at >= low) & (at < high)),
+        events.filter(at >= high),
+    ]
+
+
+def _stream_session_numbers(kind: str):
+    """The events arrive in three parts; the stream is started anew for each."""
+
+    def run(spark, sf_dir):
+        source, out = work_folder(spark, "arriving"), work_folder(spark, "stream")
+        store = spark.conf.get(numbering.STATE_STORE)
+        numbering.use_rocks_db(spark)
+        try:
+            for part in _thirds(_events(spark, sf_dir, kind)):
+                part.write.mode("append").parquet(source)
+                events = spark.readStream.schema(part.schema).parquet(source)
+                rows = numbering.stream_session_numbers(events, GAP, COLS, keep=["event_id"])
+                query = (
+                    rows.writeStream.format("parquet")
+                    .option("checkpointLocation", out + "-checkpoint")
+                    .trigger(availableNow=True)
+                    .start(out)
+                )
+                query.awaitTermination()
+        finally:
+            spark.conf.set(numbering.STATE_STORE, store)
+        return spark.read.parquet(out).filter(~F.col("late")).drop("late")
+
+    return run
+
+
+def _metrics_after_loads(kind: str):
+    """Three loads in order of time; each is added to what the ones before have left."""
+
+    def run(spark, sf_dir):
+        rule = {"gap_minutes": METRICS_GAP, "order_type": ORDER[kind], "cols": COLS}
+        standing = StandingMetrics(spark, work_folder(spark, "standing"), **rule)
+        for i, part in enumerate(_thirds(_events(spark, sf_dir, kind))):
+            standing.add(part, f"load {i}")
+        return standing.metrics()
+
+    return run
+
+
+def _metrics_after_late_load(spark, sf_dir):
+    """A last load with events from all times, so that the customers it touches are worked out anew."""
+    events = _events(spark, sf_dir)
+    late = (F.col("customer_id") % 3 == 0) & (F.col("event_id") % 5 == 0)
+    rule = {"gap_minutes": METRICS_GAP, "order_type": ORDER["plain"], "cols": COLS}
+    standing = StandingMetrics(spark, work_folder(spark, "standing"), **rule)
+    standing.add(events.filter(~late), "in order")
+    standing.add(events.filter(late), "late", history=events.filter(~late))
+    return standing.metrics()
+
+
+def _late_events(kind: str):
+    """A tenth of the events comes late."""
+
+    def run(spark, sf_dir):
+        late, events = F.col("event_id") % 10 == 3, _events(spark, sf_dir, kind)
+        first = S.sessionize(events.filter(~late), GAP, COLS, keep=["event_id"])
+        return merge_late(first, events.filter(late), GAP, COLS, keep=["event_id"]).events()
+
+    return run
+
+
+SPECTRUM_GAPS = tuple(range(0, 6000, 30))
+
+
+def _session_counts_by_gap(spark, sf_dir):
+    """Two hundred lengths from one spectrum, put together from those of two halves of the customers."""
+    events = _events(spark, sf_dir)
+    halves = [gap_spectrum(events.filter(F.col("customer_id") % 2 == i), COLS) for i in range(2)]
+    return sessions_by_gap(merged_spectra(halves[0].unionByName(halves[1]), COLS), SPECTRUM_GAPS)
+
+
+def _customer_sessions_by_gap(spark, sf_dir):
+    spectrum = gap_spectrum(_events(spark, sf_dir, "nulls"), COLS, rule=SPLIT)
+    return sessions_by_gap(spectrum, (*GAPS, 2880), ["customer_id"])
+
+
+def _median_by_customer(spark, sf_dir):
+    """The median pause of every customer, in microseconds."""
+    spectrum = gap_spectrum(_events(spark, sf_dir, "ties"), COLS)
+    return median_by(spectrum, "pause_micros", ["customer_id"], "median_pause", times="pauses")
+
+
+def _sketch_medians(spark, sf_dir):
+    """Sketches of three loads, merged: whether their medians are within the bound on the rank error."""
+    figures = _history(spark, sf_dir, gap=METRICS_GAP, keep=()).figures().withColumn(
+        "load", F.pmod(F.xxhash64("figure", "value"), F.lit(3))
+    )
+    sketches = sketch.sketch_values(figures, "value", ["figure", "load"])
+    told = sketch.sketch_median(sketch.merge_sketches(sketches, ["figure"]), ["figure"], "median", lambda v: v)
+    ranks = sketch.rank_range(figures, "value", told, ["figure"], "median")
+    near = (F.col("rank_from") <= 0.5 + sketch.rank_error()) & (F.col("rank_to") >= 0.5 - sketch.rank_error())
+    return ranks.select("figure", "values", near.alias("within_bound"))
+
+
+def _view_clustered(side: str):
+    def run(spark, sf_dir):
+        path = work_folder(spark, "clustered")
+        clustered.write_clustered(_sessions(spark, sf_dir), path, ["customer_id", "timestamp", "event_id"])
+        return clustered.view_clustered(spark, path, side)
+
+    return run
+
+
 def _number(history: OrderHistory) -> DataFrame:
     return history.events().select("event_id", "customer_id", "timestamp", "order_number")
 
@@ -376,6 +496,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "view_top": _view("top"),
         "view_bottom": _view("bottom"),
         "order_metrics_json": _order_metrics("plain", metric=metrics.metrics_json_of),
+        "stream_session_numbers": _stream_session_numbers("plain"),
+        "stream_session_numbers_nulls": _stream_session_numbers("nulls"),
+        "metrics_after_loads": _metrics_after_loads("plain"),
+        "metrics_after_loads_ties": _metrics_after_loads("ties"),
+        "metrics_after_loads_nulls": _metrics_after_loads("nulls"),
+        "metrics_after_late_load": _metrics_after_late_load,
+        "late_events": _late_events("plain"),
+        "late_events_nulls": _late_events("nulls"),
+        "session_counts_by_gap": _session_counts_by_gap,
+        "customer_sessions_by_gap": _customer_sessions_by_gap,
+        "median_by_customer": _median_by_customer,
+        "sketch_medians": _sketch_medians,
+        "clustered_top": _view_clustered("top"),
+        "clustered_bottom": _view_clustered("bottom"),
     }
     steps = {
         "order_number": _number,
@@ -592,6 +726,39 @@ def oracle_sql() -> dict[str, str]:
             AS orders FROM events""",
         "view_top": _view_sql("ASC"),
         "view_bottom": _view_sql("DESC"),
+        "stream_session_numbers": _sql(_STEP_SQL["sessionize"]),
+        "stream_session_numbers_nulls": _sql(_STEP_SQL["sessionize"], "nulls"),
+        "metrics_after_loads": _sql(_FIGURE_SQL["order_metrics"], gap=METRICS_GAP),
+        "metrics_after_loads_ties": _sql(_FIGURE_SQL["order_metrics"], "ties", METRICS_GAP),
+        "metrics_after_loads_nulls": _sql(_FIGURE_SQL["order_metrics"], "nulls", METRICS_GAP),
+        "metrics_after_late_load": _sql(_FIGURE_SQL["order_metrics"], gap=METRICS_GAP),
+        "late_events": _sql(_STEP_SQL["sessionize"]),
+        "late_events_nulls": _sql(_STEP_SQL["sessionize"], "nulls"),
+        "session_counts_by_gap": _sql(
+            f"""SELECT CAST(g AS DOUBLE) AS gap_minutes, (SELECT count(DISTINCT customer_id) FROM known)
+            + (SELECT count(*) FROM pauses p WHERE p.minutes > g) AS sessions
+            FROM range({SPECTRUM_GAPS[0]}, {SPECTRUM_GAPS[-1] + 1}, 30) AS t(g)"""
+        ),
+        "customer_sessions_by_gap": _sql(
+            f"""SELECT c.customer_id, CAST(g AS DOUBLE) AS gap_minutes, 1 + count(p.at) AS sessions
+            FROM (SELECT DISTINCT customer_id FROM known) c
+            CROSS JOIN (SELECT unnest([{", ".join(map(str, (*GAPS, 2880)))}]) AS g)
+            LEFT JOIN pauses p ON p.customer_id = c.customer_id AND p.minutes > g
+            GROUP BY c.customer_id, g""",
+            "nulls",
+        ),
+        "median_by_customer": _sql(
+            """SELECT customer_id, median(date_diff('microsecond', p.earlier, p.at)) AS median_pause
+            FROM pauses p WHERE p.earlier IS NOT NULL GROUP BY customer_id""",
+            "ties",
+        ),
+        "sketch_medians": _sql(
+            """SELECT 'session_diff' AS figure, count(*) AS "values", true AS within_bound FROM steps
+            UNION ALL SELECT 'duration_micros', count(*), true FROM spells WHERE began IS NOT NULL""",
+            gap=METRICS_GAP,
+        ),
+        "clustered_top": _view_sql("ASC"),
+        "clustered_bottom": _view_sql("DESC"),
         "order_metrics_json": _sql(
             f"""SELECT '{{"{metrics.VISITS}":' || CAST({_VISITS_SQL} AS VARCHAR)
             || ',"{metrics.DURATION}":' || CAST({_DURATION_SQL} AS VARCHAR) || '}}' AS metrics""",

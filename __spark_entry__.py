@@ -40,7 +40,7 @@ from sessionloom.operators.spectrum import gap_spectrum, merged_spectra, session
 from sessionloom.plans import jobs, metrics  # noqa: E402
 from sessionloom.plans.standing import StandingMetrics  # noqa: E402
 from sessionloom.session import work_folder  # noqa: E402
-from sessionloom.sources import clustered, raw, staged, warehouse  # noqa: E402
+from sessionloom.sources import clustered, drifting, raw, staged, warehouse  # noqa: E402
 from sessionloom.streaming import load as streaming  # noqa: E402
 from sessionloom.streaming import numbering  # noqa: E402
 
@@ -433,6 +433,37 @@ def _view_clustered(side: str):
     return run
 
 
+def _drifting_lines(spark, sf_dir) -> DataFrame:
+    """The events as records of several producers: some say the customer as text, some the time as a number,
+    some have their fields at the top, some a field more, and some lines are cut off."""
+    no = F.col("event_id")
+    customer = F.when(no % 7 == 0, F.concat(F.lit('"'), "customer_id", F.lit('"'))).otherwise(
+        F.col("customer_id").cast("string")
+    )
+    time = F.when(no % 13 == 0, F.unix_micros(F.col("timestamp").cast("timestamp")).cast("string")).otherwise(
+        F.concat(F.lit('"'), _iso("timestamp"), F.lit('"'))
+    )
+    fields = F.concat(
+        F.lit('"customer-id":'), customer, F.lit(',"timestamp":'), time, F.lit(',"type":"'), "type", F.lit('"')
+    )
+    head = F.concat(F.lit('{"event-id":'), no, F.when(no % 17 == 0, ',"note":true').otherwise(""), F.lit(","))
+    line = (
+        F.when(no % 11 == 0, head)
+        .when(no % 5 == 0, F.concat(head, fields, F.lit("}")))
+        .otherwise(F.concat(head, F.lit('"event":{'), fields, F.lit("}}")))
+    )
+    path = work_folder(spark, "lines")
+    _events(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return drifting.read_lines(spark, path)
+
+
+def _sifted(part: str):
+    def run(spark, sf_dir):
+        return getattr(drifting.sift(_drifting_lines(spark, sf_dir), cols=COLS, keep={"event-id": "long"}), part)
+
+    return run
+
+
 def _number(history: OrderHistory) -> DataFrame:
     return history.events().select("event_id", "customer_id", "timestamp", "order_number")
 
@@ -508,6 +539,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_sessions_by_gap": _customer_sessions_by_gap,
         "median_by_customer": _median_by_customer,
         "sketch_medians": _sketch_medians,
+        "field_profile": lambda s, d: drifting.field_profile(_drifting_lines(s, d)),
+        "drifting_ingest": _sifted("events"),
+        "drifting_aside": lambda s, d: _sifted("aside")(s, d).groupBy("reason").agg(
+            F.count(F.lit(1)).alias("lines")
+        ),
         "clustered_top": _view_clustered("top"),
         "clustered_bottom": _view_clustered("bottom"),
     }
@@ -757,6 +793,30 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'duration_micros', count(*), true FROM spells WHERE began IS NOT NULL""",
             gap=METRICS_GAP,
         ),
+        "field_profile": _sql(
+            """SELECT place, field, kind, count(*) AS records FROM (
+            SELECT CASE WHEN f IN ('event-id', 'note', 'event') OR event_id % 5 = 0 THEN 'top' ELSE 'inside' END
+                AS place, f AS field, CASE WHEN f = 'event-id' THEN 'number' WHEN f = 'note' THEN 'flag'
+                WHEN f = 'event' THEN 'struct'
+                WHEN f = 'customer-id' AND event_id % 7 <> 0 THEN 'number'
+                WHEN f = 'timestamp' AND event_id % 13 = 0 THEN 'number' ELSE 'text' END AS kind
+            FROM ev CROSS JOIN (
+                SELECT unnest(['event-id', 'note', 'event', 'customer-id', 'timestamp', 'type']) AS f)
+            WHERE event_id % 11 <> 0 AND (f <> 'note' OR event_id % 17 = 0)
+                AND (f <> 'event' OR event_id % 5 <> 0)
+            UNION ALL SELECT NULL, NULL, 'no record' FROM ev WHERE event_id % 11 = 0)
+            GROUP BY place, field, kind"""
+        ),
+        "drifting_ingest": _sql(
+            """SELECT event_id, customer_id, "timestamp", "type" FROM ev
+            WHERE event_id % 11 <> 0 AND event_id % 7 <> 0 AND event_id % 13 <> 0"""
+        ),
+        "drifting_aside": _sql(
+            """SELECT CASE WHEN event_id % 11 = 0 THEN 'no JSON object' WHEN event_id % 7 = 0
+                THEN 'the customer is no whole number' ELSE 'the timestamp is no time' END AS reason,
+                count(*) AS lines
+            FROM ev WHERE event_id % 11 = 0 OR event_id % 7 = 0 OR event_id % 13 = 0 GROUP BY reason"""
+        ),
         "clustered_top": _view_sql("ASC"),
         "clustered_bottom": _view_sql("DESC"),
         "order_metrics_json": _sql(

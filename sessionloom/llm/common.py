@@ -92,7 +92,7 @@ def permuted(df: DataFrame, x: str, n: str, key: str) -> DataFrame:
 
     Plain integer arithmetic in three rounds; each multiplies by a prime modulo n and then treats the
     front and the back part of the range as two smaller ranges. Every step is one-to-one because the
-    prime does not divide the length (the next one is taken where it does). Exact for n below 2**34.
+    prime does not divide the length (the next one is taken where it does). Exact for n up to 2**46.
     """
     x_, n_, key_ = F.col(x), F.col(n), F.col(key)
     for r in range(3):
@@ -106,7 +106,8 @@ def permuted(df: DataFrame, x: str, n: str, key: str) -> DataFrame:
     return df
 
 
-# Primes just below 2**29, so that a product with a number below 2**34 fits a long.
+# Primes just below 2**29. Multiplied in two parts of 14 and 15 bits, so that the products with
+# numbers below 2**46 fit a long.
 PRIMES = (536870909, 536870879, 536870869, 536870849, 536870839, 536870837, 536870819, 536870813)
 
 
@@ -118,7 +119,8 @@ def _affine(x: Column, n: Column, key: Column) -> Column:
         first, second = PRIMES[i], PRIMES[i + 4]
         usable = F.when(n % first != 0, F.lit(first)).otherwise(F.lit(second)).cast("long")
         a = F.when(pick == i, usable).otherwise(a)
-    return F.pmod(x * a + F.pmod(key * 31 + 17, n), n)
+    high = F.pmod(x * F.shiftright(a, 15), n) * F.lit(1 << 15).cast("long")
+    return F.pmod(F.pmod(high + x * a.bitwiseAND(F.lit((1 << 15) - 1)), n) + F.pmod(key * 31 + 17, n), n)
 
 
 def permuted_sql(x: str, n: str, key: str) -> list[str]:

@@ -9,24 +9,22 @@ a second permutation serves the second pass. Slots and documents meet in a join
 
 The last slot of a source is cut short, so a source's words come out at its target, rounded.
 
-Only DataFrame functions are used. One source may hold most rows: streams are laid out by prefix sums
-over hash ranges of the ids, not by a window over the source.
+Only DataFrame functions are used. One source may hold most rows, and rows may lack ids: streams are laid
+out by prefix sums over ranges of their order, not by a window over the source.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sessionloom.llm.common import permuted, stored, text_key, whole_text, word_array, word_count
+from sessionloom.llm.common import partitions, permuted, stored, text_key, whole_text, word_array, word_count
 
 # The weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
-ROWS_PER_RANGE = 20_000
 CHUNK = 65_536
 
 
@@ -176,9 +174,10 @@ def laid_out(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """The documents with the place of their first word in their source's stream."""
     per = targets.select(F.col("source").alias("_s"), "rank", "source_size", "target", "blocks")
     rows = sizes.join(per, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    n = sizes.count()
-    bits = min(32, max(0, math.ceil(math.log2(max(1, n / ROWS_PER_RANGE)))))
-    rows = rows.withColumn("range", F.floor(F.col("h") / F.lit(1 << (32 - bits))))
+    # Ranges of the streams' order; sizes and texts tell rows apart that have no id or share one.
+    order = ["h", "doc_id", "size", "text_key"]
+    dealt = rows.repartitionByRange(partitions(sizes.sparkSession), "rank", *order)
+    rows = stored(dealt.withColumn("range", F.spark_partition_id()), "mix-ranges")
     so_far = Window.unboundedPreceding
     per_range = rows.groupBy("rank", "range").agg(F.sum("size").alias("_n"))
     ranges = Window.partitionBy("rank").orderBy("range").rowsBetween(so_far, -1)
@@ -187,7 +186,7 @@ def laid_out(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.col("range").alias("_range"),
         F.coalesce(F.sum("_n").over(ranges), F.lit(0)).alias("_base"),
     )
-    inside = Window.partitionBy("rank", "range").orderBy("h", "doc_id", "size", "text_key")
+    inside = Window.partitionBy("rank", "range").orderBy(*order)
     rows = rows.withColumn("_end", F.sum("size").over(inside.rowsBetween(so_far, 0)))
     same = (F.col("rank") == F.col("_rank")) & (F.col("range") == F.col("_range"))
     rows = rows.join(base, same)
@@ -241,7 +240,8 @@ def mix_documents(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
 
     A document that a pass takes whole keeps its text as it is; of one taken in part, the words are
     joined by single spaces. ``n_chars`` follows the text; other columns are carried along. Documents
-    of which nothing is taken are not returned.
+    of which nothing is taken are not returned. Null texts have no words; rows without an id or a source, and
+    rows that repeat an id, are mixed like any other. An empty table gives no rows.
     """
     sizes = sized(docs, rule)
     targets = source_targets(sizes, rule)

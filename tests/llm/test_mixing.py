@@ -3,9 +3,11 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from sessionloom.llm import common
 from sessionloom.llm.common import permuted, with_rank
 from sessionloom.llm.mixing import (
     MixRule,
+    laid_out,
     mix_documents,
     mix_report,
     shard_draws,
@@ -104,6 +106,45 @@ def test_permutation(spark, n):
     assert sorted(out) == list(range(n)) and (n < 100 or out != list(range(n)))
 
 
+def permuted_by_hand(x, n, key):
+    """The same rounds with whole numbers of any size."""
+    primes = common.PRIMES
+
+    def affine(x, n, key):
+        pick = key % 4
+        a = primes[pick] if n % primes[pick] else primes[pick + 4]
+        return (x * a + (key * 31 + 17) % n) % n
+
+    for r in range(3):
+        x = affine(x, n, key * 7919 + r * 104729 + 13)
+        cut = max(n * (5 + 2 * r) // 13, 1)
+        if x < cut:
+            x = n - cut + affine(x, cut, key * 6131 + r * 15485863 + 7)
+        else:
+            x = affine(x - cut, max(n - cut, 1), key * 3571 + r * 32452843 + 3)
+    return x
+
+
+@pytest.mark.parametrize("n", [1000, 2**34 + 3, 2**36, 2**46])
+def test_permutation_of_long_decks(spark, n):
+    some = [i * (n // 500) + i for i in range(500)] + [n - 1]
+    df = spark.createDataFrame([(x, x, n, 12) for x in some], "id long, x long, n long, k long")
+    out = {r.id: r.x for r in permuted(df, "x", "n", "k").collect()}
+    assert out == {x: permuted_by_hand(x, n, 12) for x in some} and len(set(out.values())) == len(out)
+
+
+def test_rows_without_ids_spread_over_ranges(spark, frame):
+    """A table of rows without ids, or with ids that share a hash, is laid out by many tasks."""
+    rows = [(None if i % 2 else (i % 8) << 31, f"w{i} " * (i % 9 + 1), "one") for i in range(400)]
+    sizes = sized(frame(rows))
+    out = laid_out(sizes, source_targets(sizes))
+    ranges = out.groupBy(F.spark_partition_id()).count().count()
+    spans = sorted((r.offset, r.offset + r["size"]) for r in out.collect())
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and ranges > 1
+    files = spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0])
+    assert files.groupBy("range").count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_ranks(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).alias("v"))
     df = df.withColumn("g", F.when(F.col("g") > 0, F.col("g")))  # a third of the rows has no group

@@ -3,12 +3,16 @@
 It predicts the next of ``CLASSES`` x ``MEMBERS`` outcomes: first its class, then the member of the class.
 Sequences run side by side, the longest first; windows of time steps follow one another and hand on the
 state, so a sequence of any length is scored whole with bounded memory.
+
+Products are taken in blocks small enough for one thread: tasks run side by side already, and threads that
+wait for one another inside a small product burn as much time as they save.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -16,6 +20,7 @@ CLASSES = MEMBERS = 64
 OUTCOMES = CLASSES * MEMBERS
 HIDDEN = 24
 WINDOW = 64
+PIECE = 1024
 
 Model = dict[str, np.ndarray]
 
@@ -40,43 +45,107 @@ def new_model(frequency: np.ndarray, rng: np.random.Generator) -> Model:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
+# Multiplications in a product up to which the libraries behind numpy stay with one thread.
+ONE_THREAD = 1 << 18
+# Logits up to which exponentials of single precision neither overflow nor vanish.
+PLAIN = 60.0
+
+
+def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b, by blocks of rows."""
+    rows = max(1, ONE_THREAD // (b.shape[0] * b.shape[1]))
+    if len(a) <= rows:
+        return a @ b
+    out = np.empty((len(a), b.shape[1]), dtype=np.result_type(a, b))
+    for at in range(0, len(a), rows):
+        np.matmul(a[at : at + rows], b, out=out[at : at + rows])
+    return out
+
+
+def _dot_down(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b, by blocks of rows of both."""
+    rows = max(1, ONE_THREAD // (a.shape[1] * b.shape[1]))
+    out = a[:rows].T @ b[:rows]
+    for at in range(rows, len(a), rows):
+        out += a[at : at + rows].T @ b[at : at + rows]
+    return out
 
 
 def _step(model: Model, x: np.ndarray, h: np.ndarray):
     given = model["gates"][x]
-    own = h @ model["recurrent"]
-    zr = _sigmoid(given[:, : 2 * HIDDEN] + own[:, : 2 * HIDDEN])
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(given[:, 2 * HIDDEN :] + r * own[:, 2 * HIDDEN :])
-    return n + z * (h - n), z, r, n, own[:, 2 * HIDDEN :]
+    own = _dot(h, model["recurrent"])
+    both = 2 * HIDDEN
+    zr = given[:, :both] + own[:, :both]
+    zr *= 0.5  # the logistic function by way of tanh
+    np.tanh(zr, out=zr)
+    zr += 1
+    zr *= 0.5
+    # Parts of rows are copied into arrays of their own, on which all later steps run faster.
+    z, r = zr[:, :HIDDEN].copy(), zr[:, HIDDEN:].copy()
+    own_n = own[:, both:].copy()
+    n = r * own_n
+    n += given[:, both:]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return after, z, r, n, own_n
+
+
+def _plain(model: Model) -> tuple[bool, np.ndarray]:
+    """Whether the logits of the classes, and of each class's members, are small for any state.
+
+    The values of a state lie between -1 and 1, so sums of weights bound its logits.
+    """
+    by_class = (np.abs(model["class"]).sum(axis=0) + np.abs(model["class_bias"])).max() < PLAIN
+    members = (np.abs(model["member"]).sum(axis=1) + np.abs(model["member_bias"])).max(axis=1) < PLAIN
+    return bool(by_class), members
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
+def _log_sum(x: np.ndarray, plain: bool) -> np.ndarray:
+    """Logarithms of the rows' sums of exponentials; x is used up."""
+    if plain:
+        return np.log(np.exp(x, out=x).sum(axis=1))
     top = x.max(axis=1)
-    return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
+    x -= top[:, None]
+    return top + np.log(np.exp(x, out=x).sum(axis=1))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    out = np.exp(x - x.max(axis=1)[:, None])
-    out /= out.sum(axis=1)[:, None]
-    return out
+def _softmax(x: np.ndarray, plain: bool) -> np.ndarray:
+    """The rows' probabilities, in the place of x."""
+    if not plain:
+        x -= x.max(axis=1)[:, None]
+    np.exp(x, out=x)
+    x /= x.sum(axis=1)[:, None]
+    return x
 
 
 def log_probabilities(model: Model, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Natural logarithms of the probabilities of outcomes ``y`` after states ``h``."""
+    plain, plain_members = _plain(model)
     cls, member = y // MEMBERS, y % MEMBERS
-    logits = h @ model["class"] + model["class_bias"]
-    out = logits[np.arange(len(y)), cls] - _log_sum(logits)
-    order = np.argsort(cls, kind="stable")
-    found, first = np.unique(cls[order], return_index=True)
-    for c, rows in zip(found, np.split(order, first[1:])):
-        logits = h[rows] @ model["member"][c] + model["member_bias"][c]
-        out[rows] += logits[np.arange(len(rows)), member[rows]] - _log_sum(logits)
+    logits = _dot(h, model["class"])
+    logits += model["class_bias"]
+    out = logits[np.arange(len(y)), cls]
+    out -= _log_sum(logits, plain)
+    for c, rows in _by_class(cls):
+        logits = _dot(h[rows], model["member"][c])
+        logits += model["member_bias"][c]
+        own = logits[np.arange(len(rows)), member[rows]]
+        own -= _log_sum(logits, plain_members[c])
+        out[rows] += own
     return out
 
 
+def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The classes that occur, and the rows of each."""
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(cls, minlength=CLASSES)).tolist()
+    for c, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+        if a < b:
+            yield c, order[a:b]
+
+
 def score(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """The natural log-likelihood of each whole sequence of outcomes."""
     lengths = np.array([len(s) for s in sequences])
@@ -128,7 +197,7 @@ def _window_gradients(
     steps, streams = x.shape
     h, tape = h0, []
     for t in range(steps):
-        before = np.where(fresh[t][:, None], np.float32(0), h)
+        before = np.where(fresh[t][:, None], np.float32(0), h) if fresh[t].any() else h
         h, z, r, n, own = _step(model, x[t], before)
         tape.append((before, z, r, n, own, h))
     grads = {k: np.zeros_like(v) for k, v in model.items()}
@@ -137,36 +206,52 @@ def _window_gradients(
     scale = np.float32(1 / len(truth))
     if real is not None:
         scale = (real / real.sum()).astype(np.float32).reshape(-1, 1)
+    plain, plain_members = _plain(model)
     cls, member = truth // MEMBERS, truth % MEMBERS
     row = np.arange(len(truth))
-    p = _softmax(states @ model["class"] + model["class_bias"])
+    p = _dot(states, model["class"])
+    p += model["class_bias"]
+    p = _softmax(p, plain)
     p[row, cls] -= 1
     p *= scale
-    d_states = p @ model["class"].T
-    grads["class"], grads["class_bias"] = states.T @ p, p.sum(axis=0)
-    order = np.argsort(cls, kind="stable")
-    found, first = np.unique(cls[order], return_index=True)
-    for c, rows in zip(found, np.split(order, first[1:])):
+    d_states = _dot(p, model["class"].T)
+    grads["class"], grads["class_bias"] = _dot_down(states, p), p.sum(axis=0)
+    for c, rows in _by_class(cls):
         own = states[rows]
-        q = _softmax(own @ model["member"][c] + model["member_bias"][c])
-        q[np.arange(len(rows)), member[rows]] -= 1
+        q = _dot(own, model["member"][c])
+        q += model["member_bias"][c]
+        q = _softmax(q, plain_members[c])
+        q[row[: len(rows)], member[rows]] -= 1
         q *= scale if real is None else scale[rows]
-        d_states[rows] += q @ model["member"][c].T
-        grads["member"][c], grads["member_bias"][c] = own.T @ q, q.sum(axis=0)
+        d_states[rows] += _dot(q, model["member"][c].T)
+        grads["member"][c], grads["member_bias"][c] = _dot_down(own, q), q.sum(axis=0)
     d_states = d_states.reshape(steps, streams, HIDDEN)
     d_gates = np.empty((steps, streams, 3 * HIDDEN), dtype=np.float32)
     d_h = np.zeros_like(h0)
+    d_own = np.empty((streams, 3 * HIDDEN), dtype=np.float32)
     for t in reversed(range(steps)):
         before, z, r, n, own, _ = tape[t]
-        d_h = d_h + d_states[t]
-        d_n = d_h * (1 - z) * (1 - n * n)
-        d_z = d_h * (before - n) * z * (1 - z)
-        d_r = d_n * own * r * (1 - r)
-        d_gates[t] = np.concatenate([d_z, d_r, d_n], axis=1)
-        d_own = np.concatenate([d_z, d_r, d_n * r], axis=1)
-        grads["recurrent"] += before.T @ d_own
-        d_h = d_h * z + d_own @ model["recurrent"].T
-        d_h = np.where(fresh[t][:, None], np.float32(0), d_h)
+        d_h += d_states[t]
+        rest = 1 - z
+        d_n = n * n
+        np.subtract(1, d_n, out=d_n)
+        d_n *= rest
+        d_n *= d_h
+        d_z = before - n
+        d_z *= d_h
+        rest *= z
+        d_z *= rest
+        d_r = 1 - r
+        d_r *= r
+        d_r *= own
+        d_r *= d_n
+        np.concatenate([d_z, d_r, d_n], axis=1, out=d_gates[t])
+        d_n *= r
+        np.concatenate([d_z, d_r, d_n], axis=1, out=d_own)
+        grads["recurrent"] += _dot_down(before, d_own)
+        d_h *= z
+        d_h += _dot(d_own, model["recurrent"].T)
+        d_h[fresh[t]] = 0
     order = np.argsort(x.reshape(-1), kind="stable")
     found, first = np.unique(x.reshape(-1)[order], return_index=True)
     grads["gates"][found] = np.add.reduceat(d_gates.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
@@ -175,7 +260,7 @@ def _window_gradients(
 
 
 class _Adam:
-    """Adam over the arrays of a model, with gradients clipped to a norm of 1."""
+    """Adam over the arrays of a model, with gradients clipped to a norm of 1; they are used up."""
 
     def __init__(self, model: Model):
         self.steps = 0
@@ -184,14 +269,25 @@ class _Adam:
 
     def step(self, model: Model, grads: Model, rate: float) -> None:
         self.steps += 1
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        size = math.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         clip = min(1.0, 1.0 / (size + 1e-9))
+        # Step sizes with the means' start from zero made good.
+        by_mean, by_square = 1 - 0.9**self.steps, 1 - 0.995**self.steps
         for k, g in grads.items():
             mean, square = self.mean[k], self.square[k]
-            mean += 0.1 * (clip * g - mean)
-            square += 0.005 * (clip * clip * g * g - square)
-            m, s = mean / (1 - 0.9**self.steps), square / (1 - 0.995**self.steps)
-            model[k] -= (rate * m / (np.sqrt(s) + 1e-6)).astype(np.float32)
+            g *= np.float32(clip)
+            mean *= np.float32(0.9)
+            mean += np.float32(0.1) * g
+            g *= g
+            g *= np.float32(0.005)
+            square *= np.float32(0.995)
+            square += g
+            np.multiply(square, np.float32(1 / by_square), out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-6)
+            np.divide(mean, g, out=g)
+            g *= np.float32(rate / by_mean)
+            model[k] -= g
 
 
 def train(
@@ -226,6 +322,17 @@ def train(
     return model
 
 
+def _pieces(sequence: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of what is read, what comes next, and where a state begins."""
+    if not len(sequence):
+        return
+    rows = np.zeros((3, len(sequence)), dtype=np.int32)
+    rows[0, 0], rows[0, 1:], rows[1] = OUTCOMES, sequence[:-1], sequence
+    rows[2, ::PIECE] = 1
+    for at in range(0, len(sequence), PIECE):
+        yield rows[:, at : at + PIECE]
+
+
 def learn(
     model: Model,
     batches: Iterable[list[np.ndarray]],
@@ -235,29 +342,34 @@ def learn(
 ) -> tuple[Model, int]:
     """The model after one pass over every token of all sequences, and the number of tokens.
 
-    Whole sequences follow one another in ``streams`` streams, each put where the fewest tokens wait.
+    Sequences follow one another in ``streams`` streams, each put where the fewest tokens wait; one longer
+    than ``PIECE`` goes on in another stream, from a state of its own, so that no stream outlasts the others.
     Windows run while all streams can fill them; what is left waits for the next batch, and at the end
     streams drop out one by one. Windows of few tokens are added up to one step.
     """
     model = {k: v.copy() for k, v in model.items()}
     adam = _Adam(model)
-    waiting = [np.zeros((2, 0), dtype=np.int32)] * streams
+    waiting = [np.zeros((3, 0), dtype=np.int32)] * streams
     h = np.zeros((streams, HIDDEN), dtype=np.float32)
     total, held, sums = 0, 0, None
 
     def run(rounds: int) -> None:
         nonlocal held, sums
+        size = np.array([w.shape[1] for w in waiting])
+        # Side by side, as long as the longest; what is beyond a stream's end is not real.
+        every = np.zeros((3, rounds * window, streams), dtype=np.int64)
+        for stream, w in enumerate(waiting):
+            held_here = min(size[stream], rounds * window)
+            every[:, :held_here, stream] = w[:, :held_here]
         for no in range(rounds):
-            cut = [w[:, no * window : (no + 1) * window] for w in waiting]
-            n = np.array([c.shape[1] for c in cut])
+            n = np.clip(size - no * window, 0, window)
             active = np.flatnonzero(n)
-            xy = np.zeros((2, window, len(active)), dtype=np.int64)
-            for i, stream in enumerate(active):
-                xy[:, : n[stream], i] = cut[stream]
+            xy = every[:, no * window : (no + 1) * window]
+            xy = xy if len(active) == streams else xy[:, :, active]
             full = n[active].min() == window
             real = None if full else np.arange(window)[:, None] < n[active]
             grads, h[active] = _window_gradients(
-                model, xy[0], xy[1], xy[0] == OUTCOMES, h[active], real
+                model, xy[0], xy[1], xy[2] > 0, h[active], real
             )
             count = int(n.sum())
             if not held and count * 2 >= streams * window:
@@ -278,12 +390,12 @@ def learn(
         queue = [(w.shape[1], i) for i, w in enumerate(waiting)]
         heapq.heapify(queue)
         parts = [[w] for w in waiting]
-        for s in sorted(sequences, key=len, reverse=True):
-            if len(s):
-                n, i = queue[0]
-                parts[i].append(np.stack([np.concatenate([[OUTCOMES], s[:-1]]), s]).astype(np.int32))
-                heapq.heapreplace(queue, (n + len(s), i))
-                total += len(s)
+        pieces = [piece for s in sequences for piece in _pieces(s)]
+        for piece in sorted(pieces, key=lambda p: -p.shape[1]):
+            n, i = queue[0]
+            parts[i].append(piece)
+            heapq.heapreplace(queue, (n + piece.shape[1], i))
+            total += piece.shape[1]
         waiting = [np.concatenate(p, axis=1) for p in parts]
         rounds = min(w.shape[1] for w in waiting) // window
         run(rounds)

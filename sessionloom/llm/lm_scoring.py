@@ -343,8 +343,9 @@ def fit(docs: DataFrame, counts: Counts, rule: LmRule = LmRule()) -> gru.Model:
 # --- 3. scores ----------------------------------------------------------------------------------
 
 _DOC_BLOB = (np.int64, np.uint8, np.uint8, np.int64, np.int64, np.float64, np.float64)
-_WORD_BLOB = (np.uint8, np.int32, np.int32, np.int32, np.uint8)
-_SUM_BLOB = (np.float64, np.int64)
+# A bucket's words with the documents they are in; of a batch only documents that occur there are named.
+_WORD_BLOB = (np.uint8, np.int32, np.int32, np.int32, np.int32, np.uint8)
+_SUM_BLOB = (np.int32, np.float64, np.int64)
 SCORE_SCHEMA = "bucket int, batch long, blob binary"
 
 
@@ -416,15 +417,17 @@ def _score_blobs(model: gru.Model, counts: Counts, buckets: int):
         found, lo = np.unique(bucket[place], return_index=True)
         for no, a, b in zip(found, lo, np.append(lo[1:], len(names))):
             s = slice(int(end[a] - per_word[a]), int(end[b - 1]))
+            docs, local_doc = np.unique(of[s], return_inverse=True)
             yield (
                 int(no),
                 _squeezed(
                     [
                         _text([names[k] for k in place[a:b]]),
                         per_word[a:b].astype(np.int32),
-                        np.diff(of[s], prepend=0).astype(np.int32),
+                        np.diff(local_doc, prepend=0).astype(np.int32),
                         times[s].astype(np.int32),
-                        train,
+                        docs.astype(np.int32),
+                        train[docs],
                     ]
                 ),
             )
@@ -446,19 +449,19 @@ def _word_sums(table: pa.Table) -> pa.Table:
     ids: dict[bytes, int] = {}
     parts = []
     for batch, blob in zip(table.column("batch"), table.column("blob")):
-        text, per_word, step, times, train = _spread_out(blob.as_py(), _WORD_BLOB)
+        text, per_word, step, times, docs, train = _spread_out(blob.as_py(), _WORD_BLOB)
         words = [ids.setdefault(w, len(ids)) for w in text.tobytes().split(b" ")]
         word = np.repeat(np.array(words, dtype=np.int64), per_word)
-        parts.append((batch.as_py(), word, np.cumsum(step, dtype=np.int64), times, train))
+        parts.append((batch.as_py(), word, np.cumsum(step, dtype=np.int64), times, docs, train))
     count = np.zeros(len(ids), dtype=np.int64)
-    for _, word, doc, times, train in parts:
+    for _, word, doc, times, _, train in parts:
         count += np.bincount(word, times * train[doc], len(ids)).astype(np.int64)
     log = np.log10(count + 1.0)
     rows = []
-    for batch, word, doc, times, train in parts:
+    for batch, word, doc, times, docs, train in parts:
         sums = np.bincount(doc, log[word] * times, len(train))
         seen = np.bincount(doc, (count[word] > 0) * times, len(train)).astype(np.int64)
-        rows.append((batch, _squeezed([sums, seen])))
+        rows.append((batch, _squeezed([docs, sums, seen])))
     return pa.table(
         {
             "bucket": pa.array([0] * len(rows), pa.int32()),
@@ -472,14 +475,20 @@ def _finished(counts: Counts):
     space = np.log10(counts.tokens + counts.distinct + 1.0)
 
     def run(table: pa.Table) -> pa.Table:
-        own, sums, seen = None, 0.0, 0
+        own, parts = None, []
         for bucket, blob in zip(table.column("bucket"), table.column("blob")):
             if bucket.as_py() < 0:
                 own = _spread_out(blob.as_py(), _DOC_BLOB)
             else:
-                part = _spread_out(blob.as_py(), _SUM_BLOB)
-                sums, seen = sums + part[0], seen + part[1]
+                parts.append(_spread_out(blob.as_py(), _SUM_BLOB))
         ids, null, held, n, known, base, logs = own
+        sums, seen = np.zeros(len(n)), np.zeros(len(n), dtype=np.int64)
+        if parts:
+            # Always the same order of additions, whatever order the buckets come in.
+            docs, part_sums, part_seen = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((part_sums, docs))
+            sums = np.bincount(docs[order], part_sums[order], len(n))
+            seen = np.bincount(docs, part_seen, len(n)).astype(np.int64)
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64(), mask=null.astype(bool)),

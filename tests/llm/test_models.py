@@ -232,8 +232,10 @@ def test_padding_teaches_nothing():
     assert all(np.allclose(alone[k], both[k], atol=1e-6) for k in alone)
 
 
+@pytest.mark.parametrize("piece", [1024, 16, 7])
 @pytest.mark.parametrize("streams", [1, 3, 50])
-def test_a_pass_reads_every_token(monkeypatch, streams):
+def test_a_pass_reads_every_token(monkeypatch, streams, piece):
+    monkeypatch.setattr(gru, "PIECE", piece)
     rng = np.random.default_rng(7)
     model = gru.new_model(np.ones(gru.OUTCOMES), rng)
     lengths = [[1, 5, 300, 16], [], [17, 0, 2, 33], [1]]
@@ -281,3 +283,78 @@ def test_weights_of_many_tasks_are_averaged(frame, monkeypatch):
     monkeypatch.setattr(lm_scoring, "_MERGE", 2)
     again = lm_scoring.fit(frame(rows, parts=7), counts, rule)
     assert all(np.allclose(model[k], again[k], atol=1e-5) for k in model)
+
+
+def test_products_by_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    a, b, c = rng.normal(size=(1000, 24)), rng.normal(size=(24, 72)), rng.normal(size=(1000, 72))
+    monkeypatch.setattr(gru, "ONE_THREAD", 24 * 72 * 37)
+    assert np.allclose(gru._dot(a, b), a @ b) and np.allclose(gru._dot_down(a, c), a.T @ c)
+    x = rng.normal(size=(50, 64)).astype(np.float32) * 8
+    assert np.allclose(gru._log_sum(x.copy(), True), gru._log_sum(x.copy(), False), rtol=1e-5)
+    assert np.allclose(gru._softmax(x.copy(), True), gru._softmax(x.copy(), False), atol=1e-6)
+
+
+def test_large_weights_take_the_careful_way():
+    model = gru.new_model(np.ones(gru.OUTCOMES), np.random.default_rng(5))
+    assert gru._plain(model)[0] and gru._plain(model)[1].all()
+    model["class"] *= 1e6
+    model["member"][3] *= 1e6
+    plain, members = gru._plain(model)
+    assert not plain and not members[3] and members[4]
+    sequences = [np.random.default_rng(6).integers(0, gru.OUTCOMES, 300)]
+    assert np.isfinite(gru.score(model, sequences)).all()
+
+
+def test_scores_against_plain_python(frame, rows, monkeypatch):
+    """The score column through Spark, rare words with their share of the group included."""
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", 20)
+    monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 3_000)
+    monkeypatch.setattr(lm_scoring, "BATCH_BYTES", 20_000)
+    docs = frame(rows)
+    counts = count_words(docs)
+    model = gru.new_model(counts.frequency(), np.random.default_rng(1))
+    got = sorted((r.doc_id is not None, r.doc_id, r.n_tokens, r.n_known, r.score) for r in lm_scoring.scored(docs, counts, model).collect())
+    seen = Counter()
+    for i, t in rows:
+        if i is not None and fold(i, 7) != 2:
+            seen.update(lm_scoring.tokens((t or "").encode()))
+    known, want = counts.outcomes(), []
+    size = Counter()
+    for w, n in seen.items():
+        if w not in known:
+            size[lm_scoring.shape(w)] += n + 1
+    for i, t in rows:
+        words = lm_scoring.tokens((t or "").encode())
+        sequence = np.array([known.get(w, lm_scoring.shape(w)) for w in words] + [lm_scoring.END])
+        score = gru.score(model, [sequence])[0] / np.log(10)
+        score += sum(np.log10((seen[w] + 1) / (size[lm_scoring.shape(w)] + 1)) for w in words if w not in known)
+        want.append((i is not None, i, len(words) + 1, sum(seen[w] > 0 for w in words) + 1, score))
+    want.sort()
+    assert [r[:4] for r in got] == [r[:4] for r in want] and len(known) == 20
+    assert np.allclose([r[4] for r in got], [r[4] for r in want], rtol=1e-4)
+
+
+def test_word_transport_does_not_grow_with_the_buckets():
+    """What buckets get of a batch names its documents only where they occur."""
+    rng = random.Random(3)
+    texts = [" ".join(f"rare{rng.randrange(10**9)}" for _ in range(4)).encode() for _ in range(2000)]
+    counts = lm_scoring.Counts([], 10, 10, 1, np.ones(lm_scoring.SHAPES, dtype=np.int64))
+    model = gru.new_model(counts.frequency(), np.random.default_rng(1))
+    entries = []
+    for buckets in (8, 4000):
+        import pyarrow as pa
+
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(range(2000)), pa.array([False] * 2000), pa.array([True] * 2000), pa.array(texts, pa.binary())],
+            names=["doc_id", "held_out", "train", "text"],
+        )
+        from unittest import mock
+
+        with mock.patch("pyspark.TaskContext.get") as task:
+            task.return_value.partitionId.return_value = 0
+            (out,) = lm_scoring._score_blobs(model, counts, buckets)(iter([batch]))
+        blobs = [b.as_py() for no, b in zip(out.column(0), out.column(2)) if no.as_py() >= 0]
+        docs = [lm_scoring._spread_out(b, lm_scoring._WORD_BLOB)[4] for b in blobs]
+        entries.append(sum(len(d) for d in docs))
+    assert entries[0] <= 8000 and entries[1] <= 8000

@@ -136,6 +136,50 @@ def test_texts_that_all_occur_twice_stay_together(frame):
     assert sum(len(s) > 1 for s in shards.values()) <= 32
 
 
+def test_propagation_brings_linked_documents_together(spark, sf_dir):
+    """Moves are granted on the given table, votes come to agree, and fewer lines are cut than at the start."""
+    docs = queries.documents(spark, sf_dir.replace("sf0.001", "sf0.01"))
+    trace: list[dict] = []
+    out = shard_documents(docs, trace=trace)
+    start = shard_documents(docs, ShardRule(rounds=0))
+    assert sum(t["moved"] for t in trace) > 100 and trace[-1]["wanted"] < trace[0]["wanted"] / 4
+    assert trace[-1]["agreed"] > 0.8 > 0.5 > trace[0]["agreed"]
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).distinct()
+    lines = lines.filter(F.length("line") >= 60)
+
+    def cut(assigned):
+        both = lines.join(assigned.select("doc_id", "shard"), "doc_id").groupBy("line")
+        return both.agg(F.countDistinct("shard").alias("n")).agg(F.sum(F.col("n") - 1)).first()[0]
+
+    assert cut(out) < 0.5 * cut(start)
+    sizes = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert max(sizes) - min(sizes) <= 1 and len(sizes) == 16
+    equal = out.join(docs.select("doc_id", "text"), "doc_id").groupBy("text")
+    assert equal.agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
+
+
+def test_granted_moves_keep_the_quotas():
+    from sessionloom.llm.sharding import _granted
+
+    # Ten rows want to go from 0 to 1 and four back; there is room for three in 1 and none in 0.
+    share = _granted([[0, 10], [4, 0]], [0, 3])
+    assert share[1] * 10 == pytest.approx(5) and share[2] == pytest.approx(0.5)
+    assert _granted([[0, 10], [0, 0]], [0, 3]) == [0, pytest.approx(0.3), 0, 0]
+    assert _granted([[0, 0], [0, 0]], [1, 1]) == [0, 0, 0, 0]
+
+
+def test_a_text_of_a_third_of_all_rows_is_few_units(frame):
+    from sessionloom.llm import sharding
+
+    rows = frame([(i, "the same text") if i % 3 == 0 else (i, f"text {i}") for i in range(1500)])
+    out = shard_documents(rows).collect()
+    shards = Counter(r.shard for r in out if r.doc_id % 3 == 0)
+    assert set(Counter(r.shard for r in out).values()) <= {93, 94} and len(shards) <= 9
+    numbered = rows.select(F.col("doc_id").alias("row"), F.xxhash64("text").alias("home"))
+    units = sharding.units(numbered, numbered, [94] * 16, ShardRule())
+    assert units.groupBy("unit").count().agg(F.max("count")).first()[0] <= 5
+
+
 # --- fingerprints ---------------------------------------------------------------------------------
 
 

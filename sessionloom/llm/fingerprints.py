@@ -22,11 +22,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.llm.common import partitions, text_key, whole_text
@@ -219,6 +220,16 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_fingerprint_rows, "doc_id long, fingerprint string")
 
 
+def _larger(cuts: list[int], value: Column) -> Column:
+    """How many of the descending cuts are larger than the value: first by every so many-th cut, then among the
+    cuts that follow, so that a row is compared with about twice the root of their number."""
+    step = math.isqrt(len(cuts)) + 1
+    none = F.array().cast("array<long>")
+    every, some = (F.array(*[F.lit(c).cast("long") for c in x]) if x else none for x in (cuts, cuts[step - 1 :: step]))
+    passed = F.size(F.filter(some, lambda c: c > value)) * step
+    return passed + F.size(F.filter(F.slice(every, passed + 1, step), lambda c: c > value))
+
+
 def edit_report(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness.
 
@@ -239,11 +250,8 @@ def edit_report(docs: DataFrame) -> DataFrame:
     )
     cuts = sorted({int(c) for c in cuts}, reverse=True)
     # Descending ids are ranges 0, 1, ...: how many of the cuts are larger than the id.
-    at_cut = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    range_no = F.size(F.filter(at_cut, lambda c: c > F.col("doc_id")))
-    dealt = rows.withColumn(
-        "range", F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(range_no).cast("int")
-    )
+    range_no = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(_larger(cuts, F.col("doc_id")))
+    dealt = rows.withColumn("range", range_no.cast("int"))
     # The first row of each range, in (id descending, null last, turn descending).
     first = F.max(F.struct(F.col("doc_id"), F.col("turn"))).alias("first")
     heads = dealt.drop("text").groupBy("range").agg(first).orderBy("range").collect()

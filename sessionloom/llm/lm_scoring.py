@@ -244,7 +244,9 @@ def _segments(most: int):
                 if len(starts) > most:
                     starts = starts[np.linspace(0, len(starts) - 1, most).round().astype(int)]
                 texts.append(b" ".join([w for s in starts for w in words[s : s + SEGMENT]]))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.binary()), *batch.columns[1:]], names=batch.schema.names
+            )
 
     return run
 
@@ -255,9 +257,11 @@ def started(docs: DataFrame, counts: Counts, rule: LmRule = LmRule()) -> gru.Mod
     ids = rows.filter("train").select(F.col("doc_id").alias("_id")).distinct()
     chosen = ids.orderBy(F.xxhash64("_id"), "_id").limit(rule.train_documents)
     rows = rows.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    rows = rows.withColumn("text_key", text_key("text")).orderBy(F.xxhash64("_id"), "_id", "text_key")
-    sample = rows.limit(rule.train_documents).select("text")
-    texts = [bytes(r.text) for r in sample.mapInArrow(_segments(rule.train_segments), "text binary").collect()]
+    # Texts are cut to their segments where they are read; only those meet in one place.
+    rows = rows.select("text", "_id", text_key("text").alias("text_key"))
+    cut = rows.mapInArrow(_segments(rule.train_segments), "text binary, _id long, text_key long")
+    sample = cut.orderBy(F.xxhash64("_id"), "_id", "text_key").limit(rule.train_documents)
+    texts = [bytes(r.text) for r in sample.select("text").collect()]
     sequences = _outcome_arrays(texts, counts.outcomes())
     return gru.train(sequences, counts.frequency(), rule.steps)
 

@@ -228,13 +228,10 @@ def _sampled(most: int):
                 text = t.as_py()
                 whole = len(chunk_starts(len(text))) <= most
                 parts.append(text if whole else chunks_of([text], most)[0].tobytes())
+            long = pa.array([len(chunk_starts(len(t.as_py()))) > most for t in batch.column(1)], pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(parts, pa.binary()),
-                    pa.array([len(chunk_starts(len(t.as_py()))) > most for t in batch.column(1)]),
-                ],
-                names=["label", "text", "cut"],
+                [batch.column(0), pa.array(parts, pa.binary()), long, *batch.columns[2:]],
+                names=["label", "text", "cut", *batch.schema.names[2:]],
             )
 
     return run
@@ -255,10 +252,11 @@ def fit(docs: DataFrame, labels: DataFrame, rule: QualityRule = QualityRule()) -
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(rule.train_documents)
     rows = docs.select("doc_id", whole_text("text").alias("text"), text_key("text").alias("text_key"))
     rows = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    rows = rows.orderBy(F.xxhash64("_id"), "_id", "text_key").limit(rule.train_documents)
-    rows = rows.select("label", F.col("text").cast("binary").alias("text"))
-    schema = "label int, text binary, cut boolean"
-    found = rows.mapInArrow(_sampled(rule.train_chunks), schema).collect()
+    rows = rows.select("label", F.col("text").cast("binary").alias("text"), "_id", "text_key")
+    # Texts are cut to their chunks where they are read; only those meet in one place.
+    schema = "label int, text binary, cut boolean, _id long, text_key long"
+    cut = rows.withColumn("_id", F.col("_id").cast("long")).mapInArrow(_sampled(rule.train_chunks), schema)
+    found = cut.orderBy(F.xxhash64("_id"), "_id", "text_key").limit(rule.train_documents).collect()
     texts = [bytes(r.text) for r in found]
     return train(texts, [r.label for r in found], rule)
 

@@ -77,33 +77,33 @@ _BLOCK = 1 << 14
 
 
 @cache
-def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i for i below the block length, and base**(i * block length), modulo 2**64."""
-    out = []
-    for b in (base, pow(base, _BLOCK, 2**64)):
-        p = np.full(_BLOCK, b, dtype=np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+def _powers(base: int, step: int = 1) -> np.ndarray:
+    """base**(i * step) modulo 2**64 for i below the block length."""
+    p = np.full(_BLOCK, pow(base, step, 2**64), dtype=np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
 
 
 def _power(base: int, at: np.ndarray) -> np.ndarray:
-    low, high = _powers(base)
-    return low[at % _BLOCK] * high[at // _BLOCK]
+    """base**at modulo 2**64, put together from the places of ``at`` in the system of blocks."""
+    out = _powers(base)[at % _BLOCK]
+    step, at = _BLOCK, at // _BLOCK
+    while len(at) and at.max() > 0:
+        out *= _powers(base, step)[at % _BLOCK]
+        step, at = step * _BLOCK, at // _BLOCK
+    return out
 
 
 def range_hashes(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     """A function that gives a 64-bit hash of data[start:end] for arrays of starts and ends."""
     n = len(data)
-    if n > _BLOCK * _BLOCK:
-        raise ValueError(f"a document of more than {_BLOCK * _BLOCK} bytes cannot be handled")
     sums = np.zeros(n + 1, dtype=np.uint64)
-    low, high = _powers(_BASE)
-    table = _table()
-    for k, at in enumerate(range(0, n, _BLOCK)):
+    low, table = _powers(_BASE), _table()
+    begins = np.arange(0, n, _BLOCK)
+    for at, factor in zip(begins.tolist(), _power(_BASE, begins)):
         part = table[data[at : at + _BLOCK]]
         part *= low[: len(part)]
-        part *= high[k]
+        part *= factor
         sums[at + 1 : at + 1 + len(part)] = part
     np.cumsum(sums, out=sums)
     inverse = pow(_BASE, -1, 2**64)

@@ -396,3 +396,10 @@ def test_stages_are_the_ones_agreed():
         "token files",
     ]
     assert len(queries.queries()) == 13 and SimHashRule() == SimHashRule(3, 3, 42)
+
+
+def test_ranges_by_cuts(spark):
+    for n in (0, 1, 2, 3, 10, 99, 1000):
+        cuts = [5 * (n - i) for i in range(n)]
+        df = spark.range(-3, 5 * n + 4).withColumn("r", fp._larger(cuts, F.col("id")))
+        assert all(r.r == sum(c > r.id for c in cuts) for r in df.collect())

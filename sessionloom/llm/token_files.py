@@ -27,10 +27,9 @@ from pyspark.sql.window import Window
 from sessionloom.llm.common import partitions, text_key, whole_text
 from sessionloom.llm.words import split_words, text_bytes, word_codes
 
-BATCH_BYTES = 4_000_000
-#: A remembered word takes about 200 bytes, so each half of the memory takes 20 MB at most, and the second
-#: half is dropped between partitions.
-CACHED_WORDS = 100_000
+BATCH_BYTES = 5_000_000
+#: A remembered word takes about 200 bytes, so each half of the memory takes 40 MB at most.
+CACHED_WORDS = 200_000
 WORDS_AT_ONCE = 200
 # ASCII punctuation but for what may be part of a token together with letters: ' < > |
 PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
@@ -144,11 +143,6 @@ class _Encoder:
         self.known.update(zip(rest, self._encoded(rest)))
         return [self.known[w] for w in words]
 
-    def forget(self) -> None:
-        """Keep the words of late only, and give memory that arrays held back to the system."""
-        self.older = {}
-        pa.default_memory_pool().release_unused()
-
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, each ended by ``end_id``, and how many each has."""
         data, ends = text_bytes(texts)
@@ -226,7 +220,7 @@ def _encode(form: TokenFormat):
                     names=["doc_id", "file", "place", "n_tokens", "ids"],
                 )
                 place += int(offsets[-1])
-        encode.forget()
+        pa.default_memory_pool().release_unused()
 
     return run
 

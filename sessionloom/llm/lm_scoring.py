@@ -31,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -221,17 +222,21 @@ def count_words(docs: DataFrame, rule: LmRule = LmRule()) -> Counts:
 # --- 2. the network -----------------------------------------------------------------------------
 
 
+class _Outcomes(dict):
+    """Outcomes by word. Other words are kept with their groups until there are too many of them."""
+
+    MOST = 300_000
+
+    def __missing__(self, word: bytes) -> int:
+        group = shape(word)
+        if len(self) < self.MOST:
+            self[word] = group
+        return group
+
+
 def _outcome_arrays(texts: list[bytes], known: dict[bytes, int]) -> list[np.ndarray]:
-    out = []
-    for t in texts:
-        words = tokens(t)
-        ids = [known.get(w, -1) for w in words]
-        ids.append(END)
-        a = np.array(ids, dtype=np.int64)
-        for i in np.flatnonzero(a < 0):
-            a[i] = shape(words[i])
-        out.append(a)
-    return out
+    of = _Outcomes(known).__getitem__
+    return [np.array([*map(of, tokens(t)), END], dtype=np.int64) for t in texts]
 
 
 def _segments(most: int):
@@ -360,19 +365,21 @@ def _score_blobs(model: gru.Model, counts: Counts, buckets: int):
     has_count = counts.frequency() > 0
 
     def scored(ids: list, held: list, train: list, texts: list[bytes], batch: int) -> pa.RecordBatch:
-        sequences, docs_of, words_of = [], [], []
-        for i, t in enumerate(texts):
-            words = tokens(t)
-            a = np.array([known.get(w, -1) for w in words] + [END], dtype=np.int64)
-            other = np.flatnonzero(a < 0)
-            rare = [words[k] for k in other.tolist()]
-            a[other] = [shape(w) for w in rare]
-            sequences.append(a)
-            docs_of.append(np.full(len(rare), i, dtype=np.int64))
-            words_of += rare
-        logs = gru.score(model, sequences) / np.log(10)
-        lengths = np.array([len(s) for s in sequences])
+        # Words outside the vocabulary are numbered after it, as they come.
+        numbers, first = dict(known), len(known) + END + 1
+        new = count(first)
+        sequences = []
+        for t in texts:
+            own = [numbers[w] if w in numbers else numbers.setdefault(w, next(new)) for w in tokens(t)]
+            sequences.append(np.array([*own, END], dtype=np.int64))
+        names = list(islice(numbers, len(known), None))
+        lengths = np.array([len(a) for a in sequences])
         flat, owner = np.concatenate(sequences), np.repeat(np.arange(len(texts)), lengths)
+        other = flat >= first
+        words_of, docs_of = flat[other] - first, owner[other]
+        flat[other] = np.array([shape(w) for w in names], dtype=np.int64)[words_of]
+        sequences = np.split(flat, np.cumsum(lengths)[:-1])
+        logs = gru.score(model, sequences) / np.log(10)
         n = len(texts)
         in_group = flat < SHAPES
         base = np.bincount(owner, plus_1[flat], n)
@@ -395,7 +402,7 @@ def _score_blobs(model: gru.Model, counts: Counts, buckets: int):
                 ),
             )
         ]
-        rows += _word_blobs(words_of, np.concatenate(docs_of), np.array(train, dtype=np.uint8), n)
+        rows += _word_blobs(names, words_of, docs_of, np.array(train, dtype=np.uint8), n)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([r[0] for r in rows], pa.int32()),
@@ -405,10 +412,9 @@ def _score_blobs(model: gru.Model, counts: Counts, buckets: int):
             names=["bucket", "batch", "blob"],
         )
 
-    def _word_blobs(words: list[bytes], doc: np.ndarray, train: np.ndarray, n: int):
-        local: dict[bytes, int] = {}
-        ids = np.array([local.setdefault(w, len(local)) for w in words], dtype=np.int64)
-        names = list(local)
+    def _word_blobs(
+        names: list[bytes], ids: np.ndarray, doc: np.ndarray, train: np.ndarray, n: int
+    ):
         bucket = np.array([zlib.crc32(w) % buckets for w in names], dtype=np.int64)
         place = np.argsort(bucket, kind="stable")
         rank = np.empty(len(names), dtype=np.int64)

@@ -295,6 +295,26 @@ def test_products_by_blocks(monkeypatch):
     assert np.allclose(gru._softmax(x.copy(), True), gru._softmax(x.copy(), False), atol=1e-6)
 
 
+def test_sums_by_word():
+    rng = np.random.default_rng(7)
+    word = np.minimum(rng.geometric(0.03, 900), gru.OUTCOMES)  # some once, some far more than ``FEW`` times
+    rows = rng.normal(size=(900, 5))
+    found, sums = gru._sums_by_word(word, rows)
+    assert found.tolist() == sorted(set(word.tolist()))
+    assert np.bincount(word).max() > gru.FEW > 1 == np.bincount(word)[found].min()
+    assert np.allclose(sums, [rows[word == w].sum(axis=0) for w in found])
+
+
+def test_outcomes_of_words_not_kept(monkeypatch):
+    texts, known = [b"one two three two four", b"", b"five ONE three"], {b"one": 70}
+    kept = lm_scoring._outcome_arrays(texts, known)
+    monkeypatch.setattr(lm_scoring._Outcomes, "MOST", 2)
+    bounded = lm_scoring._outcome_arrays(texts, known)
+    assert [a.tolist() for a in kept] == [a.tolist() for a in bounded] and known == {b"one": 70}
+    assert kept[0][0] == kept[2][1] == 70 and kept[1].tolist() == [lm_scoring.END]
+    assert kept[0][1] == kept[0][3] == lm_scoring.shape(b"two")
+
+
 def test_large_weights_take_the_careful_way():
     model = gru.new_model(np.ones(gru.OUTCOMES), np.random.default_rng(5))
     assert gru._plain(model)[0] and gru._plain(model)[1].all()

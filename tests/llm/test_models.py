@@ -72,6 +72,37 @@ def test_gradients_are_right():
             assert g[place] == pytest.approx((up - down) / 2e-5, rel=0.02, abs=1e-6), name
 
 
+def plain_score(model, text):
+    """The classifier's forward pass, place by place, from the method's description alone."""
+    step = quality.CHUNK - quality.OVERLAP
+    features, start = [], 0
+    while True:
+        chunk = text[start : start + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+        pooled = np.zeros(quality.FILTERS)
+        for at in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STEP):
+            window = np.concatenate([model["byte"][b] for b in chunk[at : at + quality.WIDTH]])
+            pooled = np.maximum(pooled, window @ model["filter"] + model["shift"])
+        features.append(np.tanh(pooled @ model["layer"] + model["layer_shift"]))
+        start += step
+        if start + quality.OVERLAP >= len(text):
+            break
+    every = np.concatenate([np.mean(features, axis=0), np.max(features, axis=0)])
+    return 1 / (1 + math.exp(-float(every @ model["out"] + model["out_shift"][0])))
+
+
+def test_quality_scores_against_plain_forward_pass(spark, frame):
+    rng = np.random.default_rng(9)
+    model = quality.new_model(rng)
+    model["shift"] += rng.normal(size=quality.FILTERS).astype(np.float32) * 0.1
+    model["out_shift"] += np.float32(0.2)
+    sizes = [0, 1, 5, 63, 448, 449, 512, 513, 1700]
+    docs = [(i, "".join(map(chr, rng.integers(32, 300, n)))) for i, n in enumerate(sizes)] + [(50, None)]
+    got = {r.doc_id: r.score for r in quality.scored(frame(docs), model).collect()}
+    want = {i: plain_score(model, (t or "").encode()) for i, t in docs}
+    assert got.keys() == want.keys() and max(want.values()) - min(want.values()) > 1e-3
+    assert all(got[i] == pytest.approx(want[i], abs=1e-5) for i in want)
+
+
 def test_classifier_on_held_out_rows(spark, frame):
     known = good_and_bad(240)
     docs = frame([(i, t) for i, t, _ in known])

@@ -46,14 +46,21 @@ def read_lines(spark: SparkSession, uri: str | list[str]) -> DataFrame:
 def kind_of(value: Column) -> Column:
     """text, number, flag, null, list or struct; null if there is no value."""
     name = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-    told = F.when(value.isNull(), None)
-    for spark_name, kind in KINDS.items():
-        told = told.when(name == spark_name, kind)
-    return told.otherwise("number")
+    kinds = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    return F.when(value.isNotNull(), F.coalesce(F.element_at(kinds, name), F.lit("number")))
+
+
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with further columns, each worked out once per row.
+
+    Spark moves a filter below the columns it asks for and puts their expressions in their place, so that every
+    use is worked out anew; rows of a generator it takes as they are.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
 def _records(lines: DataFrame) -> DataFrame:
-    parsed = lines.withColumn("record", F.try_parse_json("line"))
+    parsed = _once(lines, {"record": F.try_parse_json("line")})
     return parsed.withColumn("_whole", F.coalesce(kind_of(F.col("record")) == "struct", F.lit(False)))
 
 
@@ -93,20 +100,26 @@ def sift(
     customer must be a whole number, the timestamp a text of the accepted form, the type a text; each may be
     missing or null. ``keep`` names further fields and their Spark types; what does not fit becomes null.
     """
-    rows = _records(lines)
-    for i, field in enumerate((CUSTOMER, TIMESTAMP, TYPE, *(keep or {}))):
-        rows = rows.withColumn(f"_v{i}", _field(struct, field))
+    fields = (CUSTOMER, TIMESTAMP, TYPE, *(keep or {}))
+    rows = _once(_records(lines), {n: c for i, f in enumerate(fields) for n, c in _places(i, struct, f).items()})
+    rows = _once(rows, {f"_v{i}": _field(i) for i in range(len(fields))})
     customer, time, kind = (F.col(f"_v{i}") for i in range(3))
-    number = F.try_variant_get(customer, "$", "bigint")
-    exact = F.try_variant_get(customer, "$", "double") == number
-    parsed = parse_timestamp(F.try_variant_get(time, "$", "string"))
+    values = {
+        "_number": F.try_variant_get(customer, "$", "bigint"),
+        "_double": F.try_variant_get(customer, "$", "double"),
+        "_time": F.try_variant_get(time, "$", "string"),
+    }
+    rows = _once(rows, values)
+    rows = _once(rows, {"_parsed": parse_timestamp(F.col("_time"))})
+    number, parsed = F.col("_number"), F.col("_parsed")
+    exact = F.col("_double") == number
     reason = (
         F.when(~F.col("_whole"), NO_RECORD)
         .when(customer.isNotNull() & ~F.coalesce((kind_of(customer) == "number") & exact, F.lit(False)), BAD_CUSTOMER)
         .when(time.isNotNull() & ((kind_of(time) != "text") | parsed.isNull()), BAD_TIME)
         .when(kind.isNotNull() & (kind_of(kind) != "text"), BAD_TYPE)
     )
-    rows = rows.withColumn("reason", reason)
+    rows = _once(rows, {"reason": reason})
     more = [
         F.try_variant_get(F.col(f"_v{i}"), "$", of).alias(field.replace("-", "_"))
         for i, (field, of) in enumerate((keep or {}).items(), start=3)
@@ -124,8 +137,13 @@ def _path(*names: str) -> str:
     return "$" + "".join(f"['{n}']" for n in names)
 
 
-def _field(struct: str, name: str) -> Column:
+def _places(i: int, struct: str, name: str) -> dict[str, Column]:
+    """What stands at the top and inside for the i-th field."""
+    paths = {"top": (name,), "inside": (struct, name)}
+    return {f"_{place}{i}": F.try_variant_get("record", _path(*path), "variant") for place, path in paths.items()}
+
+
+def _field(i: int) -> Column:
     """The field's value at the top or else inside; null if it is missing or null in both places."""
-    found = [F.try_variant_get("record", _path(*p), "variant") for p in ((name,), (struct, name))]
-    held = [F.when(~F.is_variant_null(v), v) for v in found]
-    return F.coalesce(*held)
+    found = [F.col(f"_{place}{i}") for place in ("top", "inside")]
+    return F.coalesce(*[F.when(~F.is_variant_null(v), v) for v in found])

@@ -3,7 +3,7 @@
 import json
 from collections import Counter
 
-from helpers import at
+from helpers import at, plan_of
 from sessionloom.sources import drifting
 
 LINES = [
@@ -64,6 +64,12 @@ def test_sift(spark, tmp_path):
     assert Counter(r.line for r in spark.read.parquet(target).collect()) == Counter(2 * list(reasons))
 
 
+def test_lines_are_parsed_once(spark, tmp_path):
+    sifted = drifting.sift(lines(spark, tmp_path), keep={"event-id": "long"})
+    for part in (sifted.events, sifted.aside):
+        assert plan_of(part).count("parseJson") == 1
+
+
 def test_profile(spark, tmp_path):
     names = {str: "text", int: "number", float: "number", bool: "flag", type(None): "null", list: "list", dict: "struct"}
     want = Counter()

@@ -6,7 +6,9 @@ from collections import Counter, defaultdict
 from statistics import median
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import sessionloom as sl
 from helpers import EVENTS, at, bag, brute_medians, brute_metrics, brute_sessions, final_plan_of, plan_of
@@ -144,6 +146,43 @@ def test_stream_numbers_go_on_after_a_restart(spark, tmp_path):
     assert Counter(tuple(r[c] for c in names) for r in got if not r.late) == want
 
 
+def test_state_is_read_and_written_by_bucket():
+    class Held:
+        value, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+    class Handle:
+        held = Held()
+
+        def getValueState(self, name, schema):
+            return self.held
+
+    rng, handle = random.Random(9), Handle()
+    numbers = numbering._Numbers(30, T.StructField("customer_id", T.StringType()), ["event_id"])
+    numbers.init(handle)
+    row = Row("event_id", "customer_id", "timestamp", "type", "_micros", "_bucket")
+    parts = [[e for e in history(rng, 80, low, high, 1000 * i, customers=7) if e[1] is not None]
+             for i, (low, high) in enumerate([(0, 200), (201, 400)])]
+    got = Counter()
+    for part in parts:
+        made = [row(e, str(c), t, k, (t - at(0)) // dt.timedelta(microseconds=1) if t else None, 5) for e, c, t, k in part]
+        for r in numbers.handleInputRows((5,), iter(made), None):
+            got[r.event_id, int(r.customer_id), r.timestamp, r.time_diff, r.new_session, r.session_number] += 1
+            assert not r.late
+    want = Counter((e, c, t, d, n, s) for e, c, t, _, d, n, s in brute_sessions([r for p in parts for r in p], 30))
+    assert got == want and handle.held.calls == 4
+    # A batch that moves nobody on leaves the state as it is.
+    assert len(list(numbers.handleInputRows((5,), iter([row(1, "1", None, "view", None, 5)]), None))) == 1
+    assert handle.held.calls == 5
+
+
 # --- late events ----------------------------------------------------------------------------------
 
 

@@ -1,8 +1,8 @@
 """Sharding by balanced label propagation.
 
 Linked documents should share a shard, and shards should hold equally many rows. Equal texts are linked, and so are
-documents that have a line in common: one of ``line_chars`` characters or more that at most ``line_rows`` texts have.
-A line in more texts than that is boilerplate, which says nothing about what belongs together.
+documents that have a line in common: one of ``line_chars`` characters or more, however many texts have it. A
+line's votes add up to the same whoever has it, so boilerplate, which is in all shards alike, speaks for none.
 
 Rows of equal text are one unit, which has one label and moves as a whole. Every unit starts in a shard given by a
 hash of its text. Then, round by round, units move to the shard where most of their neighbours are: Spark joins
@@ -15,7 +15,7 @@ Equal texts of more rows than a part of a shard (``large_group``) are cut into u
 other and stay there; others may come to them.
 
 Links are rows (row, group): a document may be in many groups, and a group of n documents costs n rows,
-not n * n links.
+not n * n links. A large group is dealt out in parts, so that its rows do not all meet in one task.
 
 The law is ``rows``: numbers of rows differ by one at most.
 """
@@ -32,8 +32,9 @@ from sessionloom.llm.common import stored, text_key, whole_text, with_rank
 LAW = "rows"
 #: A whole vote: shares of a group are whole numbers of this size, so that sums do not depend on their order.
 WHOLE = 1 << 20
-#: Common lines that may be broadcast, eight bytes each.
-BROADCAST_LINES = 1_000_000
+#: Rows of a group that may meet in one task of a join; of larger groups at most ``LARGE_GROUPS`` are broadcast.
+GROUP_ROWS = 4096
+LARGE_GROUPS = 100_000
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,6 @@ class ShardRule:
     least_moves: float = 0.005
     large_group: float = 0.05
     line_chars: int = 60
-    line_rows: int = 256
 
 
 def _quotas(n: int, shards: int) -> list[int]:
@@ -81,8 +81,22 @@ def units(rows: DataFrame, homes: DataFrame | None, quotas: list[int], rule: Sha
     return ranked.select("row", F.xxhash64("home", part).alias("unit"), "home", start.alias("start"))
 
 
+def of_groups(rows: DataFrame, groups: DataFrame, held_by: str) -> DataFrame:
+    """``rows`` joined with ``groups`` by group; ``held_by`` is the groups' column for their number of rows.
+
+    The rows of a very large group would all meet in one task, so these groups are broadcast. As groups share the
+    rows, at most ``LARGE_GROUPS`` are larger than the limit, which grows only as far as that asks for.
+    """
+    every = groups.agg(F.sum(held_by)).first()[0] or 0
+    large = F.col(held_by) > max(GROUP_ROWS, every // LARGE_GROUPS)
+    few = F.broadcast(groups.filter(large))
+    rest = rows.join(F.broadcast(groups.filter(large).select("group")), "group", "left_anti")
+    return rows.join(few, "group").unionByName(rest.join(groups.filter(~large), "group"))
+
+
 def links(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(unit, group, weight, n, total): the rows of a unit in each group, and all rows of the group.
+    """(unit, group, weight, n, total, parts, part): the rows of a unit in each group, all rows of the group, the
+    number of parts of the group, and which of them the unit is in.
 
     ``members`` has (home, group, weight), ``sizes`` (unit, home, n). Groups of a single unit link nothing.
     """
@@ -91,7 +105,10 @@ def links(members: DataFrame, sizes: DataFrame) -> DataFrame:
     )
     per = stored(per, "shard-members")
     totals = per.groupBy("group").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("held_by"))
-    return stored(per.join(totals.filter("held_by > 1").drop("held_by"), "group"), "shard-links")
+    totals = stored(totals.filter("held_by > 1"), "shard-totals")
+    parts = F.ceil(F.col("held_by") / GROUP_ROWS).cast("int")
+    linked = of_groups(per, totals, "held_by").withColumn("parts", parts).drop("held_by")
+    return stored(linked.withColumn("part", F.pmod(F.xxhash64("unit"), F.col("parts")).cast("int")), "shard-links")
 
 
 def propagated(
@@ -155,14 +172,16 @@ def _votes(linked: DataFrame, state: DataFrame) -> DataFrame:
     """(unit, n, fixed, label, own, every, best): the votes for the shard a unit is in, all of them, and the best other one.
 
     A group is counted once per shard it is in, and each member meets those counts: at most as many rows per
-    link as there are shards, however large the group is.
+    link as there are shards, however large the group is. Each part of a group has a copy of the counts.
     """
     labelled = linked.join(state.select("unit", "label"), "unit")
-    counts = labelled.groupBy("group", F.col("label").alias("to")).agg(F.sum("n").alias("rows"))
+    counts = labelled.groupBy("group", "parts", F.col("label").alias("to")).agg(F.sum("n").alias("rows"))
+    counts = counts.select("group", "to", "rows", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     here = F.col("to") == F.col("label")
     others = F.col("rows") - F.when(here, F.col("n")).otherwise(0)
     value = F.floor(others * F.col("weight") * WHOLE / (F.col("total") - F.col("n"))).cast("long")
-    votes = labelled.join(counts, "group").groupBy("unit", "label", "to").agg(F.sum(value).alias("value"))
+    met = labelled.join(counts, ["group", "part"])
+    votes = met.groupBy("unit", "label", "to").agg(F.sum(value).alias("value"))
     # Ties go by a hash, or every tie would move to shard 0.
     rank = F.struct("value", F.xxhash64("unit", "to").alias("tie"), "to")
     best = votes.groupBy("unit", "label").agg(
@@ -257,12 +276,7 @@ def document_links(docs: DataFrame, rule: ShardRule = ShardRule()) -> DataFrame:
     lines = stored(texts.select("home", F.explode(hashes).alias("group")).distinct(), "shard-lines")
     counts = lines.groupBy("group").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     counts = stored(counts, "shard-line-counts")
-    common = counts.filter(F.col("texts") > rule.line_rows).select("group")
-    if common.count() <= BROADCAST_LINES:
-        # The rows of a line in very many texts would all meet in one task of the join.
-        lines = lines.join(F.broadcast(common), "group", "left_anti")
-    shared = counts.filter(F.col("texts") <= rule.line_rows).select("group")
-    return lines.join(shared, "group").select("home", "group")
+    return of_groups(lines, counts, "texts").select("home", "group")
 
 
 def _home() -> Column:

@@ -158,6 +158,35 @@ def test_propagation_brings_linked_documents_together(spark, sf_dir):
     assert equal.agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
 
 
+def test_lines_in_very_many_texts_link(frame, monkeypatch):
+    from sessionloom.llm import sharding
+
+    # One line in every second text, one in every text of a block of forty, and one in a single text.
+    common, own = "a line that every second text has " * 2, "a line of block {} of forty neighbours " * 2
+    texts = [f"{own.format(i // 40, i // 40)}\ntext {i}" + (f"\n{common}" if i % 2 else "") for i in range(1200)]
+    docs = frame([(i, t) for i, t in enumerate(texts)] + [(5000, "a line that no other text has at all, not one " * 2)])
+    links = sharding.document_links(docs)
+    assert sorted(Counter(r.group for r in links.collect()).values()) == [40] * 30 + [600]
+    rows = docs.select(F.col("doc_id").alias("row"), sharding._home().alias("home"))
+    sizes = rows.select(F.col("row").alias("unit"), "home", F.lit(1).alias("n"), (F.col("row") % 16).alias("label"))
+    members = links.withColumn("weight", F.lit(1))
+
+    def votes():
+        linked = sharding.links(members, sizes)
+        state = sizes.select("unit", "n", F.lit(False).alias("fixed"), "label")
+        found = sharding._votes(linked, state).select("unit", "label", "own", "every", "best")
+        return linked.agg(F.max("part")).first()[0], Counter(map(str, found.collect()))
+
+    last, whole = votes()
+    assert last == 0 and sum(whole.values()) == 1200
+    # Groups in parts, and the largest ones broadcast, vote as they do whole.
+    monkeypatch.setattr(sharding, "GROUP_ROWS", 50)
+    monkeypatch.setattr(sharding, "LARGE_GROUPS", 10)
+    last, parts = votes()
+    assert last == 11 and parts == whole
+    assert sharding.document_links(docs).count() == links.count()
+
+
 def test_granted_moves_keep_the_quotas():
     from sessionloom.llm.sharding import _granted
 

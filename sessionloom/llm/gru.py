@@ -6,12 +6,15 @@ state, so a sequence of any length is scored whole with bounded memory.
 
 Products are taken in blocks small enough for one thread: tasks run side by side already, and threads that
 wait for one another inside a small product burn as much time as they save.
+
+States and gates have a row per sequence and are held by columns: each gate is then one run of memory.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -45,18 +48,18 @@ def new_model(frequency: np.ndarray, rng: np.random.Generator) -> Model:
     }
 
 
-# Multiplications in a product up to which the libraries behind numpy stay with one thread.
-ONE_THREAD = 1 << 18
+# Multiplications in a product up to which the libraries behind numpy stay with one thread. Where they are
+# told to, as in Spark's Python workers, blocks need only fit a cache.
+ONE_THREAD = 1 << (20 if os.environ.get("OMP_NUM_THREADS") == "1" else 18)
 # Logits up to which exponentials of single precision neither overflow nor vanish.
 PLAIN = 60.0
 
 
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b, by blocks of rows."""
+    """a @ b, by blocks of rows; held by columns if a is."""
     rows = max(1, ONE_THREAD // (b.shape[0] * b.shape[1]))
-    if len(a) <= rows:
-        return a @ b
-    out = np.empty((len(a), b.shape[1]), dtype=np.result_type(a, b))
+    order = "F" if a.flags.f_contiguous else "C"
+    out = np.empty((len(a), b.shape[1]), dtype=np.result_type(a, b), order=order)
     for at in range(0, len(a), rows):
         np.matmul(a[at : at + rows], b, out=out[at : at + rows])
     return out
@@ -72,24 +75,24 @@ def _dot_down(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _step(model: Model, x: np.ndarray, h: np.ndarray):
-    given = model["gates"][x]
-    own = _dot(h, model["recurrent"])
+    """The states after ``x``, and what gradients need; all held by columns if h is."""
+    gates = model["gates"].take(x, axis=0).T.copy()
+    own = np.ascontiguousarray(_dot(h, model["recurrent"]).T)
     both = 2 * HIDDEN
-    zr = given[:, :both] + own[:, :both]
+    zr = gates[:both]
+    zr += own[:both]
     zr *= 0.5  # the logistic function by way of tanh
     np.tanh(zr, out=zr)
     zr += 1
     zr *= 0.5
-    # Parts of rows are copied into arrays of their own, on which all later steps run faster.
-    z, r = zr[:, :HIDDEN].copy(), zr[:, HIDDEN:].copy()
-    own_n = own[:, both:].copy()
+    z, r, own_n = gates[:HIDDEN], gates[HIDDEN:both], own[both:]
     n = r * own_n
-    n += given[:, both:]
+    n += gates[both:]
     np.tanh(n, out=n)
-    after = h - n
+    after = h.T - n
     after *= z
     after += n
-    return after, z, r, n, own_n
+    return after.T, z.T, r.T, n.T, own_n.T
 
 
 def _plain(model: Model) -> tuple[bool, np.ndarray]:
@@ -130,7 +133,7 @@ def _softmax(x: np.ndarray, plain: bool, scale: np.ndarray | float = 1) -> np.nd
 
 def _blocks(n: int) -> Iterator[slice]:
     """Rows whose classes' logits fit a core's own cache, and their products one thread."""
-    rows = max(1, ONE_THREAD // ((HIDDEN + 1) * CLASSES))
+    rows = max(1, min(TOGETHER, ONE_THREAD // ((HIDDEN + 1) * CLASSES)))
     for at in range(0, n, rows):
         yield slice(at, min(n, at + rows))
 
@@ -143,66 +146,127 @@ def _with_biases(model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 def log_probabilities(model: Model, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Natural logarithms of the probabilities of outcomes ``y`` after states ``h``."""
-    plain, plain_members = _plain(model)
-    by_class, by_member = _with_biases(model)
-    cls, member = y // MEMBERS, y % MEMBERS
-    row = np.arange(len(y))
     states = np.ones((len(y), HIDDEN + 1), dtype=h.dtype)
     states[:, :HIDDEN] = h
-    out = np.empty(len(y), dtype=h.dtype)
+    return _log_probabilities(model, states, y, _plain(model), _with_biases(model))
+
+
+def _log_probabilities(model: Model, states: np.ndarray, y: np.ndarray, plain, weights) -> np.ndarray:
+    by_class, by_member = weights
+    cls, member = y // MEMBERS, y % MEMBERS
+    row = np.arange(TOGETHER)
+    out = np.empty(len(y), dtype=states.dtype)
     for block in _blocks(len(y)):
         logits = states[block] @ by_class
         own = logits[row[: len(logits)], cls[block]]
-        own -= _log_sum(logits, plain)
+        own -= _log_sum(logits, plain[0])
         out[block] = own
-    for c, rows in _by_class(cls):
-        logits = states[rows] @ by_member[c]
-        own = logits[row[: len(rows)], member[rows]]
-        own -= _log_sum(logits, plain_members[c])
-        out[rows] += own
+    order, groups = _by_class(cls)
+    states, member = states.take(order, axis=0), member[order]
+    logs = np.empty(len(y), dtype=states.dtype)
+    for rows, parts in groups:
+        logits = np.empty((rows.stop - rows.start, MEMBERS), dtype=states.dtype)
+        for c, part in parts:
+            np.matmul(states[part], by_member[c], out=logits[part.start - rows.start : part.stop - rows.start])
+        own = logits[row[: len(logits)], member[rows]]
+        own -= _log_sum(logits, all(plain[1][c] for c, _ in parts))
+        logs[rows] = own
+    out[order] += logs
     return out
 
 
-def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The classes that occur, and the rows of each, a block at a time."""
+# Rows whose members' logits are turned into probabilities together, whatever their classes.
+TOGETHER = 1024
+
+
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, list[tuple[int, slice]]]]]:
+    """The order of rows by class, and groups of consecutive rows, each with its classes and their rows."""
     order = np.argsort(cls.astype(np.uint8), kind="stable")
     ends = np.cumsum(np.bincount(cls, minlength=CLASSES)).tolist()
+    groups: list[tuple[slice, list[tuple[int, slice]]]] = []
     for c, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
         for block in _blocks(b - a):
-            yield c, order[a + block.start : a + block.stop]
+            part = slice(a + block.start, a + block.stop)
+            if groups and part.stop - groups[-1][0].start <= TOGETHER:
+                rows, parts = groups[-1]
+                groups[-1] = (slice(rows.start, part.stop), [*parts, (c, part)])
+            else:
+                groups.append((part, [(c, part)]))
+    return order, groups
+
+
+# Sequences that are scored side by side: their states stay in a core's cache.
+BESIDE = 512
 
 
 def score(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """The natural log-likelihood of each whole sequence of outcomes."""
+    order = np.argsort([-len(s) for s in sequences], kind="stable")
+    plain, weights = _plain(model), _with_biases(model)
+    out = np.zeros(len(order))
+    for at in range(0, len(order), BESIDE):
+        own = order[at : at + BESIDE]
+        out[own] = _scored_beside(model, [sequences[i] for i in own], plain, weights)
+    return out
+
+
+def _scored_beside(model: Model, sequences: list[np.ndarray], plain, weights) -> np.ndarray:
+    """Of sequences in the order of their lengths, the longest first."""
     lengths = np.array([len(s) for s in sequences])
-    order = np.argsort(-lengths, kind="stable")
-    lengths = lengths[order]
-    flat = np.concatenate([sequences[i] for i in order]) if len(order) else np.zeros(0, np.int64)
+    flat = np.concatenate(sequences)
     first = np.cumsum(lengths) - lengths
-    total = np.zeros(len(order))
-    active = int((lengths > 0).sum())
-    h = np.zeros((active, HIDDEN), dtype=np.float32)
-    x = np.full(active, OUTCOMES, dtype=np.int64)
+    # How many sequences are longer than t, and in how many rows their outcomes up to t lie, step by step.
+    longer = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+    rows = np.append(0, np.cumsum(longer))
+    total = np.zeros(len(lengths))
+    halved = _halved(model)
+    h = np.zeros((longer[0] if len(longer) else 0, HIDDEN), dtype=np.float32, order="F")
+    x = np.full(len(h), OUTCOMES, dtype=np.int64)
     at = 0
-    while active:
-        states, truth, owner = [], [], []
-        for t in range(at, at + WINDOW):
-            active = int(np.searchsorted(-lengths, -t, side="left"))  # those longer than t
-            if not active:
-                break
-            h = _step(model, x[:active], h[:active])[0]
-            y = flat[first[:active] + t]
-            states.append(h)
-            truth.append(y)
-            owner.append(np.arange(active))
-            x = y
-        if states:
-            logs = log_probabilities(model, np.concatenate(states), np.concatenate(truth))
-            total += np.bincount(np.concatenate(owner), logs, len(total))
-        at += WINDOW
-    out = np.empty(len(order))
-    out[order] = total
-    return out
+    while at < len(longer):
+        to = max(at + 1, int(np.searchsorted(rows, rows[at] + WINDOW * len(lengths), side="right")) - 1)
+        active = longer[at:to]
+        start = rows[at:to] - rows[at]
+        owner = np.arange(rows[to] - rows[at]) - np.repeat(start, active)
+        truth = flat[first[owner] + np.repeat(np.arange(at, to), active)]
+        states = np.ones((len(truth), HIDDEN + 1), dtype=np.float32)
+        for a, n in zip(start.tolist(), active.tolist()):
+            if n < len(h):
+                h, x = h[:n].copy(order="F"), x[:n]
+            h = _next(halved, x, h)
+            x = truth[a : a + n]
+            states[a : a + n, :HIDDEN] = h
+        logs = _log_probabilities(model, states, truth, plain, weights)
+        total += np.bincount(owner, logs, len(total))
+        at = to
+    return total
+
+
+def _halved(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of a logistic function by way of tanh: all but those a word gives the new state directly."""
+    gates = model["gates"].copy()
+    gates[:, : 2 * HIDDEN] *= 0.5
+    return gates, model["recurrent"] * np.float32(0.5)
+
+
+def _next(halved: tuple[np.ndarray, np.ndarray], x: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The states of ``_step`` alone, in fewer steps."""
+    both = 2 * HIDDEN
+    gates = halved[0].take(x, axis=0).T
+    own = _dot(h, halved[1]).T
+    zr, n = own[:both], own[both:]
+    zr += gates[:both]
+    np.tanh(zr, out=zr)
+    own_n = n * zr[HIDDEN:]
+    n += own_n
+    n += gates[both:]
+    np.tanh(n, out=n)
+    rest = h.T - n
+    after = rest * zr[:HIDDEN]
+    after += rest
+    after *= 0.5
+    after += n
+    return after.T
 
 
 # --- training -----------------------------------------------------------------------------------
@@ -221,12 +285,16 @@ def _window_gradients(
     Places that are not ``real`` pad the ends of streams and teach nothing.
     """
     steps, streams = x.shape
-    h, tape = h0, []
+    h, tape = np.asfortranarray(h0), []
     states = np.ones((steps, streams, HIDDEN + 1), dtype=h0.dtype)
+    anew = fresh.any(axis=1).tolist()
     for t in range(steps):
-        before = np.where(fresh[t][:, None], np.float32(0), h) if fresh[t].any() else h
+        before = h
+        if anew[t]:
+            before = h.copy(order="F")
+            before[fresh[t]] = 0
         h, z, r, n, own = _step(model, x[t], before)
-        tape.append((before, z, r, n, own))
+        tape.append((before.T, z.T, r.T, n.T, own.T))
         states[t, :, :HIDDEN] = h
     states = states.reshape(-1, HIDDEN + 1)
     truth = y.reshape(-1)
@@ -236,19 +304,29 @@ def _window_gradients(
     by_class, by_member = _with_biases(model)
     d_class, d_member = np.zeros_like(by_class), np.zeros_like(by_member)
     cls, member = truth // MEMBERS, truth % MEMBERS
-    row = np.arange(len(truth))
+    row = np.arange(TOGETHER)
     d_states = np.empty((len(truth), HIDDEN), dtype=h0.dtype)
     for block in _blocks(len(truth)):
         p = _softmax(states[block] @ by_class, plain, scale[block])
         p[row[: len(p)], cls[block]] -= scale[block]
         np.matmul(p, model["class"].T, out=d_states[block])
         d_class += states[block].T @ p
-    for c, rows in _by_class(cls):
-        own, weight = states[rows], scale[rows]
-        p = _softmax(own @ by_member[c], plain_members[c], weight)
-        p[row[: len(rows)], member[rows]] -= weight
-        d_states[rows] += p @ model["member"][c].T
-        d_member[c] += own.T @ p
+    order, groups = _by_class(cls)
+    states, member, scale = states.take(order, axis=0), member[order], scale[order]
+    d_sorted = np.empty_like(d_states)
+    for rows, parts in groups:
+        logits = np.empty((rows.stop - rows.start, MEMBERS), dtype=h0.dtype)
+        places = [slice(part.start - rows.start, part.stop - rows.start) for _, part in parts]
+        for (c, part), place in zip(parts, places):
+            np.matmul(states[part], by_member[c], out=logits[place])
+        p = _softmax(logits, all(plain_members[c] for c, _ in parts), scale[rows])
+        p[row[: len(p)], member[rows]] -= scale[rows]
+        for (c, part), place in zip(parts, places):
+            np.matmul(p[place], model["member"][c].T, out=d_sorted[part])
+            d_member[c] += states[part].T @ p[place]
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    d_states += d_sorted.take(place, axis=0)
     grads = {
         "gates": np.zeros_like(model["gates"]),
         "recurrent": np.zeros_like(model["recurrent"]),
@@ -258,32 +336,34 @@ def _window_gradients(
         "member_bias": d_member[:, HIDDEN],
     }
     d_states = d_states.reshape(steps, streams, HIDDEN)
-    d_gates = np.empty((steps, streams, 3 * HIDDEN), dtype=np.float32)
-    d_h = np.zeros_like(h0)
-    d_own = np.empty((streams, 3 * HIDDEN), dtype=np.float32)
+    d_gates = np.empty((steps, streams, 3 * HIDDEN), dtype=h0.dtype)
+    d_h = np.zeros((HIDDEN, streams), dtype=h0.dtype)
+    d_own = np.empty((3 * HIDDEN, streams), dtype=h0.dtype)
+    d_z, d_r, d_n = d_own.reshape(3, HIDDEN, streams)
+    back = model["recurrent"].T
     for t in reversed(range(steps)):
         before, z, r, n, own = tape[t]
-        d_h += d_states[t]
+        d_h += d_states[t].T
         rest = 1 - z
-        d_n = n * n
+        np.multiply(n, n, out=d_n)
         np.subtract(1, d_n, out=d_n)
         d_n *= rest
         d_n *= d_h
-        d_z = before - n
+        np.subtract(before, n, out=d_z)
         d_z *= d_h
         rest *= z
         d_z *= rest
-        d_r = 1 - r
+        np.subtract(1, r, out=d_r)
         d_r *= r
         d_r *= own
         d_r *= d_n
-        np.concatenate([d_z, d_r, d_n], axis=1, out=d_gates[t])
+        d_gates[t] = d_own.T
         d_n *= r
-        np.concatenate([d_z, d_r, d_n], axis=1, out=d_own)
-        grads["recurrent"] += _dot_down(before, d_own)
+        grads["recurrent"] += _dot_down(before.T, d_own.T)
         d_h *= z
-        d_h += _dot(d_own, model["recurrent"].T)
-        d_h[fresh[t]] = 0
+        d_h += _dot(d_own.T, back).T
+        if anew[t]:
+            d_h[:, fresh[t]] = 0
     found, sums = _sums_by_word(x.reshape(-1), d_gates.reshape(-1, 3 * HIDDEN))
     grads["gates"][found] = sums
     grads["gates"][OUTCOMES] = 0
@@ -304,13 +384,14 @@ def _sums_by_word(word: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nd
     found = np.flatnonzero(times)
     times = times[found]
     first = np.cumsum(times) - times
-    sums = rows[order[first]]
+    sums = rows.take(order[first], axis=0)
     for no in range(1, FEW):
         more = np.flatnonzero((times > no) & (times <= FEW))
-        sums[more] += rows[order[first[more] + no]]
+        sums[more] += rows.take(order[first[more] + no], axis=0)
+    ones = np.ones(times.max(), dtype=rows.dtype)
     for i in np.flatnonzero(times > FEW).tolist():
-        own = rows[order[first[i] : first[i] + times[i]]]
-        sums[i] = np.ones(len(own), dtype=rows.dtype) @ own
+        own = rows.take(order[first[i] : first[i] + times[i]], axis=0)
+        np.matmul(ones[: len(own)], own, out=sums[i])
     return found, sums
 
 
@@ -330,18 +411,17 @@ class _Adam:
         by_mean, by_square = 1 - 0.9**self.steps, 1 - 0.995**self.steps
         for k, g in grads.items():
             mean, square = self.mean[k], self.square[k]
-            g *= np.float32(clip)
+            g *= np.float32(0.1 * clip)
             mean *= np.float32(0.9)
-            mean += np.float32(0.1) * g
-            g *= g
-            g *= np.float32(0.005)
+            mean += g
+            g *= g  # a hundredth of the gradient's square, and so all of ``square``
             square *= np.float32(0.995)
             square += g
-            np.multiply(square, np.float32(1 / by_square), out=g)
-            np.sqrt(g, out=g)
-            g += np.float32(1e-6)
+            # rate x mean / by_mean / (sqrt(0.5 x square / by_square) + 1e-6)
+            np.sqrt(square, out=g)
+            g += np.float32(1e-6 * math.sqrt(2 * by_square))
             np.divide(mean, g, out=g)
-            g *= np.float32(rate / by_mean)
+            g *= np.float32(rate / by_mean * math.sqrt(2 * by_square))
             model[k] -= g
 
 

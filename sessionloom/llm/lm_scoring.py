@@ -31,10 +31,10 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +69,30 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()  # bytes: only A-Z change, and only the six blanks split
 
 
+def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """``tokens`` of many texts: a number for every token, the words by number, how many each text has."""
+    # Texts are taken as they are, valid UTF-8 or not: the two functions change and split bytes. They are
+    # copied first, since ascii_lower misreads arrays whose bytes begin after their buffer's first.
+    large = pa.types.is_large_binary(texts.type)
+    copied = texts.take(pa.array(np.arange(len(texts)))).view(pa.large_string() if large else pa.string())
+    found = pc.ascii_split_whitespace(pc.ascii_lower(copied))
+    lengths = pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
+    every = found.flatten().dictionary_encode()
+    number, words = every.indices.to_numpy(), every.dictionary.cast(pa.string()).view(pa.binary())
+    blank = pc.index(words, pa.scalar(b"", pa.binary())).as_py()
+    if blank >= 0:  # before a blank that a text begins with, after one that it ends with
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        lengths -= np.bincount(owner[number == blank], minlength=len(lengths))
+        number = number[number != blank]
+        number = number - (number > blank)
+        words = pa.concat_arrays([words[:blank], words[blank + 1 :]])
+    return number, words, lengths
+
+
+def _as_list(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
+
+
 def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """Batches whose texts hold a bounded number of bytes, one row at least."""
     for batch in batches:
@@ -138,9 +162,9 @@ def _count_blobs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in _batches(batches, 1):
-            for train, text in zip(batch.column(0), batch.column(1)):
-                if train.as_py():
-                    counts.update(tokens(text.as_py()))
+            number, words, _ = _words(batch.column(1).filter(batch.column(0)))
+            for w, k in zip(_as_list(words), np.bincount(number, minlength=len(words)).tolist()):
+                counts[w] += k
             if len(counts) > 500_000:
                 yield flushed(counts)
                 counts = Counter()
@@ -223,20 +247,42 @@ def count_words(docs: DataFrame, rule: LmRule = LmRule()) -> Counts:
 
 
 class _Outcomes(dict):
-    """Outcomes by word. Other words are kept with their groups until there are too many of them."""
+    """Groups of words by the words' last bytes, kept until there are too many of them."""
 
     MOST = 300_000
 
-    def __missing__(self, word: bytes) -> int:
-        group = shape(word)
+    def __missing__(self, ending: bytes) -> int:
+        group = shape(ending)
         if len(self) < self.MOST:
-            self[word] = group
+            self[ending] = group
         return group
 
 
-def _outcome_arrays(texts: list[bytes], known: dict[bytes, int]) -> list[np.ndarray]:
-    of = _Outcomes(known).__getitem__
-    return [np.array([*map(of, tokens(t)), END], dtype=np.int64) for t in texts]
+def _outcomes(words: pa.Array, known: dict[bytes, int], groups: _Outcomes) -> np.ndarray:
+    """The outcome of each word: its own or its group."""
+    place = pc.index_in(words, value_set=pa.array([*known], pa.binary()))
+    out = np.array([*known.values(), 0], dtype=np.int64)[place.fill_null(len(known)).to_numpy()]
+    others = place.is_null()
+    endings = pc.binary_slice(words.filter(others), -3, None).dictionary_encode()
+    of = np.array([groups[e] for e in _as_list(endings.dictionary)], dtype=np.int64)
+    out[others.to_numpy(zero_copy_only=False)] = of[endings.indices.to_numpy()]
+    return out
+
+
+def _outcome_arrays(
+    texts: list[bytes] | pa.Array, known: dict[bytes, int], groups: _Outcomes | None = None
+) -> list[np.ndarray]:
+    number, words, lengths = _words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()))
+    outcomes = _outcomes(words, known, _Outcomes() if groups is None else groups)
+    flat, lengths = _with_ends(outcomes[number], lengths)
+    return np.split(flat, np.cumsum(lengths)[:-1]) if len(lengths) else []
+
+
+def _with_ends(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The outcomes of all texts with an end after each text, and the texts' lengths with it."""
+    out = np.full(len(flat) + len(lengths), END, dtype=np.int64)
+    out[np.arange(len(flat)) + np.repeat(np.arange(len(lengths)), lengths)] = flat
+    return out, lengths + 1
 
 
 def _segments(most: int):
@@ -282,9 +328,8 @@ def _learned(model: gru.Model, counts: Counts, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        texts = (
-            _outcome_arrays([t.as_py() for t in rows.column(0)], known) for rows in _batches(batches, 0)
-        )
+        groups = _Outcomes()
+        texts = (_outcome_arrays(rows.column(0), known, groups) for rows in _batches(batches, 0))
         own, n = gru.learn(model, texts, rate)
         if n:
             yield _weight_rows(_flat(own), n, TaskContext.get().partitionId())
@@ -363,21 +408,18 @@ def _score_blobs(model: gru.Model, counts: Counts, buckets: int):
     plus_1 = counts.log10_plus_1()
     group_log = np.log10(counts.groups.astype(np.float64))
     has_count = counts.frequency() > 0
-
-    def scored(ids: list, held: list, train: list, texts: list[bytes], batch: int) -> pa.RecordBatch:
-        # Words outside the vocabulary are numbered after it, as they come.
-        numbers, first = dict(known), len(known) + END + 1
-        new = count(first)
-        sequences = []
-        for t in texts:
-            own = [numbers[w] if w in numbers else numbers.setdefault(w, next(new)) for w in tokens(t)]
-            sequences.append(np.array([*own, END], dtype=np.int64))
-        names = list(islice(numbers, len(known), None))
-        lengths = np.array([len(a) for a in sequences])
-        flat, owner = np.concatenate(sequences), np.repeat(np.arange(len(texts)), lengths)
-        other = flat >= first
-        words_of, docs_of = flat[other] - first, owner[other]
-        flat[other] = np.array([shape(w) for w in names], dtype=np.int64)[words_of]
+    groups = _Outcomes()
+
+    def scored(ids: list, held: list, train: list, texts: pa.Array, batch: int) -> pa.RecordBatch:
+        number, words, lengths = _words(texts)
+        outcome = _outcomes(words, known, groups)
+        other = outcome < SHAPES
+        names = _as_list(words.filter(pa.array(other)))
+        rare = other[number]
+        words_of = (np.cumsum(other) - 1)[number[rare]]
+        docs_of = np.repeat(np.arange(len(texts)), lengths)[rare]
+        flat, lengths = _with_ends(outcome[number], lengths)
+        owner = np.repeat(np.arange(len(texts)), lengths)
         sequences = np.split(flat, np.cumsum(lengths)[:-1])
         logs = gru.score(model, sequences) / np.log(10)
         n = len(texts)
@@ -447,8 +489,8 @@ def _score_blobs(model: gru.Model, counts: Counts, buckets: int):
 
         batch = TaskContext.get().partitionId() << 32
         for rows in _batches(batches, 3):
-            columns = [c.to_pylist() for c in rows.columns]
-            yield scored(*columns, batch)
+            columns = [c.to_pylist() for c in rows.columns[:3]]
+            yield scored(*columns, rows.column(3), batch)
             batch += 1
 
     return run

@@ -409,3 +409,88 @@ def test_word_transport_does_not_grow_with_the_buckets():
         docs = [lm_scoring._spread_out(b, lm_scoring._WORD_BLOB)[4] for b in blobs]
         entries.append(sum(len(d) for d in docs))
     assert entries[0] <= 8000 and entries[1] <= 8000
+
+
+def test_words_of_many_texts_at_once():
+    """Blanks at the edges, blanks alone, no blanks, bytes that are no UTF-8, words shorter than their endings."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    alphabet = [bytes([c]) for c in range(256)] + [b" ", b"\n", b"a", b"B"] * 60
+    known = {b"a": 70, b"ab": 71, b"baa": 72}
+    for _ in range(200):
+        texts = [b"".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(rng.randrange(6))]
+        want = [lm_scoring.tokens(t) for t in texts]
+        column = pa.array([b"x y", *texts], rng.choice([pa.binary(), pa.large_binary()])).slice(1)
+        if rng.random() < 0.5:
+            column = column.cast(pa.binary())  # may leave bytes before the first text
+        number, found, lengths = lm_scoring._words(column)
+        names = lm_scoring._as_list(found)
+        assert [names[i] for i in number.tolist()] == [w for t in want for w in t]
+        assert lengths.tolist() == [len(t) for t in want]
+        assert len(set(names)) == len(names) and b"" not in names
+        arrays = lm_scoring._outcome_arrays(column, known)
+        assert [a.tolist() for a in arrays] == [
+            [known.get(w, lm_scoring.shape(w)) for w in t] + [lm_scoring.END] for t in want
+        ]
+
+
+@pytest.mark.parametrize("window", [64, 1])
+def test_scores_of_more_sequences_than_go_side_by_side(monkeypatch, window):
+    monkeypatch.setattr(gru, "BESIDE", 4)
+    monkeypatch.setattr(gru, "TOGETHER", 8)
+    monkeypatch.setattr(gru, "WINDOW", window)
+    rng = np.random.default_rng(12)
+    model = gru.new_model(np.ones(gru.OUTCOMES), rng)
+    sequences = [rng.integers(0, gru.OUTCOMES, n) for n in (3, 0, 90, 7, 7, 1, 0, 200, 30, 30, 2)]
+    want = []
+    for s in sequences:
+        h, x, total = np.zeros((1, gru.HIDDEN), dtype=np.float32), np.array([gru.OUTCOMES]), 0.0
+        for y in s:
+            h, x = gru._step(model, x, h)[0], np.array([y])
+            total += float(gru.log_probabilities(model, h, x)[0])
+        want.append(total)
+    assert gru.score(model, sequences) == pytest.approx(want, rel=1e-5)
+
+
+def test_gradients_do_not_depend_on_groups_of_rows(monkeypatch):
+    rng = np.random.default_rng(13)
+    model = gru.new_model(np.ones(gru.OUTCOMES), rng)
+    x, y = rng.integers(0, gru.OUTCOMES, (2, 16, 40))
+    fresh, h0 = rng.random((16, 40)) < 0.1, rng.normal(size=(40, gru.HIDDEN)).astype(np.float32)
+    one, h_one = gru._window_gradients(model, x, y, fresh, h0)
+    monkeypatch.setattr(gru, "TOGETHER", 5)
+    other, h_other = gru._window_gradients(model, x, y, fresh, h0)
+    assert all(np.allclose(one[k], other[k], atol=1e-6) for k in one) and np.allclose(h_one, h_other)
+
+
+def test_adam_against_its_description():
+    rng = np.random.default_rng(14)
+    model = {"a": rng.normal(size=(4, 3)).astype(np.float32), "b": rng.normal(size=5).astype(np.float32)}
+    want = {k: v.astype(np.float64) for k, v in model.items()}
+    mean, square = ({k: np.zeros(v.shape) for k, v in model.items()} for _ in range(2))
+    adam = gru._Adam(model)
+    for step in range(1, 40):
+        grads = {k: (rng.normal(size=v.shape) * 10.0 ** (step % 5 - 3)).astype(np.float32) for k, v in model.items()}
+        size = math.sqrt(sum(float((g.astype(np.float64) ** 2).sum()) for g in grads.values()))
+        for k, g in grads.items():
+            g = g.astype(np.float64) * min(1, 1 / size)
+            mean[k] = 0.9 * mean[k] + 0.1 * g
+            square[k] = 0.995 * square[k] + 0.005 * g**2
+            up = np.sqrt(square[k] / (1 - 0.995**step)) + 1e-6
+            want[k] -= 0.01 * mean[k] / (1 - 0.9**step) / up
+        adam.step(model, grads, 0.01)
+    assert all(np.allclose(model[k], want[k], atol=1e-4) for k in model)
+
+
+def test_a_task_looks_a_word_up_once_a_batch(monkeypatch):
+    """Python's work in counting, encoding and scoring grows with distinct endings, not with tokens."""
+    import pyarrow as pa
+
+    texts = pa.array([b"Lorem ipsum dolor sit amet " * 500] * 20, pa.binary())
+    asked = []
+    shape = lm_scoring.shape
+    monkeypatch.setattr(lm_scoring, "shape", lambda word: asked.append(word) or shape(word))
+    monkeypatch.setattr(lm_scoring, "tokens", None)  # word by word
+    arrays = lm_scoring._outcome_arrays(texts, {b"sit": 70})
+    assert sum(map(len, arrays)) == 20 * 2501 and sorted(asked) == [b"lor", b"met", b"rem", b"sum"]

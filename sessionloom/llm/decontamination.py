@@ -15,9 +15,11 @@ have no others. Windows that many wordings of items share, such as a common inst
 an item that has others and are left out. Items with fewer tokens than a window are sought as a whole, by
 their lower-cased tokens.
 
-Only DataFrame functions are used. If the benchmark's windows are counted to be at most
-``BROADCAST_WINDOWS`` they are broadcast and the texts are read once, without a shuffle; otherwise both
-sides are shuffled by window, and the matching documents are read again.
+Only DataFrame functions are used. If the hashes of the benchmark's windows are counted to be at most
+``BROADCAST_WINDOWS`` they are broadcast, without tokens and items, and the texts are read once, without a
+shuffle. Otherwise a bitmap of them is broadcast, the hashes it lets through are shuffled, and the matching
+documents are read again. Either way a window that is met goes on with its own tokens only, never with those of
+its document, and the items that have it are joined afterwards.
 """
 
 from __future__ import annotations
@@ -45,7 +47,9 @@ _NUMBER = r"\p{N}+"
 _AFTER_NUMBER = rf"(?i){NUMBER}\s+(?:{_UNITS})(?![{_WORD}])"
 _CAPITALISED = rf"(?<![{_WORD}])\p{{Lu}}[\p{{Ll}}\p{{M}}]+(?![{_WORD}])"
 _BREAK = rf"[^{_WORD}{NUMBER}-{NAME}]+"
-BROADCAST_WINDOWS = 1_000_000
+BROADCAST_WINDOWS = 1_000_000  # hashes, of some 60 bytes each
+BROADCAST_ITEMS = 50_000  # windows with their tokens, of some 500 bytes each
+BITMAP_WORDS = 1 << 20  # of 64 bits, a row each
 SHIFT = 3  # tokens that come or go inside an occurrence, at once
 
 
@@ -155,7 +159,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
     bench = bench.withColumn("item_id", F.xxhash64("_id", "_text"))
     bench = stored(_with_hashes(templates(bench, "_text"), rule.window), "leak-benchmark")
     windows = stored(benchmark_windows(bench, rule), "leak-windows")
-    few = windows.count() <= BROADCAST_WINDOWS
+    hashes = stored(windows.select("hash").distinct(), "leak-hashes")
     totals = windows.filter("counted").groupBy("item_id")
     totals = totals.agg(F.countDistinct("window").alias("item_windows"))
     short = bench.filter((F.size("surface") > 0) & (F.size("surface") < rule.window))
@@ -163,7 +167,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
 
     keyed = docs.select("doc_id", text_key("text").alias("text_key"), "text")
     rows = _with_hashes(templates(keyed, "text"), rule.window)
-    found = _found_at_once(rows, windows, rule) if few else _found_again(rows, windows, rule)
+    if hashes.count() <= BROADCAST_WINDOWS:
+        met = _met_at_once(rows, hashes, rule)
+    else:
+        met = _met_again(keyed, rows, hashes, rule)
+    # Stored, so that what a document's windows have in common with many items is never in memory at once.
+    met = stored(met, "leak-windows-met")
+    few = windows.count() <= BROADCAST_ITEMS
+    found = _slots(met.join(F.broadcast(windows) if few else windows.hint("merge"), "hash"))
     if sizes:
         found = found.unionByName(_found_whole(rows, short, sizes))
         totals = totals.unionByName(short.select("item_id", F.lit(1).cast("long").alias("item_windows")))
@@ -186,20 +197,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule()) ->
 PER = ("doc_id", "text_key", "item_id")
 
 
-def _slots(rows: DataFrame, rule: LeakRule) -> DataFrame:
+def _slots(rows: DataFrame) -> DataFrame:
     """One row per window in both texts, with its slots. Hashes propose, the tokens decide."""
-    place = F.col("place") + 1
     # Neither less nor greater: a plain equality would become a key of the join, and every window's
     # tokens would be copied for it. In this form only windows whose hash has met are looked at.
-    surface = F.slice("surface", place, rule.window)
-    mine = F.when(F.col("literal"), surface).otherwise(F.slice("shape", place, rule.window))
+    mine = F.when(F.col("literal"), F.col("surface")).otherwise(F.col("shape"))
     item = F.when(F.col("literal"), F.col("item_surface")).otherwise(F.col("item_shape"))
     rows = rows.filter((mine <= item) & (mine >= item))
     slots = F.filter(
         F.arrays_zip(
             F.col("item_shape").alias("type"),
             F.col("item_surface").alias("item_value"),
-            surface.alias("doc_value"),
+            F.col("surface").alias("doc_value"),
         ),
         lambda s: _is_type(s["type"]),
     )
@@ -217,22 +226,41 @@ def _exploded(rows: DataFrame, rule: LeakRule) -> DataFrame:
     return rows.withColumn("place", F.pmod("_at", n)).drop("_at")
 
 
-def _found_at_once(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
-    """The matches of a benchmark whose windows fit a broadcast."""
-    return _slots(_exploded(rows, rule).join(F.broadcast(windows), "hash"), rule)
+def _cut(rows: DataFrame, rule: LeakRule) -> DataFrame:
+    """The window's own tokens in the place of the whole document's.
+
+    Spark holds all rows that it makes of one document until the next operator has them, so a row with the
+    document's tokens would take memory in proportion to the square of the document's length.
+    """
+    own = [F.slice(c, F.col("place") + 1, rule.window).alias(c) for c in ("shape", "surface")]
+    return rows.select("doc_id", "text_key", "place", "hash", *own)
+
+
+def _met_at_once(rows: DataFrame, hashes: DataFrame, rule: LeakRule) -> DataFrame:
+    """The documents' windows that a benchmark has whose hashes fit a broadcast."""
+    return _cut(_exploded(rows, rule).join(F.broadcast(hashes), "hash", "left_semi"), rule)
 
 
-def _found_again(rows: DataFrame, windows: DataFrame, rule: LeakRule) -> DataFrame:
-    """The matches of a larger benchmark: only hashes are shuffled, then the texts that match."""
+def _met_again(keyed: DataFrame, rows: DataFrame, hashes: DataFrame, rule: LeakRule) -> DataFrame:
+    """The windows that a larger benchmark has: only hashes are shuffled, then the texts that match."""
     exploded = _exploded(rows, rule).select("doc_id", "text_key", "place", "hash")
-    hits = exploded.join(windows.select("hash").distinct(), "hash").distinct()
+    hits = _let_through(exploded, hashes).join(hashes.hint("merge"), "hash", "left_semi").distinct()
     places = hits.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).agg(
         F.collect_list(F.struct("place", "hash")).alias("places")
     )
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))
-    again = rows.select("doc_id", "text_key", "shape", "surface").join(places, same)
-    again = again.select("doc_id", "text_key", "shape", "surface", F.inline("places"))
-    return _slots(again.join(windows, "hash"), rule)
+    again = templates(keyed.join(places, same), "text")
+    return _cut(again.select("doc_id", "text_key", "shape", "surface", F.inline("places")), rule)
+
+
+def _let_through(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The rows whose hash is set in a bitmap of ``hashes``: all that are among them, and a few others."""
+    word = F.shiftright("hash", 6).bitwiseAND(F.lit(BITMAP_WORDS - 1)).alias("_word")
+    bit = F.col("hash").bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bitmap = hashes.groupBy(word).agg(F.bit_or(one).alias("_bits"))
+    rows = rows.select("*", word).join(F.broadcast(bitmap), "_word")
+    return rows.filter(F.getbit("_bits", bit) == 1).drop("_word", "_bits")
 
 
 def _found_whole(rows: DataFrame, short: DataFrame, sizes: list[int]) -> DataFrame:

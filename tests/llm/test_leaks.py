@@ -146,3 +146,18 @@ def test_short_items_do_not_empty_the_corpus(spark, frame):
     got = leaks(docs, items)
     assert got.filter("item_tokens < 5").count() == 101
     assert without_leaks(docs, got).count() == 50
+
+
+def test_long_documents_full_of_matches(spark, frame, way):
+    """40,000 windows of one document are met, and each is in four items."""
+    text = " ".join([ITEM] * 1000)
+    got = found(spark, frame, [(1, text), (2, "nothing of the kind " * 20)], [(i, ITEM) for i in range(4)])
+    n = got[1, 0][1]
+    assert got == {(1, i): (n, n, True) for i in range(4)}
+
+
+def test_windows_of_many_items(spark, frame, way, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_ITEMS", 0)
+    got = found(spark, frame, [(1, f"x {ITEM} y"), (None, OTHER), (3, None)], [(9, ITEM), (8, ITEM)])
+    n = got[1, 9][1]
+    assert got == {(d, i): (n, n, d == 1) for d in (1, None) for i in (8, 9)}
